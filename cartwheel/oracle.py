@@ -379,6 +379,9 @@ UNION ALL
 SELECT 'orders_hourly_summary', count(*) FROM hourly""", PRODUCT_CTE, DEPARTMENT_CTE, HOURLY_CTE)
     order_all = ", ".join(f"{c.strip()} NULLS FIRST" for c in ITEM_COLS.split(","))
     sql["v_sample"] = _items_sql(f"SELECT {ITEM_COLS} FROM items ORDER BY {order_all} LIMIT 20")
+    # Round trips and refreshes must reproduce the table they rebuild.
+    sql["ingest_orders_json"] = sql["order_items"]
+    sql["ingest_edits_json"] = sql["edits_trending"]
     return sql
 
 

@@ -26,16 +26,22 @@ DATABASE = "analytics"
 _CURRENT = "_CURRENT"
 
 
-def write_sorted(df: DataFrame, path: str, sort_keys: list[str]) -> None:
-    """Write ``df`` range-partitioned and locally sorted on ``sort_keys``.
-
-    No explicit partition count: AQE coalesces small outputs (a 30-row mart
-    becomes one file) and a large table keeps ``spark.sql.shuffle.partitions``
-    ranges.
+def write_sorted(df: DataFrame, path: str, sort_keys: list[str],
+                 global_ranges: bool = False) -> None:
+    """Write ``df`` with every file sorted on ``sort_keys``.
+
+    Default: sort inside each output partition only -- no extra shuffle, and
+    no sampling job (a range exchange samples its input, which re-runs the
+    whole upstream plan once more).  Row-group min/max statistics then skip
+    on the key inside each file; small marts arrive as one AQE-coalesced
+    partition and so become one fully sorted file.  ``global_ranges=True``
+    range-partitions first so files cover disjoint key ranges, worth it when
+    the input is a cheap scan and readers filter on the key.
     """
     cols = [F.col(k).asc_nulls_first() for k in sort_keys]
-    (df.repartitionByRange(*cols).sortWithinPartitions(*cols)
-       .write.mode("errorifexists").parquet(path))
+    if global_ranges:
+        df = df.repartitionByRange(*cols)
+    df.sortWithinPartitions(*cols).write.mode("errorifexists").parquet(path)
 
 
 def new_version() -> str:

@@ -143,6 +143,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "v_row_counts": _row_counts,
     "v_sample": _items(q.v_sample),
     "v_show_tables": _show_tables,
+    # ingest: documents built from the given tables, parsed back (round trip)
+    "ingest_orders_json": _from_documents("ingest_orders_json"),
+    "ingest_edits_json": _from_documents("ingest_edits_json"),
     # results the dashboard derives
     "x_orders_by_day": _hourly(q.x_orders_by_day),
     "x_day_hour_pivot": _hourly(q.x_day_hour_pivot),
