@@ -382,6 +382,8 @@ SELECT 'orders_hourly_summary', count(*) FROM hourly""", PRODUCT_CTE, DEPARTMENT
     # Round trips and refreshes must reproduce the table they rebuild.
     sql["ingest_orders_json"] = sql["order_items"]
     sql["ingest_edits_json"] = sql["edits_trending"]
+    sql["stream_refresh"] = sql["order_items"]
+    sql["stream_edits"] = sql["edits_trending"]
     return sql
 
 

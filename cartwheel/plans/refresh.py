@@ -40,13 +40,14 @@ def derive(items: DataFrame, product_limit: int = marts.DEFAULT_PRODUCT_LIMIT) -
 
 def refresh_orders(spark: SparkSession, lake: DataFrame, root: str,
                    product_limit: int = marts.DEFAULT_PRODUCT_LIMIT,
-                   register_catalog: bool = True) -> str:
+                   register_catalog: bool = True, version: str | None = None) -> str:
     """Clean ``lake`` rows and publish items + 3 marts under ``root``.
 
-    Returns the new snapshot version.  Nothing readers see changes until
-    every table has been written.
+    Returns the snapshot version.  Nothing readers see changes until every
+    table has been written.  Passing the same ``version`` again (a retried
+    micro-batch) rewrites that version's folders, so a retry is idempotent.
     """
-    version = store.new_version()
+    version = version or store.new_version()
     items_path = store.table_path(root, ITEMS_TABLE, version)
     store.write_sorted(clean_items(lake), items_path, SORT_KEYS[ITEMS_TABLE])
     snap = derive(spark.read.parquet(items_path), product_limit)
@@ -66,9 +67,9 @@ def load_orders(spark: SparkSession, root: str, version: str | None = None) -> O
 
 def refresh_edits(spark: SparkSession, edits: DataFrame, root: str,
                   limit: int = marts.DEFAULT_TRENDING_LIMIT,
-                  register_catalog: bool = True) -> str:
+                  register_catalog: bool = True, version: str | None = None) -> str:
     """Edit pipeline: trending titles over every edit in ``edits``."""
-    version = store.new_version()
+    version = version or store.new_version()
     store.write_sorted(marts.edits_trending(edits, limit),
                        store.table_path(root, TRENDING_TABLE, version),
                        SORT_KEYS[TRENDING_TABLE])

@@ -4,12 +4,12 @@ The reference truncates four tables and then inserts into them one by one, so
 a failure in between leaves empty tables (T12).  Here a refresh writes every
 table of the new snapshot to its own version folder first; only after all
 writes succeed are the catalog tables re-pointed and the ``_CURRENT`` marker
-rewritten.  A failed refresh leaves the previous snapshot untouched, and a
-retried refresh simply writes a new version.
+rewritten.  A failed refresh leaves the previous snapshot untouched; a
+retried refresh either writes a new version or rewrites its own (streaming
+batches use the batch id as version).
 
-Layout: ``<root>/<table>/v=<version>/part-*.parquet``, each table written with
-range partitioning + a local sort on its sort key (S11) so Parquet min/max
-statistics let scans skip row groups on that key.
+Layout: ``<root>/<table>/v=<version>/part-*.parquet``, every file sorted on the
+table's sort key (S11) so Parquet min/max statistics skip row groups on it.
 """
 
 from __future__ import annotations
@@ -41,7 +41,9 @@ def write_sorted(df: DataFrame, path: str, sort_keys: list[str],
     cols = [F.col(k).asc_nulls_first() for k in sort_keys]
     if global_ranges:
         df = df.repartitionByRange(*cols)
-    df.sortWithinPartitions(*cols).write.mode("errorifexists").parquet(path)
+    # A version folder belongs to one refresh; overwriting it makes a retried
+    # refresh (same version) idempotent.
+    df.sortWithinPartitions(*cols).write.mode("overwrite").parquet(path)
 
 
 def new_version() -> str:

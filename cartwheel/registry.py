@@ -146,6 +146,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # ingest: documents built from the given tables, parsed back (round trip)
     "ingest_orders_json": _from_documents("ingest_orders_json"),
     "ingest_edits_json": _from_documents("ingest_edits_json"),
+    # micro-batch refresh through Structured Streaming
+    "stream_refresh": _from_streaming("stream_refresh"),
+    "stream_edits": _from_streaming("stream_edits"),
     # results the dashboard derives
     "x_orders_by_day": _hourly(q.x_orders_by_day),
     "x_day_hour_pivot": _hourly(q.x_day_hour_pivot),
