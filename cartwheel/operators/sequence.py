@@ -11,7 +11,7 @@ two results while a key's rows are spread over many tasks:
 2. One vectorised pass per partition (pandas over Arrow batches, state carried
    from batch to batch) numbers rows and takes the previous row *within the
    partition*.
-3. The pass output is checkpointed to the shared checkpoint folder, so every
+3. The pass output is written once to the shared checkpoint folder, so every
    reader sees one fixed assignment of rows to partitions.
 4. A head/tail table -- per partition its first key and its last row, whose
    local number is the count of the last key there -- has two rows per
@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import ensure_checkpoint_dir, shuffle_partitions
+from ..session import scratch_path, shuffle_partitions
 
 _PID = "_seq_pid"
 _LRN = "_seq_lrn"
@@ -104,12 +104,15 @@ def sequence_within_key(df: DataFrame, key: str, order_by: list[str], carry: lis
         list(ranged.schema.fields)
         + [T.StructField(_LRN, T.LongType(), False)]
         + [T.StructField(p, fields[c].dataType, True) for c, p in zip(carry, prev_names)])
-    # The local pass is checkpointed (shared checkpoint folder): every later
-    # read sees the same partition ids, however the optimizer prunes the
-    # branches below, and a lost executor does not re-sample range bounds.
+    # The local pass is written once as a table in the shared checkpoint
+    # folder: every later read sees the same partition ids, however the
+    # optimizer prunes the branches below, and a lost executor cannot
+    # re-sample range bounds.  (An eager ``checkpoint()`` would run the pass
+    # twice: once for its count, once more to write the checkpoint.)
     local = ranged.mapInPandas(_local_pass(key, carry, prev_names), out_schema)
-    ensure_checkpoint_dir(spark)
-    local = local.checkpoint(eager=True)
+    path = scratch_path(spark, "sequence")
+    local.write.parquet(path)
+    local = spark.read.parquet(path)
 
     # Head/tail table, one row per partition: its first key, and its last row
     # (whose local number is the count of the last key in the partition).
