@@ -62,6 +62,19 @@ def _scalar_kind(v: Column) -> Column:
     return F.regexp_extract(F.schema_of_variant(v), r"^([A-Z]+)", 1)
 
 
+def _explode_each(arr: Column, name: str) -> list[Column]:
+    """Generator over ``arr`` that keeps null elements and emits nothing for a
+    null or empty array -- like ``explode`` -- but through
+    ``posexplode_outer`` followed by a filter on the position.  For an inner
+    ``explode`` Catalyst infers ``size(arr) > 0`` and pushes it below the
+    projections, which re-runs every VARIANT cast that built ``arr``."""
+    return [F.posexplode_outer(arr).alias(f"_{name}_pos", name)]
+
+
+def _kept(name: str) -> Column:
+    return F.col(f"_{name}_pos").isNotNull()
+
+
 def read_documents(spark: SparkSession, path: str, whole_file: bool = False) -> DataFrame:
     """Landed documents as a ``value`` string column (one per line, or one per
     file with ``whole_file``)."""
@@ -73,11 +86,20 @@ _ORDER_MEMBERS = [n for n, _ in ORDER_FIELDS] + ["products"]
 _PRODUCT_MEMBERS = [n for n, _ in PRODUCT_FIELDS]
 
 
-def _products_or_null(pv: Column) -> Column:
-    """One order's ``products`` as an array of product member structs:
-    placeholder, rows, or empty; NULL when the reference would raise."""
+def _product_shapes(pv: Column) -> list[Column]:
+    """Shape columns of one order's ``products``, computed once each (a later
+    projection references them several times; the optimizer does not inline a
+    costly expression that is referenced more than once, whereas inside one
+    CASE/OR chain the same cast would run once per reference)."""
     arr = _as_array(pv)
-    obj = _as_map(pv)
+    return [pv.alias("_pv"), arr.alias("_arr"),
+            F.when(arr.isNull(), _as_map(pv)).alias("_obj")]
+
+
+def _products_or_null() -> Column:
+    """From the shape columns: an array of product member structs --
+    placeholder, rows or empty -- or NULL where the reference would raise."""
+    pv, arr, obj = F.col("_pv"), F.col("_arr"), F.col("_obj")
     # Only scalars need a type name; CASE evaluates the branch lazily, so
     # arrays and objects never pay for a schema walk.
     kind = F.when(arr.isNull() & obj.isNull(), _scalar_kind(pv))
@@ -103,24 +125,31 @@ def ingest_order_documents(docs: DataFrame, ingested_at: Column | None = None,
     reference does; ``'reject'`` routes the document to the rejects output.
     ``ingested_at`` defaults to the load time floored to milliseconds (P4).
 
-    Every costly VARIANT value is produced once, as the output of a
+    Every costly VARIANT value is produced once: either as the output of a
     generator (``explode``) over arrays already filtered inside higher-order
-    functions; plain filters on aliased casts would be pushed below the
-    projection and re-run the cast once per reference.
+    functions, or as its own projected column.  Plain filters on aliased
+    casts would be pushed below the projection and re-run the cast once per
+    reference.
     """
     stamp = ingested_at if ingested_at is not None else \
         F.date_trunc("millisecond", F.current_timestamp()).cast("timestamp_ntz")
-    top = _members(F.col("v"), ["orders"])
+    parsed = docs.select(F.col("value"), F.try_parse_json("value").alias("v"))
+    shaped = parsed.select(
+        "value", F.col("v"),
+        _members(F.col("v"), ["orders"]).alias("_top"),
+        _as_array(F.col("v")).alias("_bare"))
+    top, bare = F.col("_top"), F.col("_bare")
     orders_member = top["orders"]
-    bare = _as_array(F.col("v"))
+    shaped = shaped.select("value", "v", "_top", "_bare",
+                           _as_array(orders_member).alias("_orders_arr"))
     orders_arr = (F.when(top.isNotNull(),
                          F.when(orders_member.isNull(), F.array().cast("array<variant>"))
-                          .otherwise(_as_array(orders_member)))
+                          .otherwise(F.col("_orders_arr")))
                    .otherwise(bare))
     err = (F.when(F.col("v").isNull(), F.lit("document is not valid JSON"))
             .when(top.isNull() & bare.isNull(),
                   F.lit("document must be an object or an array"))
-            .when(top.isNotNull() & orders_member.isNotNull() & _as_array(orders_member).isNull(),
+            .when(top.isNotNull() & orders_member.isNotNull() & F.col("_orders_arr").isNull(),
                   F.lit("field 'orders' must be an array")))
     if on_error == "raise":
         err = F.when(err.isNotNull(),
@@ -128,19 +157,20 @@ def ingest_order_documents(docs: DataFrame, ingested_at: Column | None = None,
     # Order members of every object element (P3: other elements skipped).
     order_members = F.filter(F.transform(orders_arr, lambda o: _members(o, _ORDER_MEMBERS)),
                              lambda m: m.isNotNull())
-    checked = docs.select(F.col("value"), F.try_parse_json("value").alias("v")) \
-        .select("value", err.alias("_err"), order_members.alias("_orders"))
+    checked = shaped.select("value", err.alias("_err"), order_members.alias("_orders"))
     doc_rejects = checked.filter(F.col("_err").isNotNull()).select(
         F.col("value").alias("document"), F.col("_err").alias("reason"))
 
-    orders = (checked.select(F.explode(F.when(F.col("_err").isNull(), F.col("_orders")))
-                              .alias("om"))
-                     .select("om", _products_or_null(F.col("om")["products"]).alias("_products")))
+    orders = (checked.select(*_explode_each(F.when(F.col("_err").isNull(), F.col("_orders")), "om"))
+                     .filter(_kept("om"))
+                     .select("om", *_product_shapes(F.col("om")["products"]))
+                     .select("om", _products_or_null().alias("_products")))
     order_rejects = orders.filter(F.col("_products").isNull()).select(
         F.to_json(F.col("om")).alias("document"),
         F.lit("products is a truthy scalar (not iterable)").alias("reason"))
 
-    rows = orders.select("om", F.explode("_products").alias("pm"))
+    rows = (orders.select("om", *_explode_each(F.col("_products"), "pm"))
+                  .filter(_kept("pm")))
     cols = [_typed(F.col("om")[n], t).alias(n) for n, t in ORDER_FIELDS]
     cols += [_typed(F.col("pm")[n], t).alias(n) for n, t in PRODUCT_FIELDS]
     items = rows.select(*cols, stamp.alias("ingested_at"))
@@ -193,7 +223,8 @@ def ingest_edit_documents(docs: DataFrame, on_error: str = "raise") -> tuple[Dat
                    .select("value", err.alias("_err"), maps.alias("_changes")))
     rejects = checked.filter(F.col("_err").isNotNull()).select(
         F.col("value").alias("document"), F.col("_err").alias("reason"))
-    rc = checked.select(F.explode(F.when(F.col("_err").isNull(), F.col("_changes"))).alias("m"))
+    rc = (checked.select(*_explode_each(F.when(F.col("_err").isNull(), F.col("_changes")), "m"))
+                 .filter(_kept("m")))
     m = F.col("m")
     newlen = F.coalesce(_typed(m["newlen"], T.LongType()), F.lit(0))
     oldlen = F.coalesce(_typed(m["oldlen"], T.LongType()), F.lit(0))
