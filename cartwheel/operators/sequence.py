@@ -112,7 +112,7 @@ def sequence_within_key(df: DataFrame, key: str, order_by: list[str], carry: lis
     local = ranged.mapInPandas(_local_pass(key, carry, prev_names), out_schema)
     path = scratch_path(spark, "sequence")
     local.write.parquet(path)
-    local = spark.read.parquet(path)
+    local = spark.read.schema(out_schema).parquet(path)
 
     # Head/tail table, one row per partition: its first key, and its last row
     # (whose local number is the count of the last key in the partition).
