@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import scratch_path, shuffle_partitions
+from ..session import partitions_for, scratch_path
 
 _PID = "_seq_pid"
 _LRN = "_seq_lrn"
@@ -92,7 +92,7 @@ def sequence_within_key(df: DataFrame, key: str, order_by: list[str], carry: lis
     """Add ``rn_col`` = row_number() and ``prev_<c>`` = lag(c) over
     (PARTITION BY key ORDER BY order_by), without a per-key task."""
     spark = df.sparkSession
-    n = num_partitions or shuffle_partitions(spark)
+    n = num_partitions or partitions_for(df)
     sort_cols = [F.col(key).asc_nulls_first()] + [F.col(c).asc_nulls_first() for c in order_by]
     ranged = (df.repartitionByRange(n, *sort_cols)
                 .sortWithinPartitions(*sort_cols)

@@ -1,0 +1,52 @@
+"""Batch pipelines: the reference's scheduled tasks as single Spark runs.
+
+``run_orders_pipeline``: list the lake's files, stop if there are none (S5),
+read exactly the listed files as one table (S3, T24: every file, no dedup),
+publish a snapshot (S8), optionally delete the files that were read (S13).
+Listing before the read means a file landing mid-run is neither read nor
+deleted (T13); the edit pipeline gets the same treatment (the reference lists
+its files after the load there).
+
+For a continuously fed lake prefer ``streaming.refresh``: the checkpoint
+tracks consumed files and ``cleanSource`` archives them.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import SparkSession
+
+from ..schemas import LAKE_EDITS, LAKE_ITEMS
+from ..sources.lake import _list_parquet_files
+from . import refresh
+
+
+def _delete(spark: SparkSession, files: list[str]) -> None:
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for f in files:
+        path = jvm.org.apache.hadoop.fs.Path(f)
+        path.getFileSystem(conf).delete(path, False)
+
+
+def run_orders_pipeline(spark: SparkSession, lake_dir: str, root: str,
+                        cleanup: bool = False, register_catalog: bool = True) -> str | None:
+    files = _list_parquet_files(spark, lake_dir)
+    if not files:
+        return None
+    lake = spark.read.schema(LAKE_ITEMS).parquet(*files)
+    version = refresh.refresh_orders(spark, lake, root, register_catalog=register_catalog)
+    if cleanup:
+        _delete(spark, files)
+    return version
+
+
+def run_edits_pipeline(spark: SparkSession, lake_dir: str, root: str,
+                       cleanup: bool = False, register_catalog: bool = True) -> str | None:
+    files = _list_parquet_files(spark, lake_dir)
+    if not files:
+        return None
+    edits = spark.read.schema(LAKE_EDITS).parquet(*files)
+    version = refresh.refresh_edits(spark, edits, root, register_catalog=register_catalog)
+    if cleanup:
+        _delete(spark, files)
+    return version

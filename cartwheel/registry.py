@@ -28,7 +28,7 @@ _SNAPSHOTS: dict[tuple[str, str], refresh.OrderSnapshot] = {}
 _ROOTS: dict[tuple[str, str], str] = {}
 
 
-def _materialize() -> bool:
+def materialized() -> bool:
     return os.environ.get("CARTWHEEL_MATERIALIZE", "1") != "0"
 
 
@@ -41,7 +41,7 @@ def lazy_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_snapshot(spark: SparkSession, sf_dir: str) -> refresh.OrderSnapshot:
-    if not _materialize():
+    if not materialized():
         return refresh.derive(lazy_items(spark, sf_dir))
     key = _key(spark, sf_dir)
     with _LOCK:

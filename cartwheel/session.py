@@ -73,6 +73,19 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+def partitions_for(df, target_bytes: int = 128 * 1024 * 1024) -> int:
+    """Partition count for an explicit repartition of ``df``: the session's
+    shuffle partitions, or more when the optimizer's size estimate of ``df``
+    (scan statistics, after column pruning) says partitions would exceed
+    ``target_bytes``."""
+    base = shuffle_partitions(df.sparkSession)
+    try:
+        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except Exception:  # statistics unavailable (e.g. non-classic sessions)
+        return base
+    return max(base, -(-size // target_bytes))
+
+
 def env_cpus(default: int = 8) -> int:
     try:
         return int(os.environ.get("BENCH_CPUS", default))

@@ -257,13 +257,48 @@ def build_edit_documents(spark: SparkSession, sf_dir: str, edits_per_document: i
     return docs.select(F.to_json(F.struct(F.struct("recentchanges").alias("query"))).alias("value"))
 
 
+# ------------------------------------------------------------- landing
+def land_order_documents(spark: SparkSession, docs_path: str, lake_dir: str,
+                         whole_file: bool = False, on_error: str = "raise") -> DataFrame:
+    """S1 + S6: landed order documents -> one appended batch of lake rows.
+
+    Like the reference, a payload that yields no row at all is an error.
+    Returns the rejects (lazy) for the caller to keep or inspect.
+    """
+    from .lake import land_items
+    items, rejects = ingest_order_documents(read_documents(spark, docs_path, whole_file),
+                                            on_error=on_error)
+    if items.isEmpty():
+        raise ValueError("the order documents hold no order rows")
+    land_items(items, lake_dir)
+    return rejects
+
+
+def land_edit_documents(spark: SparkSession, docs_path: str, lake_dir: str,
+                        whole_file: bool = False, on_error: str = "raise") -> DataFrame:
+    """S2 + S7: landed edit documents -> one appended batch of edit rows."""
+    from .lake import land_edits
+    edits, rejects = ingest_edit_documents(read_documents(spark, docs_path, whole_file),
+                                           on_error=on_error)
+    land_edits(edits, lake_dir)
+    return rejects
+
+
 # ------------------------------------------------- registered round trips
 def ingest_orders_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Warehouse items -> documents -> ingest -> clean: equals ``order_items``."""
     from ..plans.clean import clean_items
-    from ..registry import order_snapshot
+    from ..registry import materialized, order_snapshot
+    from ..session import scratch_path
     from .fixtures import fixture_ingested_at
-    docs = build_order_documents(order_snapshot(spark, sf_dir).items)
+    items = order_snapshot(spark, sf_dir).items
+    if not materialized():
+        # Blocks number rows of a file scan; a lazy plan ends in shuffles
+        # whose row order can change when a task is retried.
+        path = scratch_path(spark, "items")
+        items.write.parquet(path)
+        items = spark.read.schema(items.schema).parquet(path)
+    docs = build_order_documents(items)
     items, _ = ingest_order_documents(docs, ingested_at=fixture_ingested_at())
     return clean_items(items)
 

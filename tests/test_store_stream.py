@@ -112,3 +112,34 @@ def test_stream_archives_consumed_files(spark):
     archived = (spark.read.schema(LAKE_ITEMS).option("recursiveFileLookup", "true")
                 .parquet(arch))
     assert archived.filter(F.col("order_id") == 1).count() >= 1
+
+
+def test_batch_pipeline_lists_reads_and_cleans(spark):
+    from cartwheel.plans import pipeline
+    base = scratch_path(spark, "batch")
+    lake_dir, root = f"{base}/lake", f"{base}/wh"
+    assert pipeline.run_orders_pipeline(spark, lake_dir, root) is None          # S5
+    lake.land_items(_lake_rows(spark, [1, 2]), lake_dir)
+    lake.land_items(_lake_rows(spark, [2, 3]), lake_dir)
+    version = pipeline.run_orders_pipeline(spark, lake_dir, root, cleanup=True,
+                                           register_catalog=False)
+    assert version == store.current_version(spark, root)
+    assert refresh.load_orders(spark, root).items.count() == 4                   # T24
+    assert lake._list_parquet_files(spark, lake_dir) == []                       # S13
+    assert pipeline.run_orders_pipeline(spark, lake_dir, root) is None
+    assert store.current_version(spark, root) == version
+
+
+def test_land_documents_refuses_an_empty_payload(spark):
+    from cartwheel.sources import documents as D
+    base = scratch_path(spark, "docs")
+    spark.createDataFrame([('{"orders": []}',)], "value string").coalesce(1) \
+         .write.text(f"{base}/empty")
+    with pytest.raises(ValueError):
+        D.land_order_documents(spark, f"{base}/empty", f"{base}/lake")
+    spark.createDataFrame([('[{"order_id": 1, "products": [{"product_id": 2}]}]',)],
+                          "value string").coalesce(1).write.text(f"{base}/one")
+    D.land_order_documents(spark, f"{base}/one", f"{base}/lake")
+    rows = lake.read_lake(spark, f"{base}/lake").collect()
+    assert [(r.order_id, r.product_id) for r in rows] == [(1, 2)]
+    assert rows[0].ingested_at is not None
