@@ -15,7 +15,7 @@ two results while a key's rows are spread over many tasks:
    reader sees one fixed assignment of rows to partitions.
 4. A head/tail table -- per partition its first key and its last row, whose
    local number is the count of the last key there -- has two rows per
-   partition.  A window over it gives, for each partition's first key, how
+   partition; the pass flags those rows, so building it is a filtered scan.  A window over it gives, for each partition's first key, how
    many rows of the key lie in earlier partitions and the last of them.
 5. That table is broadcast (bounded by the partition count, not by the data)
    and fixes up the rows of each partition's first key.
@@ -32,56 +32,61 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import partitions_for, scratch_path
+from ..session import partitions_for, stage
 
 _PID = "_seq_pid"
 _LRN = "_seq_lrn"
+_FIRST = "_seq_first"
+_LAST = "_seq_last"
 
 
 def _local_pass(key: str, carry: list[str], prev_names: list[str]):
-    """Per-partition numbering over sorted batches; returns a mapInPandas fn."""
+    """Per-partition numbering over sorted batches; returns a mapInPandas fn.
+
+    Also flags the partition's first and last rows, so the head/tail table is
+    a filtered scan rather than an aggregate over every row.  One batch is
+    held back so the last row can be recognised when the input ends.
+    """
+
+    def number(pdf, state):
+        k = pdf[key]
+        prev_k = k.shift(1)
+        same = ((k == prev_k) | (k.isna() & prev_k.isna())).copy()
+        k0 = k.iloc[0]
+        first_same = state["have"] and (
+            (pd.isna(k0) and pd.isna(state["key"])) or (not pd.isna(k0) and k0 == state["key"]))
+        same.iloc[0] = bool(first_same)
+        grp = (~same).cumsum()
+        lrn = pdf.groupby(grp, sort=False).cumcount().astype("int64") + 1
+        if first_same:
+            lrn = lrn + (grp == 0).astype("int64") * state["count"]
+        out = pdf.copy()
+        out[_LRN] = lrn.values
+        for c, p in zip(carry, prev_names):
+            prev = pdf[c].shift(1).astype(object)
+            prev.iloc[0] = state["vals"].get(c) if first_same else None
+            prev[~same.values] = None
+            out[p] = prev.values
+        out[_FIRST] = False
+        out[_LAST] = False
+        if not state["have"]:
+            out.iloc[0, out.columns.get_loc(_FIRST)] = True
+        state.update(have=True, key=k.iloc[-1], count=int(lrn.iloc[-1]),
+                     vals={c: pdf[c].iloc[-1] for c in carry})
+        return out
 
     def run(batches):
-        have_carry = False
-        carry_key = None
-        carry_count = 0
-        carry_vals: dict = {}
-        carry_pid = None
+        state = {"have": False, "key": None, "count": 0, "vals": {}}
+        pending = None
         for pdf in batches:
             if len(pdf) == 0:
-                pdf[_LRN] = pd.Series([], dtype="int64")
-                for c, p in zip(carry, prev_names):
-                    pdf[p] = pdf[c]
-                yield pdf
                 continue
-            k = pdf[key]
-            pid = pdf[_PID].iloc[0]
-            if carry_pid is not None and pid != carry_pid:
-                have_carry = False
-            prev_k = k.shift(1)
-            same = (k == prev_k) | (k.isna() & prev_k.isna())
-            k0 = k.iloc[0]
-            first_same = have_carry and (
-                (pd.isna(k0) and pd.isna(carry_key)) or (not pd.isna(k0) and k0 == carry_key))
-            same = same.copy()
-            same.iloc[0] = bool(first_same)
-            grp = (~same).cumsum()
-            lrn = pdf.groupby(grp, sort=False).cumcount().astype("int64") + 1
-            if first_same:
-                lrn = lrn + (grp == 0).astype("int64") * carry_count
-            out = pdf.copy()
-            out[_LRN] = lrn.values
-            for c, p in zip(carry, prev_names):
-                prev = pdf[c].shift(1).astype(object)
-                prev.iloc[0] = carry_vals.get(c) if first_same else None
-                prev[~same.values] = None
-                out[p] = prev.values
-            have_carry = True
-            carry_key = k.iloc[-1]
-            carry_count = int(lrn.iloc[-1])
-            carry_vals = {c: pdf[c].iloc[-1] for c in carry}
-            carry_pid = pid
-            yield out
+            if pending is not None:
+                yield pending
+            pending = number(pdf, state)
+        if pending is not None:
+            pending.iloc[-1, pending.columns.get_loc(_LAST)] = True
+            yield pending
 
     return run
 
@@ -103,31 +108,26 @@ def sequence_within_key(df: DataFrame, key: str, order_by: list[str], carry: lis
     out_schema = T.StructType(
         list(ranged.schema.fields)
         + [T.StructField(_LRN, T.LongType(), False)]
-        + [T.StructField(p, fields[c].dataType, True) for c, p in zip(carry, prev_names)])
+        + [T.StructField(p, fields[c].dataType, True) for c, p in zip(carry, prev_names)]
+        + [T.StructField(_FIRST, T.BooleanType(), False),
+           T.StructField(_LAST, T.BooleanType(), False)])
     # The local pass is written once as a table in the shared checkpoint
     # folder: every later read sees the same partition ids, however the
     # optimizer prunes the branches below, and a lost executor cannot
     # re-sample range bounds.  (An eager ``checkpoint()`` would run the pass
     # twice: once for its count, once more to write the checkpoint.)
-    local = ranged.mapInPandas(_local_pass(key, carry, prev_names), out_schema)
-    path = scratch_path(spark, "sequence")
-    local.write.parquet(path)
-    local = spark.read.schema(out_schema).parquet(path)
-
-    # Head/tail table, one row per partition: its first key, and its last row
-    # (whose local number is the count of the last key in the partition).
-    first = F.struct(*[F.col(c) for c in [key, *order_by]])
-    last_cols = list(dict.fromkeys([key, *order_by, _LRN, *carry]))
-    last = F.struct(*[F.col(c) for c in last_cols])
-    ends = local.groupBy(_PID).agg(F.min(first).alias("_first"), F.max(last).alias("_last"))
+    local = stage(ranged.mapInPandas(_local_pass(key, carry, prev_names), out_schema),
+                  "sequence")
+
+    # Head/tail table from the flagged rows: per partition its first key, and
+    # its last row, whose local number is the count of the last key there.
     vals_type = T.StructType([T.StructField(c, fields[c].dataType, True) for c in carry])
-    heads = ends.select(
-        F.col(_PID), F.col("_first")[key].alias("_k"), F.lit(0).alias("_kind"),
+    heads = local.filter(F.col(_FIRST)).select(
+        F.col(_PID), F.col(key).alias("_k"), F.lit(0).alias("_kind"),
         F.lit(0).cast("long").alias("_cnt"), F.lit(None).cast(vals_type).alias("_vals"))
-    tails = ends.select(
-        F.col(_PID), F.col("_last")[key].alias("_k"), F.lit(1).alias("_kind"),
-        F.col("_last")[_LRN].alias("_cnt"),
-        F.struct(*[F.col("_last")[c].alias(c) for c in carry]).cast(vals_type).alias("_vals"))
+    tails = local.filter(F.col(_LAST)).select(
+        F.col(_PID), F.col(key).alias("_k"), F.lit(1).alias("_kind"), F.col(_LRN).alias("_cnt"),
+        F.struct(*[F.col(c) for c in carry]).cast(vals_type).alias("_vals"))
     # Running totals per key over at most 2 rows per partition.
     w = (Window.partitionBy("_k").orderBy(_PID, "_kind")
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -144,4 +144,4 @@ def sequence_within_key(df: DataFrame, key: str, order_by: list[str], carry: lis
     for c, p in zip(carry, prev_names):
         result = result.withColumn(
             p, F.when(F.col(_LRN) == 1, F.col("_carry")[c]).otherwise(F.col(p)))
-    return result.drop(_PID, _LRN, "_fp", "_k", "_off", "_carry")
+    return result.drop(_PID, _LRN, _FIRST, _LAST, "_fp", "_k", "_off", "_carry")

@@ -69,6 +69,18 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return f"{root}/{name}/{leaf}" if leaf else f"{root}/{name}"
 
 
+def stage(df, name: str):
+    """Write ``df`` once as Parquet under the shared checkpoint folder and read
+    it back: a lineage cut that every later reader shares (a plan used by two
+    branches is otherwise computed twice when they prune columns
+    differently), that survives executor loss, and -- unlike an eager
+    ``checkpoint()`` -- computes ``df`` only once."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 

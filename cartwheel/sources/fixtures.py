@@ -9,7 +9,9 @@ uses ``sequence_within_key`` so a customer with a huge share of orders is not
 one task.  The "has this user bought this product name before" flag is a
 partial aggregate (min order number per user and name, combined map-side)
 joined back on its key, so a hot (user, name) pair is handled by AQE's skew
-join split instead of a single window task.  ``part`` is joined by Catalyst's
+join split instead of a single window task; the joined rows are staged once
+(written to the shared checkpoint folder) because both the aggregate and the
+flagged rows read them.  ``part`` is joined by Catalyst's
 own size check: broadcast below ``autoBroadcastJoinThreshold`` (it uses the
 scan's size statistics), sort-merge above it.
 """
@@ -20,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.sequence import sequence_within_key
+from ..session import stage
 from .tables import read_table
 
 # The p_type values in sorted order; an aisle's id is its
@@ -76,6 +79,9 @@ def lake_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_linenumber").alias("add_to_cart_order"),
     )
 
+    # ``base`` feeds both the per-pair aggregate and the rows it flags; staged
+    # once so the orders x lineitem join is not computed twice.
+    base = stage(base, "fixture-base")
     # First order number at which each user bought each product name
     # (partial + final aggregate; output is one row per pair).
     firsts = (base.filter(F.col("product_id").isNotNull())
