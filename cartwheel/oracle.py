@@ -379,6 +379,26 @@ UNION ALL
 SELECT 'orders_hourly_summary', count(*) FROM hourly""", PRODUCT_CTE, DEPARTMENT_CTE, HOURLY_CTE)
     order_all = ", ".join(f"{c.strip()} NULLS FIRST" for c in ITEM_COLS.split(","))
     sql["v_sample"] = _items_sql(f"SELECT {ITEM_COLS} FROM items ORDER BY {order_all} LIMIT 20")
+    not_null = {
+        "orders_order_items": ("items", ["order_id", "user_id", "order_number", "order_dow",
+                                         "order_hour_of_day", "eval_set", "ingested_at"]),
+        "orders_product_summary": ("product", ["product_id", "product_name", "aisle", "department",
+                                               "total_order_lines", "unique_orders",
+                                               "reordered_count", "reorder_rate",
+                                               "avg_add_to_cart_order"]),
+        "orders_department_summary": ("department_mart", ["department_id", "department",
+                                                          "total_order_lines", "unique_orders",
+                                                          "unique_products", "reordered_count",
+                                                          "reorder_rate"]),
+        "orders_hourly_summary": ("hourly", ["order_dow", "order_hour_of_day", "total_orders",
+                                             "total_order_lines", "unique_users",
+                                             "avg_items_per_order"]),
+    }
+    null_parts = [f"SELECT '{t}' AS table_name, '{c}' AS column_name, "
+                  f"count(*) FILTER (WHERE {c} IS NULL) AS null_rows FROM {view}"
+                  for t, (view, cols) in not_null.items() for c in cols]
+    sql["v_null_checks"] = _items_sql("\nUNION ALL\n".join(null_parts),
+                                      PRODUCT_CTE, DEPARTMENT_CTE, HOURLY_CTE)
     # Round trips and refreshes must reproduce the table they rebuild.
     sql["ingest_orders_json"] = sql["order_items"]
     sql["ingest_edits_json"] = sql["edits_trending"]

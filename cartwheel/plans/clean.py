@@ -25,7 +25,9 @@ def lenient_cast(col: Column, source: T.DataType, target: T.DataType) -> Column:
 
 
 def clean_items(lake: DataFrame) -> DataFrame:
-    """16 typed columns; null text -> '' for eval_set, product_name, aisle, department."""
+    """16 typed columns; null text -> '' for eval_set, product_name, aisle,
+    department; NaN -> null in double columns (S12: the reference's load
+    turned pandas NaN into NULL)."""
     source = {f.name: f.dataType for f in lake.schema.fields}
     cols = []
     for field in LAKE_ITEMS.fields:
@@ -36,6 +38,8 @@ def clean_items(lake: DataFrame) -> DataFrame:
             c = F.lit(None).cast(field.dataType)
         if name in TEXT_DEFAULT_EMPTY:
             c = F.coalesce(c, F.lit(""))
+        if isinstance(field.dataType, T.DoubleType):
+            c = F.nanvl(c, F.lit(None).cast("double"))
         cols.append(c.alias(name))
     return lake.select(*cols)
 

@@ -81,6 +81,11 @@ def _row_counts(spark, sf):
     return q.v_row_counts(s.items, s.product, s.department, s.hourly)
 
 
+def _null_checks(spark, sf):
+    from .plans.checks import null_report
+    return null_report(order_snapshot(spark, sf))
+
+
 def _show_tables(spark, sf):
     order_snapshot(spark, sf)
     return store.list_tables(spark, "orders*")
@@ -143,6 +148,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "v_row_counts": _row_counts,
     "v_sample": _items(q.v_sample),
     "v_show_tables": _show_tables,
+    "v_null_checks": _null_checks,
     # ingest: documents built from the given tables, parsed back (round trip)
     "ingest_orders_json": _from_documents("ingest_orders_json"),
     "ingest_edits_json": _from_documents("ingest_edits_json"),

@@ -59,3 +59,23 @@ def test_fixture_facts_sf001(spark):
     assert (kpi.avg_items_per_order, kpi.reorder_rate_percent) == (4.07, 25.71)
     top = _rows(spark, "edits_trending", SF_MEDIUM)[0]
     assert (top.title, top.total_edits, top.bot_edits) == ("page_149", 86, 21)
+
+
+@pytest.mark.parametrize("sf", [SF_SMALL, SF_MEDIUM])
+def test_invariant_checks_hold(spark, sf):
+    from cartwheel.plans.checks import invariants
+    from cartwheel.registry import order_snapshot
+    rows = invariants(order_snapshot(spark, sf)).collect()
+    assert len(rows) == 7
+    assert all(r.ok for r in rows), [r.check_name for r in rows if not r.ok]
+
+
+def test_null_report_counts_declared_non_null_columns(spark, items_df):
+    from cartwheel.plans.checks import null_report
+    from cartwheel.plans.refresh import derive
+    items = items_df([{"order_id": None, "user_id": 1, "product_id": 3},
+                      {"order_id": 2, "user_id": 1, "product_id": None, "order_dow": 1}])
+    rows = {(r.table_name, r.column_name): r.null_rows for r in null_report(derive(items)).collect()}
+    assert rows[("orders_order_items", "order_id")] == 1
+    assert rows[("orders_order_items", "order_dow")] == 1
+    assert rows[("orders_order_items", "eval_set")] == 0

@@ -187,3 +187,9 @@ def test_day_names(spark):
     df = spark.createDataFrame([(i,) for i in range(-1, 8)], "d int")
     names = [r.n for r in df.select(buckets.day_name(F.col("d")).alias("n")).collect()]
     assert names == ["Unknown"] + buckets.DAY_NAMES + ["Unknown"]
+
+
+def test_nan_in_double_columns_becomes_null(spark):
+    df = spark.createDataFrame([(1, float("nan")), (2, 3.0)], "order_id long, days_since_prior_order double")
+    got = {r.order_id: r.days_since_prior_order for r in clean_items(df).collect()}
+    assert got == {1: None, 2: 3.0}
