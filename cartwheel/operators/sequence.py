@@ -5,90 +5,52 @@ send every row of a key to one task; a key holding a third of the rows makes
 that one task do a third of the job.  ``sequence_within_key`` returns the same
 two results while a key's rows are spread over many tasks:
 
-1. Range-partition on ``(k, o...)`` and sort inside each partition.  The
-   sampled bounds include the order columns, so a hot key is cut into
-   consecutive slices that land in different partitions.
-2. One vectorised pass per partition (pandas over Arrow batches, state carried
-   from batch to batch) numbers rows and takes the previous row *within the
-   partition*.
-3. The pass output is written once to the shared checkpoint folder, so every
-   reader sees one fixed assignment of rows to partitions.
-4. A head/tail table -- per partition its first key and its last row, whose
-   local number is the count of the last key there -- has two rows per
-   partition; the pass flags those rows, so building it is a filtered scan.  A window over it gives, for each partition's first key, how
-   many rows of the key lie in earlier partitions and the last of them.
-5. That table is broadcast (bounded by the partition count, not by the data)
-   and fixes up the rows of each partition's first key.
-
-One shuffle and one checkpoint write of the input; everything else is bounded
-by the partition count.
-``order_by`` should make rows unique inside a key, as for ``lag``.
+1. Range-partition on ``(k, o...)``.  The sampled bounds include the order
+   columns, so a hot key is cut into consecutive slices that land in
+   different partitions; each row records its range partition id.
+2. Write that once as a table bucketed by the slice id (each task holds one
+   id, so it writes one sorted file) in the shared checkpoint folder.  Read
+   back, Spark knows the data is hash-partitioned by the id, so windows over
+   ``(id, k)`` and over ``id`` need no shuffle: they number rows and take the
+   previous row *within the slice*, and flag each slice's first and last
+   rows.  Every later read sees the same slices.
+3. A head/tail table -- per slice its first key, and its last row, whose local
+   number is the count of the last key there -- has two rows per slice.  A
+   window over it gives, for each slice's first key, how many rows of the key
+   lie in earlier slices and the last of them.
+4. That table is broadcast (bounded by the partition count, not by the data)
+   and fixes up the rows of each slice's first key.
+
+One shuffle and one write of the input, all JVM-side; everything else is
+bounded by the partition count.  ``order_by`` should make rows unique inside
+a key, as for ``lag``.
 """
 
 from __future__ import annotations
 
-import pandas as pd
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import partitions_for, stage
+from ..session import partitions_for, scratch_path
 
 _PID = "_seq_pid"
 _LRN = "_seq_lrn"
-_FIRST = "_seq_first"
-_LAST = "_seq_last"
-
-
-def _local_pass(key: str, carry: list[str], prev_names: list[str]):
-    """Per-partition numbering over sorted batches; returns a mapInPandas fn.
+SCRATCH_DATABASE = "cartwheel_scratch"
 
-    Also flags the partition's first and last rows, so the head/tail table is
-    a filtered scan rather than an aggregate over every row.  One batch is
-    held back so the last row can be recognised when the input ends.
-    """
 
-    def number(pdf, state):
-        k = pdf[key]
-        prev_k = k.shift(1)
-        same = ((k == prev_k) | (k.isna() & prev_k.isna())).copy()
-        k0 = k.iloc[0]
-        first_same = state["have"] and (
-            (pd.isna(k0) and pd.isna(state["key"])) or (not pd.isna(k0) and k0 == state["key"]))
-        same.iloc[0] = bool(first_same)
-        grp = (~same).cumsum()
-        lrn = pdf.groupby(grp, sort=False).cumcount().astype("int64") + 1
-        if first_same:
-            lrn = lrn + (grp == 0).astype("int64") * state["count"]
-        out = pdf.copy()
-        out[_LRN] = lrn.values
-        for c, p in zip(carry, prev_names):
-            prev = pdf[c].shift(1).astype(object)
-            prev.iloc[0] = state["vals"].get(c) if first_same else None
-            prev[~same.values] = None
-            out[p] = prev.values
-        out[_FIRST] = False
-        out[_LAST] = False
-        if not state["have"]:
-            out.iloc[0, out.columns.get_loc(_FIRST)] = True
-        state.update(have=True, key=k.iloc[-1], count=int(lrn.iloc[-1]),
-                     vals={c: pdf[c].iloc[-1] for c in carry})
-        return out
-
-    def run(batches):
-        state = {"have": False, "key": None, "count": 0, "vals": {}}
-        pending = None
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            if pending is not None:
-                yield pending
-            pending = number(pdf, state)
-        if pending is not None:
-            pending.iloc[-1, pending.columns.get_loc(_LAST)] = True
-            yield pending
-
-    return run
+def _bucketed_stage(ranged: DataFrame, n: int, sort_cols: list[str]) -> DataFrame:
+    """Write ``ranged`` bucketed (and sorted) by the slice id, read it back."""
+    spark = ranged.sparkSession
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {SCRATCH_DATABASE} "
+              f"LOCATION '{scratch_path(spark, 'scratch-db')}'")
+    name = f"{SCRATCH_DATABASE}.seq_{uuid.uuid4().hex[:16]}"
+    (ranged.write.bucketBy(n, _PID).sortBy(_PID, *sort_cols)
+           .option("path", scratch_path(spark, "sequence"))
+           .saveAsTable(name))
+    return spark.table(name)
 
 
 def sequence_within_key(df: DataFrame, key: str, order_by: list[str], carry: list[str],
@@ -96,39 +58,34 @@ def sequence_within_key(df: DataFrame, key: str, order_by: list[str], carry: lis
                         num_partitions: int | None = None) -> DataFrame:
     """Add ``rn_col`` = row_number() and ``prev_<c>`` = lag(c) over
     (PARTITION BY key ORDER BY order_by), without a per-key task."""
-    spark = df.sparkSession
     n = num_partitions or partitions_for(df)
-    sort_cols = [F.col(key).asc_nulls_first()] + [F.col(c).asc_nulls_first() for c in order_by]
-    ranged = (df.repartitionByRange(n, *sort_cols)
-                .sortWithinPartitions(*sort_cols)
-                .withColumn(_PID, F.spark_partition_id()))
-
-    fields = {f.name: f for f in ranged.schema.fields}
+    order_cols = [F.col(key).asc_nulls_first()] + [F.col(c).asc_nulls_first() for c in order_by]
+    ranged = df.repartitionByRange(n, *order_cols).withColumn(_PID, F.spark_partition_id())
+    staged = _bucketed_stage(ranged, n, [key, *order_by])
+    fields = {f.name: f for f in staged.schema.fields}
     prev_names = [f"{prev_prefix}{c}" for c in carry]
-    out_schema = T.StructType(
-        list(ranged.schema.fields)
-        + [T.StructField(_LRN, T.LongType(), False)]
-        + [T.StructField(p, fields[c].dataType, True) for c, p in zip(carry, prev_names)]
-        + [T.StructField(_FIRST, T.BooleanType(), False),
-           T.StructField(_LAST, T.BooleanType(), False)])
-    # The local pass is written once as a table in the shared checkpoint
-    # folder: every later read sees the same partition ids, however the
-    # optimizer prunes the branches below, and a lost executor cannot
-    # re-sample range bounds.  (An eager ``checkpoint()`` would run the pass
-    # twice: once for its count, once more to write the checkpoint.)
-    local = stage(ranged.mapInPandas(_local_pass(key, carry, prev_names), out_schema),
-                  "sequence")
 
-    # Head/tail table from the flagged rows: per partition its first key, and
-    # its last row, whose local number is the count of the last key there.
+    # Within each slice.  No shuffle: the table is bucketed on the slice id,
+    # and both windows sort by (slice, key, order), so one sort serves both.
+    in_key = Window.partitionBy(_PID, key).orderBy(*order_cols[1:])
+    in_slice = Window.partitionBy(_PID).orderBy(*order_cols)
+    local = staged.select(
+        *[F.col(c) for c in staged.columns],
+        F.row_number().over(in_key).cast("long").alias(_LRN),
+        *[F.lag(c).over(in_key).alias(p) for c, p in zip(carry, prev_names)],
+        F.lag(F.lit(1)).over(in_slice).isNull().alias("_first"),
+        F.lead(F.lit(1)).over(in_slice).isNull().alias("_last"))
+
+    # Head/tail table: per slice its first key, and its last row, whose local
+    # number is the count of the last key there.
     vals_type = T.StructType([T.StructField(c, fields[c].dataType, True) for c in carry])
-    heads = local.filter(F.col(_FIRST)).select(
+    heads = local.filter(F.col("_first")).select(
         F.col(_PID), F.col(key).alias("_k"), F.lit(0).alias("_kind"),
         F.lit(0).cast("long").alias("_cnt"), F.lit(None).cast(vals_type).alias("_vals"))
-    tails = local.filter(F.col(_LAST)).select(
+    tails = local.filter(F.col("_last")).select(
         F.col(_PID), F.col(key).alias("_k"), F.lit(1).alias("_kind"), F.col(_LRN).alias("_cnt"),
         F.struct(*[F.col(c) for c in carry]).cast(vals_type).alias("_vals"))
-    # Running totals per key over at most 2 rows per partition.
+    # Running totals per key over at most 2 rows per slice.
     w = (Window.partitionBy("_k").orderBy(_PID, "_kind")
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     fix = (heads.unionByName(tails)
@@ -144,4 +101,4 @@ def sequence_within_key(df: DataFrame, key: str, order_by: list[str], carry: lis
     for c, p in zip(carry, prev_names):
         result = result.withColumn(
             p, F.when(F.col(_LRN) == 1, F.col("_carry")[c]).otherwise(F.col(p)))
-    return result.drop(_PID, _LRN, _FIRST, _LAST, "_fp", "_k", "_off", "_carry")
+    return result.drop(_PID, _LRN, "_first", "_last", "_fp", "_k", "_off", "_carry")
