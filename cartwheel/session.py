@@ -86,13 +86,15 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 
 def partitions_for(df, target_bytes: int = 128 * 1024 * 1024) -> int:
-    """Partition count for an explicit repartition of ``df``: the session's
-    shuffle partitions, or more when the optimizer's size estimate of ``df``
-    (scan statistics, after column pruning) says partitions would exceed
-    ``target_bytes``."""
-    base = shuffle_partitions(df.sparkSession)
+    """Partition count for an explicit repartition of ``df``: enough that no
+    partition exceeds ``target_bytes`` by the optimizer's size estimate (scan
+    statistics after column pruning), and never fewer than the cluster's
+    parallelism.  (AQE does not coalesce a repartition with an explicit
+    count, so small inputs should not get hundreds of slices.)"""
+    base = df.sparkSession.sparkContext.defaultParallelism
     try:
-        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        size = int(size if isinstance(size, int) else size.toString())
     except Exception:  # statistics unavailable (e.g. non-classic sessions)
         return base
     return max(base, -(-size // target_bytes))

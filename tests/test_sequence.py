@@ -68,3 +68,10 @@ def test_empty_input(spark):
     out = sequence_within_key(df, "k", ["d", "id"], ["d"], rn_col="rn", num_partitions=4)
     assert out.count() == 0
     assert {"rn", "prev_d"} <= set(out.columns)
+
+
+def test_partition_count_follows_size(spark):
+    from cartwheel.session import partitions_for
+    small = spark.range(10)
+    assert partitions_for(small) == spark.sparkContext.defaultParallelism
+    assert partitions_for(small, target_bytes=1) >= 10
