@@ -62,6 +62,13 @@ def _scalar_kind(v: Column) -> Column:
     return F.regexp_extract(F.schema_of_variant(v), r"^([A-Z]+)", 1)
 
 
+def load_stamp() -> Column:
+    """One load time per query, naive UTC whatever the session time zone,
+    floored to milliseconds."""
+    utc = F.convert_timezone(F.lit("UTC"), F.localtimestamp())
+    return F.date_trunc("millisecond", utc).cast("timestamp_ntz")
+
+
 def _explode_each(arr: Column, name: str) -> list[Column]:
     """Generator over ``arr`` that keeps null elements and emits nothing for a
     null or empty array -- like ``explode`` -- but through
@@ -131,8 +138,7 @@ def ingest_order_documents(docs: DataFrame, ingested_at: Column | None = None,
     casts would be pushed below the projection and re-run the cast once per
     reference.
     """
-    stamp = ingested_at if ingested_at is not None else \
-        F.date_trunc("millisecond", F.current_timestamp()).cast("timestamp_ntz")
+    stamp = ingested_at if ingested_at is not None else load_stamp()
     parsed = docs.select(F.col("value"), F.try_parse_json("value").alias("v"))
     shaped = parsed.select(
         "value", F.col("v"),
