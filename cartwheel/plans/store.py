@@ -107,16 +107,6 @@ def commit(spark: SparkSession, root: str, version: str, tables: list[str],
     _write_marker(spark, root, version)
 
 
-def publish(spark: SparkSession, root: str, frames: dict[str, DataFrame],
-            register_catalog: bool = True) -> str:
-    """Write every table of a snapshot, then switch readers to it."""
-    version = new_version()
-    for table, df in frames.items():
-        write_sorted(df, table_path(root, table, version), SORT_KEYS[table])
-    commit(spark, root, version, list(frames), register_catalog)
-    return version
-
-
 def read_published(spark: SparkSession, root: str, table: str,
                    version: str | None = None) -> DataFrame:
     version = version or current_version(spark, root)

@@ -9,12 +9,24 @@ because a machine-local folder is not visible to other executors.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+# Settings for a large cluster (100 TB inputs), passed as ``extra`` to
+# ``build_session`` or set in the cluster's defaults.  Shuffle partitions
+# start high and AQE coalesces them towards the advisory size; file splits
+# match it; skew splitting triggers on partitions 5x the median and > 512 MB.
+CLUSTER_SETTINGS = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+}
+
 # Session settings every plan in the package assumes.
 SESSION_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -98,10 +110,3 @@ def partitions_for(df, target_bytes: int = 128 * 1024 * 1024) -> int:
     except Exception:  # statistics unavailable (e.g. non-classic sessions)
         return base
     return max(base, -(-size // target_bytes))
-
-
-def env_cpus(default: int = 8) -> int:
-    try:
-        return int(os.environ.get("BENCH_CPUS", default))
-    except ValueError:
-        return default
