@@ -65,7 +65,7 @@ def _scalar_kind(v: Column) -> Column:
 def load_stamp() -> Column:
     """One load time per query, naive UTC whatever the session time zone,
     floored to milliseconds."""
-    utc = F.convert_timezone(F.lit("UTC"), F.localtimestamp())
+    utc = F.convert_timezone(None, F.lit("UTC"), F.localtimestamp())
     return F.date_trunc("millisecond", utc).cast("timestamp_ntz")
 
 
