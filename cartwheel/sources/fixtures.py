@@ -6,7 +6,8 @@ lines.  F2: ``events`` -> edit lake rows (R4).
 
 Scale notes.  The per-customer numbering (order_number, previous order date)
 uses ``sequence_within_key`` so a customer with a huge share of orders is not
-one task.  The "has this user bought this product name before" flag is a
+one task.  The orders/lineitem left join is split into an inner join and an
+anti join so a huge order's lines can be split by AQE (see below).  The "has this user bought this product name before" flag is a
 partial aggregate (min order number per user and name, combined map-side)
 joined back on its key, so a hot (user, name) pair is handled by AQE's skew
 join split instead of a single window task; the joined rows are staged once
@@ -56,14 +57,34 @@ def order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def orders_left_join_lines(orders: DataFrame, lines: DataFrame, order_key: str,
+                           line_key: str) -> DataFrame:
+    """``orders LEFT JOIN lines`` as two skew-friendly joins.
+
+    AQE splits skewed partitions only on the side whose rows may be
+    duplicated safely -- for a left outer join, the left -- and a hot order
+    skews the lines side.  Lines with their order form an inner join (either
+    side can be split); orders without lines come from an anti join against
+    the distinct line keys (partially aggregated, so a hot key collapses
+    before the shuffle).
+    """
+    with_lines = lines.join(orders, lines[line_key] == orders[order_key], "inner")
+    line_keys = lines.select(line_key).distinct()
+    without_lines = (orders.join(line_keys, orders[order_key] == line_keys[line_key], "left_anti")
+                           .select(*orders.columns,
+                                   *[F.lit(None).cast(f.dataType).alias(f.name)
+                                     for f in lines.schema.fields]))
+    return with_lines.unionByName(without_lines)
+
+
 def lake_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lake rows (R2) before cleaning; nulls are still nulls."""
     orders = order_rows(spark, sf_dir)
     lines = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey", "l_linenumber"])
     parts = read_table(spark, sf_dir, "part", ["p_partkey", "p_name", "p_brand", "p_type"])
 
-    joined = (orders.join(lines, orders.order_id == lines.l_orderkey, "left")
-                    .join(parts, F.col("l_partkey") == F.col("p_partkey"), "left"))
+    joined = (orders_left_join_lines(orders, lines, "order_id", "l_orderkey")
+              .join(parts, F.col("l_partkey") == F.col("p_partkey"), "left"))
     gap = (F.col("l_partkey") % DEPARTMENT_GAP_EVERY) == 0
     base = joined.select(
         "order_id", "user_id", "order_number", "order_dow", "order_hour_of_day",

@@ -34,3 +34,46 @@ def test_share_uses_scalar_subquery_not_a_single_partition_window(spark):
     plan = _plan(QUERIES["q04_department_share"](spark, SF_SMALL))
     assert "Subquery" in plan
     assert "Window" not in plan
+
+
+def test_hot_order_lines_are_split_by_aqe(spark):
+    """A lineitem where one order holds a third of the lines: the fixture's
+    join shape lets AQE split that order's partition, and the result equals
+    a plain orders LEFT JOIN lineitem."""
+    from pyspark.sql import functions as F
+
+    from cartwheel.sources.fixtures import orders_left_join_lines
+    from conftest import SF_MEDIUM
+
+    settings = {
+        "spark.sql.shuffle.partitions": "32",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    }
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        lines = (spark.read.parquet(f"{SF_MEDIUM}/lineitem.parquet")
+                 .select("l_orderkey", "l_partkey", "l_linenumber")
+                 .withColumn("l_orderkey", F.when(F.col("l_partkey") % 3 == 0, F.lit(5))
+                             .otherwise(F.col("l_orderkey")))
+                 .repartition(16))
+        orders = spark.read.parquet(f"{SF_MEDIUM}/orders.parquet").select(
+            F.col("o_orderkey").alias("order_id"), "o_custkey")
+        joined = orders_left_join_lines(orders, lines, "order_id", "l_orderkey")
+        got = joined.toArrow()
+        assert "skew=true" in _plan(joined)
+        plain = orders.join(lines, orders.order_id == lines.l_orderkey, "left")
+        assert got.num_rows == plain.count()
+        assert joined.exceptAll(plain.select(*joined.columns)).count() == 0
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
