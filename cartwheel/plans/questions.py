@@ -253,9 +253,13 @@ def q17_department_aisle_flow(items: DataFrame, k: int = 30) -> DataFrame:
 
 def q18_basket_by_day(items: DataFrame) -> DataFrame:
     # any(order_dow) -> min: deterministic and equal when constant per order.
+    # One row per order, sorted on two low-cardinality keys: the unique
+    # order_id as last sort key lets the range sort cut between equal
+    # (day, size) pairs instead of putting each pair in one partition.
     return (_baskets(items)
-            .select(day_name(F.col("order_dow")).alias("day_name"), "basket_size")
-            .orderBy("day_name", "basket_size"))
+            .select(day_name(F.col("order_dow")).alias("day_name"), "basket_size", "order_id")
+            .orderBy("day_name", "basket_size", "order_id")
+            .drop("order_id"))
 
 
 def x_basket_box(items: DataFrame) -> DataFrame:
