@@ -20,7 +20,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schemas import DDL, SORT_KEYS
+from ..schemas import DDL
 
 DATABASE = "analytics"
 _CURRENT = "_CURRENT"
