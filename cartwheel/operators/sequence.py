@@ -50,7 +50,11 @@ def _bucketed_stage(ranged: DataFrame, n: int, sort_cols: list[str]) -> DataFram
     (ranged.write.bucketBy(n, _PID).sortBy(_PID, *sort_cols)
            .option("path", scratch_path(spark, "sequence"))
            .saveAsTable(name))
-    return spark.table(name)
+    staged = spark.table(name)
+    # The DataFrame is resolved (bucket spec included); the catalog entry is
+    # no longer needed, and dropping an external table keeps its files.
+    spark.sql(f"DROP TABLE {name}")
+    return staged
 
 
 def sequence_within_key(df: DataFrame, key: str, order_by: list[str], carry: list[str],
