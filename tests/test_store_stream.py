@@ -143,3 +143,23 @@ def test_land_documents_refuses_an_empty_payload(spark):
     rows = lake.read_lake(spark, f"{base}/lake").collect()
     assert [(r.order_id, r.product_id) for r in rows] == [(1, 2)]
     assert rows[0].ingested_at is not None
+
+
+def test_edit_documents_land_and_refresh(spark):
+    import json
+    from cartwheel.plans import pipeline
+    from cartwheel.schemas import TRENDING_TABLE
+    from cartwheel.sources import documents as D
+    base = scratch_path(spark, "edits")
+    docs = [json.dumps({"query": {"recentchanges": [
+        {"rcid": i, "title": "A" if i % 3 else "B", "newlen": i, "oldlen": 0,
+         **({"bot": ""} if i % 2 else {})} for i in range(1, 7)]}})]
+    spark.createDataFrame([(d,) for d in docs], "value string").coalesce(1).write.text(f"{base}/docs")
+    rejects = D.land_edit_documents(spark, f"{base}/docs", f"{base}/lake")
+    assert rejects.count() == 0
+    version = pipeline.run_edits_pipeline(spark, f"{base}/lake", f"{base}/wh", cleanup=True,
+                                          register_catalog=False)
+    rows = {r.title: r for r in store.read_published(spark, f"{base}/wh", TRENDING_TABLE, version).collect()}
+    assert (rows["A"].total_edits, rows["A"].total_bytes_changed) == (4, 1 + 2 + 4 + 5)
+    assert (rows["B"].total_edits, rows["B"].bot_edits) == (2, 1)
+    assert lake._list_parquet_files(spark, f"{base}/lake") == []
