@@ -163,3 +163,20 @@ def test_edit_documents_land_and_refresh(spark):
     assert (rows["A"].total_edits, rows["A"].total_bytes_changed) == (4, 1 + 2 + 4 + 5)
     assert (rows["B"].total_edits, rows["B"].bot_edits) == (2, 1)
     assert lake._list_parquet_files(spark, f"{base}/lake") == []
+
+
+def test_cli_land_refresh_question(spark, capsys):
+    import json
+    from cartwheel.__main__ import main
+    base = scratch_path(spark, "cli")
+    doc = json.dumps([{"order_id": 1, "user_id": 7, "order_number": 1, "order_dow": 0,
+                       "order_hour_of_day": 9, "products": [{"product_id": 11, "reordered": 0}]},
+                      {"order_id": 2, "user_id": 7, "order_number": 2, "order_dow": 1,
+                       "order_hour_of_day": 9, "products": []}])
+    spark.createDataFrame([(doc,)], "value string").coalesce(1).write.text(f"{base}/docs")
+    main(["land-orders", f"{base}/docs", f"{base}/lake"])
+    main(["refresh-orders", f"{base}/lake", f"{base}/wh", "--cleanup"])
+    main(["question", "q15_freshness", f"{base}/wh", "--out", f"{base}/q15"])
+    row = spark.read.parquet(f"{base}/q15").first()
+    assert (row.total_orders_in_current_load, row.total_order_lines_in_current_load) == (2, 2)
+    assert lake._list_parquet_files(spark, f"{base}/lake") == []
