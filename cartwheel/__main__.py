@@ -1,4 +1,4 @@
-"""Command line for the pipeline steps.
+"""Command line for the landing, refresh and question steps.
 
     python -m cartwheel land-orders   DOCS LAKE            # documents -> lake rows
     python -m cartwheel land-edits    DOCS LAKE
@@ -21,7 +21,7 @@ import inspect
 
 from pyspark.sql import SparkSession
 
-from .plans import pipeline, questions, refresh
+from .plans import batch, questions, refresh
 from .session import SESSION_DEFAULTS, ensure_checkpoint_dir
 from .sources import documents
 from .streaming import refresh as stream
@@ -83,9 +83,9 @@ def main(argv: list[str] | None = None) -> None:
     elif args.cmd == "land-edits":
         documents.land_edit_documents(spark, args.docs, args.lake, whole_file=args.whole_file)
     elif args.cmd == "refresh-orders":
-        print(pipeline.run_orders_pipeline(spark, args.lake, args.warehouse, cleanup=args.cleanup))
+        print(batch.run_orders_batch(spark, args.lake, args.warehouse, cleanup=args.cleanup))
     elif args.cmd == "refresh-edits":
-        print(pipeline.run_edits_pipeline(spark, args.lake, args.warehouse, cleanup=args.cleanup))
+        print(batch.run_edits_batch(spark, args.lake, args.warehouse, cleanup=args.cleanup))
     elif args.cmd in ("stream-orders", "stream-edits"):
         start = stream.start_order_refresh if args.cmd == "stream-orders" else stream.start_edit_refresh
         start(spark, args.lake, args.warehouse, args.checkpoint, processing_time=args.every,

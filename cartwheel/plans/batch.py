@@ -1,10 +1,10 @@
-"""Batch pipelines: the reference's scheduled tasks as single Spark runs.
+"""Batch runs: the reference's scheduled tasks as single Spark jobs.
 
-``run_orders_pipeline``: list the lake's files, stop if there are none (S5),
+``run_orders_batch``: list the lake's files, stop if there are none (S5),
 read exactly the listed files as one table (S3, T24: every file, no dedup),
 publish a snapshot (S8), optionally delete the files that were read (S13).
 Listing before the read means a file landing mid-run is neither read nor
-deleted (T13); the edit pipeline gets the same treatment (the reference lists
+deleted (T13); the edit run gets the same treatment (the reference lists
 its files after the load there).
 
 For a continuously fed lake prefer ``streaming.refresh``: the checkpoint
@@ -28,7 +28,7 @@ def _delete(spark: SparkSession, files: list[str]) -> None:
         path.getFileSystem(conf).delete(path, False)
 
 
-def run_orders_pipeline(spark: SparkSession, lake_dir: str, root: str,
+def run_orders_batch(spark: SparkSession, lake_dir: str, root: str,
                         cleanup: bool = False, register_catalog: bool = True) -> str | None:
     files = _list_parquet_files(spark, lake_dir)
     if not files:
@@ -40,7 +40,7 @@ def run_orders_pipeline(spark: SparkSession, lake_dir: str, root: str,
     return version
 
 
-def run_edits_pipeline(spark: SparkSession, lake_dir: str, root: str,
+def run_edits_batch(spark: SparkSession, lake_dir: str, root: str,
                        cleanup: bool = False, register_catalog: bool = True) -> str | None:
     files = _list_parquet_files(spark, lake_dir)
     if not files:

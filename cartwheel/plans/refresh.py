@@ -1,6 +1,6 @@
 """Batch refresh: lake rows -> clean items -> marts -> published snapshot.
 
-Mirrors the reference's order pipeline (scan, clean, three summaries, load)
+Mirrors the reference's order job (scan, clean, three summaries, load)
 with two changes: the items table is written once and the marts are derived
 from that written table (one scan of the lake instead of four), and the load
 is a staged snapshot swap instead of truncate-then-insert.
@@ -73,7 +73,7 @@ def load_orders(spark: SparkSession, root: str, version: str | None = None) -> O
 def refresh_edits(spark: SparkSession, edits: DataFrame, root: str,
                   limit: int = marts.DEFAULT_TRENDING_LIMIT,
                   register_catalog: bool = True, version: str | None = None) -> str:
-    """Edit pipeline: trending titles over every edit in ``edits``."""
+    """Edit refresh: trending titles over every edit in ``edits``."""
     version = version or store.new_version()
     store.write_sorted(marts.edits_trending(edits, limit),
                        store.table_path(root, TRENDING_TABLE, version),

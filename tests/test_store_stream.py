@@ -114,19 +114,19 @@ def test_stream_archives_consumed_files(spark):
     assert archived.filter(F.col("order_id") == 1).count() >= 1
 
 
-def test_batch_pipeline_lists_reads_and_cleans(spark):
-    from cartwheel.plans import pipeline
+def test_batch_run_lists_reads_and_cleans(spark):
+    from cartwheel.plans import batch
     base = scratch_path(spark, "batch")
     lake_dir, root = f"{base}/lake", f"{base}/wh"
-    assert pipeline.run_orders_pipeline(spark, lake_dir, root) is None          # S5
+    assert batch.run_orders_batch(spark, lake_dir, root) is None          # S5
     lake.land_items(_lake_rows(spark, [1, 2]), lake_dir)
     lake.land_items(_lake_rows(spark, [2, 3]), lake_dir)
-    version = pipeline.run_orders_pipeline(spark, lake_dir, root, cleanup=True,
+    version = batch.run_orders_batch(spark, lake_dir, root, cleanup=True,
                                            register_catalog=False)
     assert version == store.current_version(spark, root)
     assert refresh.load_orders(spark, root).items.count() == 4                   # T24
     assert lake._list_parquet_files(spark, lake_dir) == []                       # S13
-    assert pipeline.run_orders_pipeline(spark, lake_dir, root) is None
+    assert batch.run_orders_batch(spark, lake_dir, root) is None
     assert store.current_version(spark, root) == version
 
 
@@ -147,7 +147,7 @@ def test_land_documents_refuses_an_empty_payload(spark):
 
 def test_edit_documents_land_and_refresh(spark):
     import json
-    from cartwheel.plans import pipeline
+    from cartwheel.plans import batch
     from cartwheel.schemas import TRENDING_TABLE
     from cartwheel.sources import documents as D
     base = scratch_path(spark, "edits")
@@ -157,7 +157,7 @@ def test_edit_documents_land_and_refresh(spark):
     spark.createDataFrame([(d,) for d in docs], "value string").coalesce(1).write.text(f"{base}/docs")
     rejects = D.land_edit_documents(spark, f"{base}/docs", f"{base}/lake")
     assert rejects.count() == 0
-    version = pipeline.run_edits_pipeline(spark, f"{base}/lake", f"{base}/wh", cleanup=True,
+    version = batch.run_edits_batch(spark, f"{base}/lake", f"{base}/wh", cleanup=True,
                                           register_catalog=False)
     rows = {r.title: r for r in store.read_published(spark, f"{base}/wh", TRENDING_TABLE, version).collect()}
     assert (rows["A"].total_edits, rows["A"].total_bytes_changed) == (4, 1 + 2 + 4 + 5)
