@@ -1,0 +1,70 @@
+"""Property-based checks: random inputs against simple models."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from cartwheel.functions import buckets
+from cartwheel.operators.sequence import sequence_within_key
+
+_SETTINGS = settings(max_examples=6, deadline=None,
+                     suppress_health_check=[HealthCheck.function_scoped_fixture])
+
+rows_strategy = st.lists(
+    st.tuples(st.one_of(st.none(), st.integers(0, 3), st.just(7)),   # key: few values, nulls
+              st.integers(0, 30)),                                   # day offset
+    min_size=1, max_size=120)
+
+
+@_SETTINGS
+@given(rows=rows_strategy, partitions=st.integers(1, 9))
+def test_sequence_matches_window(spark, rows, partitions):
+    base = dt.datetime(2020, 1, 1)
+    data = [(i, k, base + dt.timedelta(days=d)) for i, (k, d) in enumerate(rows)]
+    df = spark.createDataFrame(data, "id long, k long, d timestamp_ntz")
+    out = sequence_within_key(df, "k", ["d", "id"], ["d"], rn_col="rn", num_partitions=partitions)
+    w = Window.partitionBy("k").orderBy("d", "id")
+    ref = df.select("id", F.row_number().over(w).alias("rn_w"), F.lag("d").over(w).alias("prev_w"))
+    got = {r.id: (r.rn, r.prev_d) for r in out.select("id", "rn", "prev_d").collect()}
+    want = {r.id: (r.rn_w, r.prev_w) for r in ref.collect()}
+    assert got == want
+
+
+def _order_bucket_model(n):
+    if n == 1:
+        return "01. First Order"
+    for lo, hi, label in [(2, 5, "02. Order 2-5"), (6, 10, "03. Order 6-10"),
+                          (11, 20, "04. Order 11-20"), (21, 50, "05. Order 21-50")]:
+        if n is not None and lo <= n <= hi:
+            return label
+    return "06. Order 51+"
+
+
+def _days_bucket_model(d):
+    if d is None:
+        return "Unknown / First Order"
+    if d == 0:
+        return "Same Day"
+    for lo, hi, label in [(1, 3, "1-3 Days"), (4, 7, "4-7 Days"), (8, 14, "8-14 Days"),
+                          (15, 30, "15-30 Days")]:
+        if lo <= d <= hi:
+            return label
+    return "30+ Days"
+
+
+@_SETTINGS
+@given(ns=st.lists(st.one_of(st.none(), st.integers(-5, 80)), min_size=1, max_size=40),
+       ds=st.lists(st.one_of(st.none(), st.floats(-3, 40, allow_nan=False).map(lambda x: round(x * 2) / 2)),
+                   min_size=1, max_size=40))
+def test_buckets_match_model(spark, ns, ds):
+    got_n = [r.b for r in spark.createDataFrame([(n,) for n in ns], "n int")
+             .select(buckets.order_number_bucket(F.col("n")).alias("b")).collect()]
+    assert got_n == [_order_bucket_model(n) for n in ns]
+    got_d = [r.b for r in spark.createDataFrame([(d,) for d in ds], "d double")
+             .select(buckets.days_since_bucket(F.col("d")).alias("b")).collect()]
+    assert got_d == [_days_bucket_model(d) for d in ds]
