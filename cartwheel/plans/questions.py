@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.buckets import (day_name, days_bucket_position, days_since_bucket,
                                  order_number_bucket, product_line_type)
-from ..functions.metrics import percent2, rate, ratio, round2
+from ..functions.metrics import distinct, percent2, rate, ratio, round2
 from ..schemas import ITEM_COLUMNS
 from .clean import product_lines
 from .marts import product_tie_break
@@ -27,21 +27,21 @@ BOX_COLUMNS = ["min_basket_size", "q1_basket_size", "median_basket_size",
 def q01_kpi_summary(items: DataFrame) -> DataFrame:
     lines = product_lines(items)
     return lines.agg(
-        F.count_distinct("order_id").alias("total_orders"),
-        F.count_distinct("user_id").alias("total_users"),
+        distinct("order_id").alias("total_orders"),
+        distinct("user_id").alias("total_users"),
         F.count(F.lit(1)).alias("total_order_lines"),
-        F.count_distinct("product_id").alias("total_unique_products"),
-        round2(ratio(F.count(F.lit(1)), F.count_distinct("order_id"))).alias("avg_items_per_order"),
+        distinct("product_id").alias("total_unique_products"),
+        round2(ratio(F.count(F.lit(1)), distinct("order_id"))).alias("avg_items_per_order"),
         percent2(rate("reordered")).alias("reorder_rate_percent"),
     )
 
 
 def q01a_total_orders(items: DataFrame) -> DataFrame:
-    return product_lines(items).agg(F.count_distinct("order_id").alias("total_orders"))
+    return product_lines(items).agg(distinct("order_id").alias("total_orders"))
 
 
 def q01b_total_users(items: DataFrame) -> DataFrame:
-    return product_lines(items).agg(F.count_distinct("user_id").alias("total_users"))
+    return product_lines(items).agg(distinct("user_id").alias("total_users"))
 
 
 def q01c_total_order_lines(items: DataFrame) -> DataFrame:
@@ -49,12 +49,12 @@ def q01c_total_order_lines(items: DataFrame) -> DataFrame:
 
 
 def q01d_unique_products(items: DataFrame) -> DataFrame:
-    return product_lines(items).agg(F.count_distinct("product_id").alias("total_unique_products"))
+    return product_lines(items).agg(distinct("product_id").alias("total_unique_products"))
 
 
 def q01e_avg_items(items: DataFrame) -> DataFrame:
     return product_lines(items).agg(
-        round2(ratio(F.count(F.lit(1)), F.count_distinct("order_id"))).alias("avg_items_per_order"))
+        round2(ratio(F.count(F.lit(1)), distinct("order_id"))).alias("avg_items_per_order"))
 
 
 def q01f_reorder_rate(items: DataFrame) -> DataFrame:
@@ -194,7 +194,7 @@ def q09_reorder_split(items: DataFrame) -> DataFrame:
 def _bucket_rates(items: DataFrame, bucket, name: str) -> DataFrame:
     return (product_lines(items)
             .groupBy(bucket.alias(name))
-            .agg(F.count_distinct("order_id").alias("total_orders"),
+            .agg(distinct("order_id").alias("total_orders"),
                  F.count(F.lit(1)).alias("total_order_lines"),
                  percent2(rate("reordered")).alias("reorder_rate_percent")))
 
@@ -213,8 +213,8 @@ def q11_days_since_prior(items: DataFrame) -> DataFrame:
 def q12_top_aisles(items: DataFrame, k: int = 25) -> DataFrame:
     return (product_lines(items).groupBy("department", "aisle")
             .agg(F.count(F.lit(1)).alias("total_order_lines"),
-                 F.count_distinct("order_id").alias("unique_orders"),
-                 F.count_distinct("product_id").alias("unique_products"),
+                 distinct("order_id").alias("unique_orders"),
+                 distinct("product_id").alias("unique_products"),
                  percent2(rate("reordered")).alias("reorder_rate_percent"))
             .orderBy(F.desc("total_order_lines"), F.asc("department"), F.asc("aisle"))
             .limit(k))
@@ -222,11 +222,11 @@ def q12_top_aisles(items: DataFrame, k: int = 25) -> DataFrame:
 
 def q14_user_frequency(items: DataFrame, k: int = 20) -> DataFrame:
     return (product_lines(items).groupBy("user_id")
-            .agg(F.count_distinct("order_id").alias("total_orders"),
+            .agg(distinct("order_id").alias("total_orders"),
                  F.count(F.lit(1)).alias("total_order_lines"),
-                 F.count_distinct("product_id").alias("unique_products"),
+                 distinct("product_id").alias("unique_products"),
                  percent2(rate("reordered")).alias("reorder_rate_percent"),
-                 round2(ratio(F.count(F.lit(1)), F.count_distinct("order_id")))
+                 round2(ratio(F.count(F.lit(1)), distinct("order_id")))
                   .alias("avg_items_per_order"))
             .orderBy(F.desc("total_orders"), F.desc("total_order_lines"), F.asc("user_id"))
             .limit(k))
@@ -239,7 +239,7 @@ def q15_freshness(items: DataFrame) -> DataFrame:
     return items.agg(
         to_second(F.max("ingested_at")).alias("latest_ingested_at"),
         to_second(F.min("ingested_at")).alias("earliest_ingested_at"),
-        F.count_distinct("order_id").alias("total_orders_in_current_load"),
+        distinct("order_id").alias("total_orders_in_current_load"),
         F.count(F.lit(1)).alias("total_order_lines_in_current_load"))
 
 

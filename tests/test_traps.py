@@ -193,3 +193,20 @@ def test_nan_in_double_columns_becomes_null(spark):
     df = spark.createDataFrame([(1, float("nan")), (2, 3.0)], "order_id long, days_since_prior_order double")
     got = {r.order_id: r.days_since_prior_order for r in clean_items(df).collect()}
     assert got == {1: None, 2: 3.0}
+
+
+def test_opt_in_approximate_distinct_counts(spark):
+    from cartwheel.functions.metrics import APPROX_CONF
+    from cartwheel.registry import order_snapshot
+    from conftest import SF_SMALL
+    items = order_snapshot(spark, SF_SMALL).items
+    exact = q.q01_kpi_summary(items).first()
+    spark.conf.set(APPROX_CONF, "true")
+    try:
+        plan_df = q.q01_kpi_summary(items)
+        approx = plan_df.first()
+        assert "approx_count_distinct" in plan_df._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset(APPROX_CONF)
+    assert abs(approx.total_orders - exact.total_orders) <= 0.05 * exact.total_orders
+    assert approx.total_order_lines == exact.total_order_lines
