@@ -180,3 +180,20 @@ def test_cli_land_refresh_question(spark, capsys):
     row = spark.read.parquet(f"{base}/q15").first()
     assert (row.total_orders_in_current_load, row.total_order_lines_in_current_load) == (2, 2)
     assert lake._list_parquet_files(spark, f"{base}/lake") == []
+
+
+def test_land_whole_file_documents(spark):
+    import json
+    import os
+    from cartwheel.sources import documents as D
+    base = scratch_path(spark, "wholefile")
+    local = base.replace("file:", "")
+    os.makedirs(f"{local}/docs", exist_ok=True)
+    doc = {"total_orders": 2, "orders": [
+        {"order_id": 1, "user_id": 3, "products": [{"product_id": 4}, {"product_id": 5}]},
+        {"order_id": 2, "user_id": 3, "products": None}]}
+    with open(f"{local}/docs/response.json", "w") as fh:
+        fh.write(json.dumps(doc, indent=2))            # spans many lines
+    D.land_order_documents(spark, f"{base}/docs", f"{base}/lake", whole_file=True)
+    rows = sorted((r.order_id, r.product_id) for r in lake.read_lake(spark, f"{base}/lake").collect())
+    assert rows == [(1, 4), (1, 5), (2, None)]

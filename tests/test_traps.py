@@ -61,9 +61,9 @@ def test_document_shapes(spark):
             '{"total_orders": 0}']
     items, rejects = D.ingest_order_documents(_docs(spark, good))
     assert sorted(r.order_id for r in items.collect()) == [1, 2]
-    bad = ['5', '{"orders": {"a": 1}}', 'not json']
+    bad = ['5', '{"orders": {"a": 1}}', 'not json', '{"orders": null}', '"text"']
     _, rejects = D.ingest_order_documents(_docs(spark, bad), on_error="reject")
-    assert rejects.count() == 3
+    assert rejects.count() == 5
     with pytest.raises(PySparkException):
         D.ingest_order_documents(_docs(spark, ['{"orders": 3}']))[0].collect()
 
