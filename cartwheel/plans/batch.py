@@ -13,20 +13,27 @@ tracks consumed files and ``cleanSource`` archives them.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import SparkSession
 
 from ..schemas import LAKE_EDITS, LAKE_ITEMS
-from ..sources.lake import _list_parquet_files
+from ..sources.lake import METADATA_THREADS, _list_parquet_files
 from . import refresh
 
 
 def _delete(spark: SparkSession, files: list[str]) -> None:
+    """Delete the listed files (metadata calls, in parallel threads)."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for f in files:
+
+    def delete(f: str) -> None:
         path = jvm.org.apache.hadoop.fs.Path(f)
         path.getFileSystem(conf).delete(path, False)
 
+    with ThreadPoolExecutor(max_workers=METADATA_THREADS) as pool:
+        list(pool.map(delete, files))
+
 
 def run_orders_batch(spark: SparkSession, lake_dir: str, root: str,
                         cleanup: bool = False, register_catalog: bool = True) -> str | None:

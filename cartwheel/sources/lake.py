@@ -10,6 +10,8 @@ to the declared schema and unions the groups.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +19,9 @@ from pyspark.sql import types as T
 from ..plans.clean import lenient_cast
 from ..schemas import LAKE_EDITS, LAKE_ITEMS
 
+# Parallel metadata calls (footer reads, deletes) issued from the driver.
+METADATA_THREADS = 16
+
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Cast/fill ``df`` to ``schema`` (missing columns -> null)."""
@@ -61,15 +66,18 @@ def read_drifting(spark: SparkSession, lake_dir: str,
                   schema: T.StructType = LAKE_ITEMS) -> DataFrame:
     """Read a lake whose files disagree on column types.
 
-    Footers are read per file on the driver (metadata only) to group files by
-    schema; each group is one distributed scan, cast to ``schema``.
+    Footers are read per file from the driver (metadata only, in parallel
+    threads) to group files by schema; each group is one distributed scan,
+    cast to ``schema``.
     """
     files = _list_parquet_files(spark, lake_dir)
     if not files:
         return spark.createDataFrame([], schema)
+    # Footer reads are small, independent and I/O-bound: run them in parallel.
+    with ThreadPoolExecutor(max_workers=METADATA_THREADS) as pool:
+        footers = list(pool.map(lambda f: spark.read.parquet(f).schema.json(), files))
     groups: dict[str, list[str]] = {}
-    for f in files:
-        key = spark.read.parquet(f).schema.json()
+    for f, key in zip(files, footers):
         groups.setdefault(key, []).append(f)
     parts = [conform(spark.read.parquet(*paths), schema) for paths in groups.values()]
     out = parts[0]
