@@ -197,3 +197,27 @@ def test_land_whole_file_documents(spark):
     D.land_order_documents(spark, f"{base}/docs", f"{base}/lake", whole_file=True)
     rows = sorted((r.order_id, r.product_id) for r in lake.read_lake(spark, f"{base}/lake").collect())
     assert rows == [(1, 4), (1, 5), (2, None)]
+
+
+def test_scheduled_trigger_picks_up_new_files(spark):
+    import time
+    base = scratch_path(spark, "scheduled")
+    lake_dir, root, ckpt = f"{base}/lake", f"{base}/wh", f"{base}/ckpt"
+    lake.land_items(_lake_rows(spark, [1]), lake_dir)
+    q = stream.start_order_refresh(spark, lake_dir, root, ckpt, processing_time="1 second",
+                                   register_catalog=False)
+    try:
+        q.processAllAvailable()
+        assert refresh.load_orders(spark, root).items.count() == 1
+        lake.land_items(_lake_rows(spark, [2, 3]), lake_dir)     # lands while running
+        deadline = time.time() + 60
+        while time.time() < deadline:
+            q.processAllAvailable()
+            if store.current_version(spark, root) and \
+                    refresh.load_orders(spark, root).items.count() == 2:
+                break
+            time.sleep(1)
+        ids = sorted(r.order_id for r in refresh.load_orders(spark, root).items.collect())
+        assert ids == [2, 3]
+    finally:
+        q.stop()
