@@ -101,9 +101,9 @@ def commit(spark: SparkSession, root: str, version: str, tables: list[str],
     if register_catalog:
         ensure_catalog(spark, root, tables)
         for table in tables:
+            # SET LOCATION also refreshes the table's cached relation.
             spark.sql(f"ALTER TABLE {DATABASE}.{table} SET LOCATION "
                       f"'{table_path(root, table, version)}'")
-            spark.sql(f"REFRESH TABLE {DATABASE}.{table}")
     _write_marker(spark, root, version)
 
 
