@@ -81,18 +81,25 @@ def sequence_within_key(df: DataFrame, key: str, order_by: list[str], carry: lis
         F.lead(F.lit(1)).over(in_slice).isNull().alias("_last"))
 
     # Head/tail table: per slice its first key, and its last row, whose local
-    # number is the count of the last key there.
+    # number is the count of the last key there.  One filtered pass over the
+    # windowed slices emits both kinds of row (a slice's only row is both).
     vals_type = T.StructType([T.StructField(c, fields[c].dataType, True) for c in carry])
-    heads = local.filter(F.col("_first")).select(
-        F.col(_PID), F.col(key).alias("_k"), F.lit(0).alias("_kind"),
-        F.lit(0).cast("long").alias("_cnt"), F.lit(None).cast(vals_type).alias("_vals"))
-    tails = local.filter(F.col("_last")).select(
-        F.col(_PID), F.col(key).alias("_k"), F.lit(1).alias("_kind"), F.col(_LRN).alias("_cnt"),
-        F.struct(*[F.col(c) for c in carry]).cast(vals_type).alias("_vals"))
+    edge_type = (f"struct<{_PID}: int, _k: {fields[key].dataType.simpleString()}, "
+                 f"_kind: int, _cnt: bigint, _vals: {vals_type.simpleString()}>")
+    head = F.struct(F.col(_PID), F.col(key).alias("_k"), F.lit(0).alias("_kind"),
+                    F.lit(0).cast("long").alias("_cnt"), F.lit(None).cast(vals_type).alias("_vals"))
+    tail = F.struct(F.col(_PID), F.col(key).alias("_k"), F.lit(1).alias("_kind"),
+                    F.col(_LRN).alias("_cnt"),
+                    F.struct(*[F.col(c) for c in carry]).cast(vals_type).alias("_vals"))
+    edges = F.filter(F.array(F.when(F.col("_first"), head.cast(edge_type)),
+                             F.when(F.col("_last"), tail.cast(edge_type))),
+                     lambda e: e.isNotNull())
+    ends = (local.filter(F.col("_first") | F.col("_last"))
+                 .select(F.explode(edges).alias("_e")).select("_e.*"))
     # Running totals per key over at most 2 rows per slice.
     w = (Window.partitionBy("_k").orderBy(_PID, "_kind")
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    fix = (heads.unionByName(tails)
+    fix = (ends
                 .withColumn("_off", F.sum("_cnt").over(w) - F.col("_cnt"))
                 .withColumn("_carry", F.last("_vals", ignorenulls=True).over(w))
                 .filter(F.col("_kind") == 0)
