@@ -403,6 +403,7 @@ SELECT 'orders_hourly_summary', count(*) FROM hourly""", PRODUCT_CTE, DEPARTMENT
     sql["ingest_orders_json"] = sql["order_items"]
     sql["ingest_edits_json"] = sql["edits_trending"]
     sql["stream_refresh"] = sql["order_items"]
+    sql["snapshot_counts"] = sql["v_row_counts"]
     sql["stream_edits"] = sql["edits_trending"]
     return sql
 

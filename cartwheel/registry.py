@@ -17,6 +17,7 @@ import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .plans import marts, questions as q, refresh, store
 from .plans.clean import clean_items
@@ -86,6 +87,23 @@ def _null_checks(spark, sf):
     return null_report(order_snapshot(spark, sf))
 
 
+def _snapshot_counts(spark, sf):
+    """Row counts of the four tables read through the catalog, i.e. of
+    whatever snapshot the refresh switched the catalog to."""
+    from .schemas import ORDER_TABLES
+    if materialized():
+        order_snapshot(spark, sf)
+    else:
+        refresh.refresh_orders(spark, fixtures.lake_items(spark, sf), scratch_path(spark, "warehouse"))
+    out = None
+    for table in ORDER_TABLES:
+        part = (spark.table(f"{store.DATABASE}.{table}")
+                .agg(F.count(F.lit(1)).alias("total_rows"))
+                .select(F.lit(table).alias("table_name"), "total_rows"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def _show_tables(spark, sf):
     order_snapshot(spark, sf)
     if not materialized():
@@ -153,6 +171,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "v_sample": _items(q.v_sample),
     "v_show_tables": _show_tables,
     "v_null_checks": _null_checks,
+    "snapshot_counts": _snapshot_counts,
     # ingest: documents built from the given tables, parsed back (round trip)
     "ingest_orders_json": _from_documents("ingest_orders_json"),
     "ingest_edits_json": _from_documents("ingest_edits_json"),
