@@ -92,7 +92,10 @@ def _snapshot_counts(spark, sf):
     whatever snapshot the refresh switched the catalog to."""
     from .schemas import ORDER_TABLES
     if materialized():
-        order_snapshot(spark, sf)
+        # The catalog shows the latest published snapshot of any source;
+        # switch it (idempotently) to this source's snapshot first.
+        root = warehouse_root(spark, sf)
+        store.commit(spark, root, store.current_version(spark, root), ORDER_TABLES)
     else:
         refresh.refresh_orders(spark, fixtures.lake_items(spark, sf), scratch_path(spark, "warehouse"))
     out = None
