@@ -210,3 +210,27 @@ def test_opt_in_approximate_distinct_counts(spark):
         spark.conf.unset(APPROX_CONF)
     assert abs(approx.total_orders - exact.total_orders) <= 0.05 * exact.total_orders
     assert approx.total_order_lines == exact.total_order_lines
+
+
+def test_day_hour_pivot_has_every_hour(spark, items_df):
+    items = items_df([{"order_id": 1, "user_id": 1, "order_dow": 2, "order_hour_of_day": 5,
+                       "product_id": 3}])
+    from cartwheel.plans.marts import hourly_summary
+    pivot = q.x_day_hour_pivot(hourly_summary(items))
+    assert pivot.columns == ["order_dow"] + [str(h) for h in range(24)]
+    row = pivot.first()
+    assert row["5"] == 1 and row["4"] is None and row.order_dow == 2
+
+
+def test_cart_position_orders_by_rounded_average(spark, items_df):
+    # Products 1 and 2 tie on average position 2.0 (5 and 3 lines); product 3
+    # averages 1.5.  Ascending average first, then more lines first.
+    rows = []
+    for pid, positions in [(1, [2, 2, 2, 2, 2]), (2, [2, 2, 2]), (3, [1, 2, 1, 2])]:
+        for p in positions:
+            rows.append({"order_id": len(rows) + 1, "user_id": 1, "product_id": pid,
+                         "add_to_cart_order": p})
+    product = marts.product_summary(items_df(rows))
+    got = [(r.total_order_lines, r.avg_add_to_cart_order)
+           for r in q.q13_cart_position(product).collect()]
+    assert got == [(4, 1.5), (5, 2.0), (3, 2.0)]
