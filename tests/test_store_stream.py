@@ -221,3 +221,10 @@ def test_scheduled_trigger_picks_up_new_files(spark):
         assert ids == [2, 3]
     finally:
         q.stop()
+
+
+def test_loading_an_unpublished_warehouse_fails_clearly(spark):
+    root = scratch_path(spark, "never-published")
+    assert store.current_version(spark, root) is None
+    with pytest.raises(FileNotFoundError):
+        refresh.load_orders(spark, root)
