@@ -77,3 +77,17 @@ def test_hot_order_lines_are_split_by_aqe(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_sequencing_windows_need_no_shuffle(spark):
+    """Only the fix-up window (at most two rows per slice) shuffles; the
+    per-slice windows run straight on the bucketed slice table."""
+    from cartwheel.operators.sequence import sequence_within_key
+    orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet").select(
+        "o_orderkey", "o_custkey", "o_orderdate")
+    out = sequence_within_key(orders, "o_custkey", ["o_orderdate", "o_orderkey"], ["o_orderdate"],
+                              num_partitions=4)
+    out.toArrow()
+    final = _plan(out).split("== Initial Plan ==")[0]
+    assert final.count("Exchange hashpartitioning") == 1
+    assert "hashpartitioning(_k" in final
