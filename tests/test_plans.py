@@ -91,3 +91,13 @@ def test_sequencing_windows_need_no_shuffle(spark):
     final = _plan(out).split("== Initial Plan ==")[0]
     assert final.count("Exchange hashpartitioning") == 1
     assert "hashpartitioning(_k" in final
+
+
+def test_item_rows_read_staged_tables_only(spark):
+    """After staging, the items plan is a scan of the joined lines plus the
+    repeat-flag aggregate: no sequencing window and no orders/lineitem join
+    is recomputed."""
+    from cartwheel.sources.fixtures import lake_items
+    plan = lake_items(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan
+    assert "lineitem.parquet" not in plan and "orders.parquet" not in plan
