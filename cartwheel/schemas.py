@@ -53,6 +53,7 @@ LAKE_EDITS = T.StructType([
     T.StructField("timestamp", T.StringType(), True),
 ])
 
+# Warehouse table names (questions and users' SQL refer to them).
 ITEMS_TABLE = "orders_order_items"
 PRODUCT_TABLE = "orders_product_summary"
 DEPARTMENT_TABLE = "orders_department_summary"
