@@ -62,8 +62,8 @@ TRENDING_TABLE = "wikipedia_trending"
 ORDER_TABLES = [ITEMS_TABLE, PRODUCT_TABLE, DEPARTMENT_TABLE, HOURLY_TABLE]
 
 # Storage sort key per table (the layout the warehouse keeps, independent of
-# any question's ORDER BY).  Written with range partitioning + a local sort so
-# Parquet min/max statistics skip row groups on these keys.
+# any question's ORDER BY).  Every written file is sorted on it
+# (``store.write_sorted``), so Parquet min/max statistics skip row groups.
 SORT_KEYS = {
     ITEMS_TABLE: ["order_id"],
     PRODUCT_TABLE: ["total_order_lines"],
