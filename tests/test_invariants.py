@@ -79,3 +79,14 @@ def test_null_report_counts_declared_non_null_columns(spark, items_df):
     assert rows[("orders_order_items", "order_id")] == 1
     assert rows[("orders_order_items", "order_dow")] == 1
     assert rows[("orders_order_items", "eval_set")] == 0
+
+
+def test_published_tables_have_the_declared_columns(spark):
+    from cartwheel import schemas
+    from cartwheel.registry import order_snapshot
+    snap = order_snapshot(spark, SF_SMALL)
+    assert snap.items.columns == schemas.ITEM_COLUMNS
+    assert snap.product.columns == schemas.PRODUCT_SUMMARY_COLUMNS
+    assert snap.department.columns == schemas.DEPARTMENT_SUMMARY_COLUMNS
+    assert snap.hourly.columns == schemas.HOURLY_SUMMARY_COLUMNS
+    assert QUERIES["edits_trending"](spark, SF_SMALL).columns == schemas.TRENDING_COLUMNS
