@@ -37,8 +37,9 @@ def test_entry_runs(spark):
     df = entry_mod.entry(spark)
     rows = df.collect()
     assert len(rows) == 1
-    assert df.columns == ["total_orders", "total_users", "total_order_lines",
-                          "total_unique_products", "avg_items_per_order", "reorder_rate_percent"]
+    assert df.dtypes == [("total_orders", "bigint"), ("total_users", "bigint"),
+                         ("total_order_lines", "bigint"), ("total_unique_products", "bigint"),
+                         ("avg_items_per_order", "double"), ("reorder_rate_percent", "double")]
 
 
 @pytest.mark.parametrize("key", KEYS)
