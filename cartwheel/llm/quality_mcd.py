@@ -36,7 +36,7 @@ SHARE = 0.75  # of a group's documents that estimates rest on
 STEPS = 5  # concentration steps
 #: Chi-square quantiles for the five statistics below: that of SHARE, the share
 #: that seven degrees of freedom have below it, and the limit (at 1 - 1e-7).
-INNER, INNER_SHARE, LIMIT = 6.6257, 0.5306, 40.86
+INNER, INNER_SHARE, LIMIT = 6.6257, 0.5311, 40.86
 #: Least standard deviations of the statistics, in their units.
 FLOORS = (0.06, 0.35, 0.25, 0.35, 0.35)
 BINS_PER_UNIT, MOST_BIN = 64, 2000
