@@ -245,16 +245,28 @@ def _join_cell(ids, sizes, maps, comps, left, right, out) -> None:
 
 
 def _join_region(cell: pd.DataFrame) -> list[tuple[int, int]]:
-    """One cell, or two cells of a region: the pairs that may link."""
+    """One cell, or two cells of a region: the pairs that may link.  Maps of one
+    length are compared, and with those of twice that length folded; sets with
+    maps of other lengths differ too much in size."""
     maps = [np.frombuffer(b, np.uint8) for b in cell.parity]
-    size = min(map(len, maps))
-    maps = np.stack([_fold(b, size) for b in maps])
-    out: list[tuple[int, int]] = []
+    ids, sizes, comps = cell.x.to_numpy(), cell.n.to_numpy(np.int64), cell.component.to_numpy()
+    lengths = np.fromiter(map(len, maps), np.int64, len(maps))
     side = cell.side.to_numpy()
-    a = np.flatnonzero(side == 0)
-    b = np.flatnonzero(side == 1)
-    args = (cell.x.to_numpy(), cell.n.to_numpy(np.int64), maps, cell.component.to_numpy(), a)
-    _join_cell(*args, b if len(b) else a, out)
+    two = bool(side.any())
+    out: list[tuple[int, int]] = []
+    for length in np.unique(lengths).tolist():
+        at = np.flatnonzero((lengths == length) | (lengths == 2 * length))
+        stacked = np.stack([_fold(maps[i], length) for i in at])
+        short = lengths[at] == length
+        first = side[at] == 0
+        args = (ids[at], sizes[at], stacked, comps[at])
+        if two:
+            sides = ((first & short, ~first & short), (first & short, ~first & ~short), (first & ~short, ~first & short))
+        else:
+            sides = ((short, short), (short, ~short))
+        for k, (a, b) in enumerate(sides):
+            a, b = np.flatnonzero(a), np.flatnonzero(b)
+            _join_cell(*args, a, a if k == 0 and not two else b, out)
     return out
 
 
