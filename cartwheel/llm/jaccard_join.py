@@ -24,6 +24,8 @@ documents link when ``d <= t`` (t = 0.25).
    cells of bounded size, in each a new pivot, windows on the distance to it,
    and the same on both sides, until nothing is left to compare.  Only pairs of
    different components that pass the bounds leave the task, and are verified.
+   First, each member's nearest such pair leaves alone, which joins most of a large
+   group of near copies with linear output; then all that are left do.
 
 The result is exact.  Skew: a frequent shingle is only a hash away from the end
 of the order, exact copies are collapsed first, regions are streamed row by
@@ -53,7 +55,9 @@ SHINGLE_WORDS = 5
 PERCENT = 75  # least Jaccard similarity of linked documents, in per cent
 BITMAP_BITS = 23  # of the table of frequent shingles: 2^23 bits, whatever the corpus
 HEAVY_SHARE = 2000  # a shingle is frequent if it is in more than 1/2000 of the documents
+LEAF_BYTES = 1 << 22  # of maps that are compared at a time
 CELL = 512  # members that a cell of a region has at most
+ROUNDS = 1  # joins of nearest members before all that is left is joined
 FLUSH = 1 << 21  # shingles that a task counts at a time
 _U = np.uint64
 
@@ -176,7 +180,7 @@ def _bound(pairs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _distance_bound(differ, n, m):
     """d = D / ((n + m + D) / 2) grows with D, the size of the symmetric difference."""
-    differ = np.maximum(differ, abs(n - m))
+    differ = np.maximum(differ, np.abs(n - m))
     return 2 * differ / (n + m + differ)
 
 
@@ -201,14 +205,17 @@ def _join_cell(ids, sizes, maps, comps, left, right, out) -> None:
     same = left is right
     if not len(left) or not len(right) or (same and len(left) < 2):
         return
-    if len(left) * len(right) <= 4096 or len(left) < 8 or len(right) < 8:
-        for i in left:
-            js = right[right > i] if same else right
-            if len(js):
-                differ = np.bitwise_count(maps[js] ^ maps[i]).sum(axis=1).astype(np.int64)
-                far = _distance_bound(differ, sizes[js], sizes[i])
-                ok = js[(far <= T + EPS) & (comps[js] != comps[i])]
-                out += [(int(ids[i]), int(ids[j])) for j in ok]
+    if len(left) * len(right) * maps.shape[1] <= LEAF_BYTES or len(left) < 8 or len(right) < 8:
+        for a in range(0, len(left), max(1, LEAF_BYTES // max(1, len(right) * maps.shape[1]))):
+            rows = left[a:a + max(1, LEAF_BYTES // max(1, len(right) * maps.shape[1]))]
+            differ = np.bitwise_count(maps[rows][:, None, :] ^ maps[right][None, :, :]).sum(axis=2, dtype=np.int64)
+            far = _distance_bound(differ, sizes[rows][:, None], sizes[right][None, :])
+            ok = (far <= T + EPS) & (comps[rows][:, None] != comps[right][None, :])
+            if same:
+                ok &= rows[:, None] < right[None, :]
+            x, y = np.nonzero(ok)
+            if len(x):
+                out.append((ids[rows[x]], ids[right[y]], far[x, y]))
         return
     members = left if same else np.concatenate([left, right])
     # the most bits by which the maps of two linked members can differ
@@ -244,16 +251,16 @@ def _join_cell(ids, sizes, maps, comps, left, right, out) -> None:
         _join_cell(ids, sizes, maps, comps, edge_l2, edge_r1, out)
 
 
-def _join_region(cell: pd.DataFrame) -> list[tuple[int, int]]:
-    """One cell, or two cells of a region: the pairs that may link.  Maps of one
-    length are compared, and with those of twice that length folded; sets with
-    maps of other lengths differ too much in size."""
+def _join_region(cell: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """One cell, or two cells of a region: the pairs that may link, and bounds of
+    their distances.  Maps of one length are compared, and with those of twice that
+    length folded; sets with maps of other lengths differ too much in size."""
     maps = [np.frombuffer(b, np.uint8) for b in cell.parity]
     ids, sizes, comps = cell.x.to_numpy(), cell.n.to_numpy(np.int64), cell.component.to_numpy()
     lengths = np.fromiter(map(len, maps), np.int64, len(maps))
     side = cell.side.to_numpy()
     two = bool(side.any())
-    out: list[tuple[int, int]] = []
+    out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     for length in np.unique(lengths).tolist():
         at = np.flatnonzero((lengths == length) | (lengths == 2 * length))
         stacked = np.stack([_fold(maps[i], length) for i in at])
@@ -267,29 +274,49 @@ def _join_region(cell: pd.DataFrame) -> list[tuple[int, int]]:
         for k, (a, b) in enumerate(sides):
             a, b = np.flatnonzero(a), np.flatnonzero(b)
             _join_cell(*args, a, a if k == 0 and not two else b, out)
-    return out
+    if not out:
+        return ids[:0], ids[:0], np.zeros(0)
+    x, y, far = (np.concatenate(v) for v in zip(*out, strict=True))
+    return np.maximum(x, y), np.minimum(x, y), far
 
 
-def _region_pairs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Of rows sorted by region and cells: the pairs of each that may link."""
+def _nearest(x: np.ndarray, y: np.ndarray, far: np.ndarray) -> np.ndarray:
+    """Indices of the pairs that are the nearest of one of their members."""
+    ends, pairs = np.r_[x, y], np.r_[np.arange(len(x)), np.arange(len(x))]
+    order = np.lexsort((pairs, far[pairs], ends))
+    first = np.r_[True, ends[order][1:] != ends[order][:-1]]
+    return np.unique(pairs[order][first])
+
+
+def _region_pairs(nearest: bool):
+    """Of rows sorted by region and cells: the pairs of each that may link, or of
+    these the nearest of each member."""
     def join(rows: pd.DataFrame) -> pd.DataFrame:
         key = rows[["token", "i", "j"]].to_numpy()
         starts = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]).any(axis=1)]) if len(rows) else []
-        found = [pair for a, b in zip(starts, [*starts[1:], len(rows)], strict=True) for pair in _join_region(rows.iloc[a:b])]
-        x = np.array(found, np.int64).reshape(-1, 2)
-        return pd.DataFrame({"x": np.maximum(x[:, 0], x[:, 1]), "pivot": np.minimum(x[:, 0], x[:, 1])}).drop_duplicates()
-
-    held = None
-    for rows in frames:
-        if not len(rows):
-            continue
-        rows = rows if held is None else pd.concat([held, rows], ignore_index=True)
-        last = rows[["token", "i", "j"]].iloc[-1]
-        open_ = (rows.token == last.token) & (rows.i == last.i) & (rows.j == last.j)
-        held = rows[open_]
-        yield join(rows[~open_])
-    if held is not None:
-        yield join(held)
+        found = []
+        for a, b in zip(starts, [*starts[1:], len(rows)], strict=True):
+            x, y, far = _join_region(rows.iloc[a:b])
+            if nearest and len(x):
+                keep = _nearest(x, y, far)
+                x, y = x[keep], y[keep]
+            found.append((x, y))
+        x, y = (np.concatenate(v) for v in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 2
+        return pd.DataFrame({"x": x, "pivot": y}).drop_duplicates()
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for rows in frames:
+            if not len(rows):
+                continue
+            rows = rows if held is None else pd.concat([held, rows], ignore_index=True)
+            last = rows[["token", "i", "j"]].iloc[-1]
+            open_ = (rows.token == last.token) & (rows.i == last.i) & (rows.j == last.j)
+            held = rows[open_]
+            yield join(rows[~open_])
+        if held is not None:
+            yield join(held)
+    return run
 
 
 def _bits(slots: DataFrame, bits: int) -> np.ndarray:
@@ -327,6 +354,38 @@ def _verified(base: DataFrame, pairs: DataFrame) -> DataFrame:
     return both.mapInPandas(_exact, "x long, pivot long, distance double, linked boolean")
 
 
+def _with_components(members: DataFrame, known: DataFrame) -> DataFrame:
+    """``members`` with the component of ``x``: its own id where no link is known."""
+    return (members.join(known.select(F.col("node").alias("x"), F.col("component").alias("known")), "x", "left")
+            .withColumn("component", F.coalesce("known", "x")).drop("known"))
+
+
+def _bounds(pairs: DataFrame, maps: DataFrame) -> DataFrame:
+    """Lower bounds of the distances of pairs (x, pivot)."""
+    other = maps.select(F.col("x").alias("pivot"), F.col("n").alias("pivot_n"), F.col("parity").alias("pivot_parity"))
+    return pairs.join(maps, "x").join(other, "pivot").mapInPandas(_bound, "x long, pivot long, bound double")
+
+
+def _cell_pairs(left: DataFrame, maps: DataFrame, nearest: bool) -> DataFrame:
+    """Pairs of different components that may link (``nearest``: of these, the
+    nearest of each member), of members (token, x, n, component) of regions;
+    regions of the same members are joined once."""
+    signature = left.groupBy("token").agg(F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("x")).alias("h1"), F.sum(F.hash("x").cast("long")).alias("h2"),
+                                          F.min("component").alias("c1"), F.max("component").alias("c2"))
+    chosen = signature.where("c1 < c2").groupBy("size", "h1", "h2").agg(F.min("token").alias("token")).select("token")
+    placed = stage(left.join(chosen, "token").withColumn("cell", F.expr(f"cast((row_number() OVER (PARTITION BY token ORDER BY n, x) - 1) div {CELL} AS int)")), "placed")
+    cells = placed.groupBy("token", "cell").agg(F.min("n").alias("n1"), F.max("n").alias("n2"))
+    tasks = (cells.select("token", F.col("cell").alias("i"), "n2")
+             .join(cells.select(F.col("token"), F.col("cell").alias("j"), "n1"), "token")
+             .where(f"i <= j AND 100 * n2 >= {PERCENT} * n1").select("token", "i", "j"))
+    sides = (tasks.select("token", "i", "j", F.col("i").alias("cell"), F.lit(0).alias("side"))
+             .unionByName(tasks.where("i < j").select("token", "i", "j", F.col("j").alias("cell"), F.lit(1).alias("side"))))
+    return (placed.join(maps.select("x", "parity"), "x").join(sides, ["token", "cell"])
+            .select("token", "i", "j", "side", "x", "n", "component", "parity")
+            .repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "side", "n", "x")
+            .mapInPandas(_region_pairs(nearest), "x long, pivot long").distinct())
+
+
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` for every row of ``docs`` (columns
     ``doc_id`` and ``text`` are read, others ignored): the size of its shingle
@@ -352,8 +411,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
                     .mapInArrow(_regions, "token long, x long, n long, pivot long, pivot_n long, more boolean"), "regions")
     near_sizes = F.expr(f"100 * least(n, pivot_n) >= {PERCENT} * greatest(n, pivot_n)")
     pairs = regions.where("x != pivot").where(near_sizes).select("x", "pivot").distinct()
-    bounds = stage(pairs.join(maps, "x").join(maps.select(F.col("x").alias("pivot"), F.col("n").alias("pivot_n"), F.col("parity").alias("pivot_parity")), "pivot")
-                   .mapInPandas(_bound, "x long, pivot long, bound double"), "bounds")
+    bounds = stage(_bounds(pairs, maps), "bounds")
     first = stage(_verified(base, bounds.where(F.col("bound") <= T + EPS).select("x", "pivot").distinct()), "links")
     links = first.where("linked").select("x", "pivot")
     known = connected_components(links, "x", "pivot")
@@ -361,10 +419,8 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     # windows: what of each region is left to compare
     distances = (bounds.groupBy("x", "pivot").agg(F.min("bound").alias("bound"))
                  .join(first.groupBy("x", "pivot").agg(F.min("distance").alias("distance"), F.max("linked").alias("linked")), ["x", "pivot"], "left"))
-    members = (regions.where("more").select("token", "x", "n", "pivot", "pivot_n").distinct().join(distances, ["x", "pivot"], "left")
-               .join(known.select(F.col("node").alias("x"), F.col("component").alias("known")), "x", "left")
-               .withColumn("component", F.coalesce("known", "x"))
-               .withColumn("inside", F.expr("x = pivot OR coalesce(linked, false)"))
+    members = _with_components(regions.where("more").select("token", "x", "n", "pivot", "pivot_n").distinct().join(distances, ["x", "pivot"], "left"), known)
+    members = (members.withColumn("inside", F.expr("x = pivot OR coalesce(linked, false)"))
                # bounds of pairs of too different sizes follow from the sizes
                .withColumn("far", F.expr("CASE WHEN x = pivot THEN 0 ELSE coalesce(distance, bound, 2 * abs(n - pivot_n) / (n + pivot_n + abs(n - pivot_n))) END")))
     region = members.groupBy("token").agg(
@@ -372,27 +428,20 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         F.count(F.when(~F.col("inside"), 1)).alias("outside"),
         F.min("component").alias("c1"), F.max("component").alias("c2"))
     region = region.where("c1 < c2 AND (nearest IS NOT NULL OR outside > 1)")
-    left = (members.join(region.select("token", "nearest"), "token")
-            .where(f"NOT inside OR far >= nearest - {T + EPS}").select("token", "x", "n", "component"))
-    left = stage(left, "left")
-    # regions of the same members are joined once
-    signature = left.groupBy("token").agg(F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("x")).alias("h1"), F.sum(F.hash("x").cast("long")).alias("h2"),
-                                          F.min("component").alias("c1"), F.max("component").alias("c2"))
-    chosen = signature.where("c1 < c2").groupBy("size", "h1", "h2").agg(F.min("token").alias("token")).select("token", "size")
-    placed = (left.join(chosen, "token")
-              .withColumn("cell", F.expr(f"cast((row_number() OVER (PARTITION BY token ORDER BY n, x) - 1) div {CELL} AS int)")))
-    placed = stage(placed, "placed")
-    cells = placed.groupBy("token", "cell").agg(F.min("n").alias("n1"), F.max("n").alias("n2"))
-    tasks = (cells.select("token", F.col("cell").alias("i"), "n2")
-             .join(cells.select(F.col("token"), F.col("cell").alias("j"), "n1"), "token")
-             .where(f"i <= j AND 100 * n2 >= {PERCENT} * n1").select("token", "i", "j"))
-    sides = (tasks.select("token", "i", "j", F.col("i").alias("cell"), F.lit(0).alias("side"))
-             .unionByName(tasks.where("i < j").select("token", "i", "j", F.col("j").alias("cell"), F.lit(1).alias("side"))))
-    rest = (placed.join(maps.select("x", "parity"), "x").join(sides, ["token", "cell"])
-            .select("token", "i", "j", "side", "x", "n", "component", "parity")
-            .repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "side", "n", "x")
-            .mapInPandas(_region_pairs, "x long, pivot long").distinct())
-    second = _verified(base, stage(rest, "rest")).where("linked").select("x", "pivot")
+    left = stage(members.join(region.select("token", "nearest"), "token")
+                 .where(f"NOT inside OR far >= nearest - {T + EPS}").select("token", "x", "n", "component"), "left")
+
+    # recursion: every member with its nearest first, which joins most of a large group in linear output
+    for _ in range(ROUNDS):
+        near = stage(_cell_pairs(left, maps, True), "near")
+        links = stage(links.unionByName(_verified(base, near).where("linked").select("x", "pivot")).distinct(), "links")
+        known = connected_components(links, "x", "pivot")
+        now = _with_components(left.drop("component"), known)
+        mixed = now.groupBy("token").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 < c2").select("token")
+        left = stage(now.join(mixed, "token", "left_semi").select("token", "x", "n", "component"), "left")
+
+    rest = stage(_cell_pairs(left, maps, False), "rest")
+    second = _verified(base, rest).where("linked").select("x", "pivot")
 
     found = connected_components(links.unionByName(second), "x", "pivot")
     labels = (classes.join(found.select(F.col("node").alias("rep"), F.col("component")), "rep", "left")
