@@ -1,0 +1,169 @@
+"""Operators 2 and 8: sets of shingles and tiles, against brute force."""
+
+from __future__ import annotations
+
+import collections
+import itertools
+import random
+
+import numpy as np
+import pytest
+
+from cartwheel.llm import arrays, components, decontaminate, jaccard_join
+
+from .conftest import ODD, words
+
+LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+
+
+def shingles(text):
+    w = words((text or "").translate(LOWER))
+    return frozenset(tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
+
+
+def brute_components(rows):
+    sets = {i: shingles(t) for i, t in rows}
+    parent = {i: i for i in sets}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+    for a, b in itertools.combinations(sets, 2):
+        shared = len(sets[a] & sets[b])
+        if shared and 100 * shared >= 75 * (len(sets[a]) + len(sets[b]) - shared):
+            x, y = sorted((root(a), root(b)))
+            parent[y] = x
+    return {i: (len(sets[i]), root(i)) for i in sets}
+
+
+def near_copies(seed, n=120):
+    """Families of texts that differ by a few words, with a common passage in many."""
+    rng = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(400)]
+    passage = [f"p{i}" for i in range(60)]
+    rows = []
+    for family in range(n // 8):
+        base = rng.choices(vocabulary, k=rng.choice([3, 5, 8, 20, 60, 150]))
+        for _ in range(8):
+            w = list(base)
+            for _ in range(rng.choice([0, 0, 1, 1, 2, 3])):
+                w[rng.randrange(len(w))] = rng.choice(vocabulary)
+            if rng.random() < 0.4:
+                w = w + passage
+            rows.append((len(rows) + 10, " ".join(w)))
+    rng.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_components_equal_brute_force(spark, docs, seed):
+    rows = near_copies(seed)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(docs(rows)).collect()}
+    assert got == brute_components(rows)
+
+
+def test_small_cells_and_rare_order_change_nothing(spark, docs, monkeypatch):
+    """The result does not depend on how regions are split or shingles ordered."""
+    rows = near_copies(5)
+    monkeypatch.setattr(jaccard_join, "CELL", 3)
+    monkeypatch.setattr(jaccard_join, "HEAVY_SHARE", 10)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(docs(rows)).collect()}
+    assert got == brute_components(rows)
+
+
+def test_large_group_of_copies_is_one_component(spark, docs):
+    rows = [(i, "one two three four five six seven eight nine ten") for i in range(3000)] + [(5000, "one two three four five six seven eight nine ten eleven")]
+    got = jaccard_join.jaccard_components(docs(rows)).collect()
+    assert {r.component_id for r in got} == {0} and len(got) == 3001
+
+
+def test_odd_rows(spark, docs):
+    got = [(r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(docs(ODD)).collect()]
+    assert len(got) == len(ODD)
+    assert {(1, 0, 1), (2, 0, 2), (3, 0, 3), (4, 1, 4), (5, 0, 5), (6, 6, 6), (None, 1, None)} <= set(got)
+    assert collections.Counter(got)[7, 1, 7] == 2
+    assert jaccard_join.jaccard_components(docs([])).collect() == []
+
+
+def test_region_join_keeps_every_pair_within_reach():
+    import pandas as pd
+    rng = np.random.default_rng(3)
+    sets = []
+    for _ in range(60):
+        base = rng.integers(0, 2**63, rng.integers(5, 200)).astype(np.uint64)
+        sets += [np.unique(np.r_[base[rng.random(len(base)) > 0.1], rng.integers(0, 2**63, 2).astype(np.uint64)]) for _ in range(6)]
+    sets.sort(key=len)
+    cell = pd.DataFrame({"x": range(len(sets)), "n": [len(s) for s in sets], "component": range(len(sets)),
+                         "side": 0, "parity": [jaccard_join._parity(s).tobytes() for s in sets]})
+    linked = {(a, b) for a, b in itertools.combinations(range(len(sets)), 2)
+              if 100 * (k := len(np.intersect1d(sets[a], sets[b]))) >= 75 * (len(sets[a]) + len(sets[b]) - k)}
+    one = {tuple(sorted(p)) for p in zip(*(v.tolist() for v in jaccard_join._join_region(cell)[:2]))}
+    cell["side"] = (np.arange(len(sets)) >= 150).astype(int)
+    two = {tuple(sorted(p)) for p in zip(*(v.tolist() for v in jaccard_join._join_region(cell)[:2]))}
+    assert linked <= one and {(a, b) for a, b in linked if a < 150 <= b} <= two
+
+
+def test_connected_components(spark):
+    edges = [(5, 4), (4, 3), (3, 2), (2, 1), (9, 8), (8, 9), (7, 7), (20, 21), (21, 22), (22, 20)]
+    got = components.connected_components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()
+    assert dict(got) == {1: 1, 2: 1, 3: 1, 4: 1, 5: 1, 8: 8, 9: 8, 20: 20, 21: 20, 22: 20} and len(got) == 10
+
+
+def test_word_hashes_do_not_depend_on_blocks(monkeypatch):
+    import pyarrow as pa
+    texts = ["a bb  ccc\tdd\n", "", None, "x" * 500, "ä b " * 300, "end"]
+    whole = [s.tolist() for _, s in arrays.shingle_sets(pa.array(texts))]
+    monkeypatch.setattr(arrays, "BLOCK", 64)
+    monkeypatch.setattr(arrays, "_POWERS", [])
+    assert [s.tolist() for _, s in arrays.shingle_sets(pa.array(texts))] == whole
+    assert [len(s) for s in whole] == [len(shingles(t)) for t in texts]
+
+
+def brute_tiles(a, b, least):
+    """Greedy string tiling by definition."""
+    mark_a, mark_b, out = [False] * len(a), [False] * len(b), 0
+    while True:
+        best, found = least - 1, []
+        for i in range(len(a)):
+            for j in range(len(b)):
+                k = 0
+                while i + k < len(a) and j + k < len(b) and a[i + k] == b[j + k] and not mark_a[i + k] and not mark_b[j + k]:
+                    k += 1
+                if k > best:
+                    best, found = k, [(i, j)]
+                elif k == best and k >= least:
+                    found.append((i, j))
+        if not found:
+            return out
+        for i, j in found:
+            if not any(mark_a[i:i + best]) and not any(mark_b[j:j + best]):
+                mark_a[i:i + best] = mark_b[j:j + best] = [True] * best
+                out += best
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_tiles_equal_the_definition(seed):
+    rng = random.Random(seed)
+    a = [rng.randrange(1, 5) for _ in range(40)]
+    b = a[20:] + [rng.randrange(1, 5) for _ in range(10)] + a[:17]
+    found = decontaminate.tiles(np.array(a, np.uint64), np.array(b, np.uint64), 4)
+    assert sum(n for *_, n in found) == brute_tiles(a, b, 4)
+    assert all(a[i:i + n] == b[j:j + n] for i, j, n in found)
+
+
+def test_leaks(spark, docs, monkeypatch):
+    item = [f"q{i}" for i in range(40)]
+    benchmark = spark.createDataFrame([(1, " ".join(item), 1), (2, "short Item", 2), (3, None, 3), (4, "", 4)], "item_id long, text string, doc_id long")
+    noise = " ".join(f"n{i}" for i in range(50))
+    rows = [(10, noise + " " + " ".join(item).upper() + " " + noise),  # whole, other case
+            (11, " ".join(item[20:]) + " " + noise + " " + " ".join(item[:20])),  # reordered
+            (12, noise + " " + " ".join(item[:12])),  # too little
+            (13, " ".join(item[:12]) + " x " + " ".join(item[:12])),  # the same part twice covers once
+            (14, "a short item here"), (15, noise)]
+    got = {(r.doc_id, r.item_id): (r.covered_words, r.n_tiles) for r in decontaminate.leaks(docs(rows), benchmark).collect()}
+    assert got == {(10, 1): (40, 1), (11, 1): (40, 2), (14, 2): (2, 1)}
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 100)  # several blocks
+    assert {(r.doc_id, r.item_id): (r.covered_words, r.n_tiles) for r in decontaminate.leaks(docs(rows), benchmark).collect()} == got
+    assert decontaminate.leaks(docs(ODD), benchmark).collect() == []
+    assert decontaminate.leaks(docs(rows), benchmark.limit(0)).collect() == []
