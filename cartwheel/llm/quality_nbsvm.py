@@ -90,6 +90,8 @@ class Model:
             return  # one class, or no rows: the share of label 1
         held = np.arange(len(rows)) % 5 == 0
         held &= len(rows) >= 50
+        if len(set(labels[~held])) < 2:
+            held[:] = False  # too few rows to keep some apart
         train = [r for r, h in zip(rows, held, strict=True) if not h]
         self._fit(train)
         margins = np.array([self.margin(f) for _, f in rows])
@@ -104,7 +106,7 @@ class Model:
         self.ratio = np.log(shares[1] / shares[0])
         ys = np.array([1 if y else -1 for y, _ in rows])
         # both classes weigh the same, however rare one is
-        cost = np.where(ys > 0, COST * len(ys) / (2 * (ys > 0).sum()), COST * len(ys) / (2 * (ys < 0).sum()))
+        cost = COST * len(ys) / (2 * np.where(ys > 0, (ys > 0).sum(), (ys < 0).sum()))
         values = []
         for _, f in rows:
             r = self.ratio[f]
