@@ -77,7 +77,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--out", default=None)
     args = ap.parse_args(argv)
 
-    spark = _session(args.master or ("local[*]" if not SparkSession.getActiveSession() else None))
+    spark = _session(args.master)  # none given: the submit configuration decides
     if args.cmd == "land-orders":
         documents.land_order_documents(spark, args.docs, args.lake, whole_file=args.whole_file)
     elif args.cmd == "land-edits":

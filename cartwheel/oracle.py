@@ -22,6 +22,9 @@ def PCT(x: str) -> str:  # noqa: N802
     return R2(f"({x}) * CAST(100.0 AS DOUBLE)")
 
 
+# Labels and columns of the results.
+
+
 DAY_CASE = """CASE {c}
         WHEN 0 THEN 'Sunday' WHEN 1 THEN 'Monday' WHEN 2 THEN 'Tuesday'
         WHEN 3 THEN 'Wednesday' WHEN 4 THEN 'Thursday' WHEN 5 THEN 'Friday'
@@ -153,6 +156,8 @@ def _items_sql(body: str, *extra: str) -> str:
 
 RATIO = "CAST(count(*) AS DOUBLE) / count(DISTINCT order_id)"
 
+# Labels and columns of the results.
+
 ORDER_NUMBER_CASE = """CASE
         WHEN order_number = 1 THEN '01. First Order'
         WHEN order_number BETWEEN 2 AND 5 THEN '02. Order 2-5'
@@ -161,6 +166,8 @@ ORDER_NUMBER_CASE = """CASE
         WHEN order_number BETWEEN 21 AND 50 THEN '05. Order 21-50'
         ELSE '06. Order 51+' END"""
 
+# Labels and columns of the results.
+
 DAYS_CASE = """CASE
         WHEN days_since_prior_order IS NULL THEN 'Unknown / First Order'
         WHEN days_since_prior_order = 0 THEN 'Same Day'
@@ -170,6 +177,8 @@ DAYS_CASE = """CASE
         WHEN days_since_prior_order BETWEEN 15 AND 30 THEN '15-30 Days'
         ELSE '30+ Days' END"""
 
+# Labels and columns of the results.
+
 ITEM_COLS = ("order_id, user_id, order_number, order_dow, order_hour_of_day, "
              "days_since_prior_order, eval_set, product_id, product_name, aisle_id, aisle, "
              "department_id, department, add_to_cart_order, reordered, ingested_at")
@@ -285,7 +294,8 @@ ORDER BY order_dow""", HOURLY_CTE)
         for h in range(24))
     sql["x_day_hour_pivot"] = _items_sql(f"""
 SELECT order_dow,
-       {pivot_cols}
+       {pivot_cols},
+       CAST(sum(CASE WHEN coalesce(order_hour_of_day NOT BETWEEN 0 AND 23, true) THEN total_orders END) AS BIGINT) AS "other"
 FROM hourly
 GROUP BY order_dow
 ORDER BY order_dow""", HOURLY_CTE)

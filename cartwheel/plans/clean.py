@@ -14,11 +14,11 @@ _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 def lenient_cast(col: Column, source: T.DataType, target: T.DataType) -> Column:
     """Cast that yields null for bad or out-of-range values instead of failing.
 
-    Text going to an integer passes through double first, so '1.0' becomes 1
-    as the legacy (non-ANSI) cast the reference ran under would give.
+    Text that is no integer passes through decimal, so '1.0' becomes 1 as a
+    non-ANSI cast would give, and long ids keep their value.
     """
     if isinstance(source, T.StringType) and isinstance(target, _INTEGRAL):
-        return col.try_cast("double").try_cast(target)
+        return F.coalesce(col.try_cast(target), col.try_cast("decimal(38,10)").try_cast(target))
     if source == target:
         return col
     return col.try_cast(target)

@@ -157,11 +157,14 @@ def x_orders_by_day(hourly: DataFrame) -> DataFrame:
 
 
 def x_day_hour_pivot(hourly: DataFrame) -> DataFrame:
-    """Day x hour matrix of order counts; hours are the fixed 0-23 range so
-    Spark needs no extra job to discover pivot values."""
+    """Day x hour matrix of order counts, with a column for each hour of the day
+    and ``other`` for any other hour (null too), so that a row adds up to the
+    day's orders and Spark needs no extra job to discover pivot values."""
+    hour, orders = F.col("order_hour_of_day"), F.col("total_orders")
+    usual = F.coalesce(hour.between(0, 23), F.lit(False))
     return (hourly.groupBy("order_dow")
-            .pivot("order_hour_of_day", list(range(24)))
-            .agg(F.sum("total_orders").cast("long"))
+            .agg(*(F.sum(F.when(hour == h, orders)).cast("long").alias(str(h)) for h in range(24)),
+                 F.sum(F.when(~usual, orders)).cast("long").alias("other"))
             .orderBy("order_dow"))
 
 

@@ -41,14 +41,15 @@ def derive(items: DataFrame, product_limit: int = marts.DEFAULT_PRODUCT_LIMIT) -
 
 def refresh_orders(spark: SparkSession, lake: DataFrame, root: str,
                    product_limit: int = marts.DEFAULT_PRODUCT_LIMIT,
-                   register_catalog: bool = True, version: str | None = None) -> str:
+                   register_catalog: bool = True, batch: str = "") -> str:
     """Clean ``lake`` rows and publish items + 3 marts under ``root``.
 
     Returns the snapshot version.  Nothing readers see changes until every
-    table has been written.  Passing the same ``version`` again (a retried
-    micro-batch) rewrites that version's folders, so a retry is idempotent.
+    table has been written, and every attempt writes folders of its own, so a
+    failed one leaves the live snapshot alone.  ``batch`` names the
+    micro-batch in the commit.
     """
-    version = version or store.new_version()
+    version = store.new_version()
     items_path = store.table_path(root, ITEMS_TABLE, version)
     store.write_sorted(clean_items(lake), items_path, SORT_KEYS[ITEMS_TABLE])
     snap = derive(spark.read.schema(LAKE_ITEMS).parquet(items_path), product_limit)
@@ -59,7 +60,7 @@ def refresh_orders(spark: SparkSession, lake: DataFrame, root: str,
     with ThreadPoolExecutor(max_workers=len(marts_to_write)) as pool:
         for f in [pool.submit(store.write_sorted, *args) for args in marts_to_write]:
             f.result()
-    store.commit(spark, root, version, ORDER_TABLES, register_catalog)
+    store.commit(spark, root, version, ORDER_TABLES, register_catalog, batch)
     return version
 
 
@@ -72,11 +73,11 @@ def load_orders(spark: SparkSession, root: str, version: str | None = None) -> O
 
 def refresh_edits(spark: SparkSession, edits: DataFrame, root: str,
                   limit: int = marts.DEFAULT_TRENDING_LIMIT,
-                  register_catalog: bool = True, version: str | None = None) -> str:
+                  register_catalog: bool = True, batch: str = "") -> str:
     """Edit refresh: trending titles over every edit in ``edits``."""
-    version = version or store.new_version()
+    version = store.new_version()
     store.write_sorted(marts.edits_trending(edits, limit),
                        store.table_path(root, TRENDING_TABLE, version),
                        SORT_KEYS[TRENDING_TABLE])
-    store.commit(spark, root, version, [TRENDING_TABLE], register_catalog)
+    store.commit(spark, root, version, [TRENDING_TABLE], register_catalog, batch)
     return version

@@ -3,7 +3,7 @@
 The reference truncates four tables and then inserts into them one by one, so
 a failure in between leaves empty tables (T12).  Here a refresh writes every
 table of the new snapshot to its own version folder first; only after all
-writes succeed are the catalog tables re-pointed and the ``_CURRENT`` marker
+writes succeed are a commit file added and the catalog tables re-pointed
 rewritten.  A failed refresh leaves the previous snapshot untouched; a
 retried refresh either writes a new version or rewrites its own (streaming
 batches use the batch id as version).
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from ..schemas import DDL
 
 DATABASE = "analytics"
-_CURRENT = "_CURRENT"
+_COMMITS = "_commits"
 
 
 def write_sorted(df: DataFrame, path: str, sort_keys: list[str],
@@ -41,9 +41,8 @@ def write_sorted(df: DataFrame, path: str, sort_keys: list[str],
     cols = [F.col(k).asc_nulls_first() for k in sort_keys]
     if global_ranges:
         df = df.repartitionByRange(*cols)
-    # A version folder belongs to one refresh; overwriting it makes a retried
-    # refresh (same version) idempotent.
-    df.sortWithinPartitions(*cols).write.mode("overwrite").parquet(path)
+    # A version folder belongs to one attempt and is never written twice.
+    df.sortWithinPartitions(*cols).write.parquet(path)
 
 
 def new_version() -> str:
@@ -57,32 +56,46 @@ def _jvm_fs(spark: SparkSession, path: str):
     return jpath.getFileSystem(conf), jpath
 
 
-def _write_marker(spark: SparkSession, root: str, version: str) -> None:
-    """Atomically replace ``<root>/_CURRENT`` (write aside, then rename)."""
-    fs, target = _jvm_fs(spark, f"{root}/{_CURRENT}")
+def _write_commit(spark: SparkSession, root: str, version: str, batch: str) -> None:
+    """Add an immutable commit file, which appears whole by a rename.  The newest
+    name is current; nothing is replaced, so readers always find one."""
     jvm = spark.sparkContext._jvm
-    tmp = jvm.org.apache.hadoop.fs.Path(f"{root}/.{_CURRENT}.{uuid.uuid4().hex}")
-    out = fs.create(tmp, True)
-    out.write(bytearray(version.encode("utf-8")))
+    fs, target = _jvm_fs(spark, f"{root}/{_COMMITS}/{new_version()}")
+    aside = jvm.org.apache.hadoop.fs.Path(f"{root}/{_COMMITS}/.{uuid.uuid4().hex}")
+    out = fs.create(aside, False)
+    out.write(bytearray(f"{version}\n{batch}\n".encode()))
     out.close()
-    if fs.exists(target):
-        fs.delete(target, False)
-    fs.rename(tmp, target)
-
-
-def current_version(spark: SparkSession, root: str) -> str | None:
-    fs, target = _jvm_fs(spark, f"{root}/{_CURRENT}")
-    if not fs.exists(target):
-        return None
-    stream = fs.open(target)
+    if not fs.rename(aside, target):
+        raise OSError(f"commit of {version} under {root} failed")
+
+
+def _newest_commit(spark: SparkSession, root: str) -> tuple[str | None, str | None]:
+    """(version, batch) of the newest commit."""
+    fs, folder = _jvm_fs(spark, f"{root}/{_COMMITS}")
+    if not fs.exists(folder):
+        return None, None
+    names = sorted(s.getPath().getName() for s in fs.listStatus(folder))
+    names = [n for n in names if not n.startswith(".")]
+    if not names:
+        return None, None
+    jvm = spark.sparkContext._jvm
+    stream = fs.open(jvm.org.apache.hadoop.fs.Path(folder, names[-1]))
     try:
-        reader = spark.sparkContext._jvm.java.io.BufferedReader(
-            spark.sparkContext._jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        return reader.readLine()
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        return reader.readLine(), reader.readLine()
     finally:
         stream.close()
 
 
+def current_version(spark: SparkSession, root: str) -> str | None:
+    return _newest_commit(spark, root)[0]
+
+
+def committed_batch(spark: SparkSession, root: str) -> str | None:
+    """The micro-batch that the newest commit names."""
+    return _newest_commit(spark, root)[1]
+
+
 def table_path(root: str, table: str, version: str) -> str:
     return f"{root.rstrip('/')}/{table}/v={version}"
 
@@ -96,15 +109,16 @@ def ensure_catalog(spark: SparkSession, root: str, tables: list[str]) -> None:
 
 
 def commit(spark: SparkSession, root: str, version: str, tables: list[str],
-           register_catalog: bool = True) -> None:
-    """Switch readers to ``version`` once all its tables are written."""
+           register_catalog: bool = True, batch: str = "") -> None:
+    """Switch readers to ``version`` once all its tables are written.  The commit
+    file is the switch; the catalog's tables follow one by one."""
+    _write_commit(spark, root, version, batch)
     if register_catalog:
         ensure_catalog(spark, root, tables)
         for table in tables:
             # SET LOCATION also refreshes the table's cached relation.
             spark.sql(f"ALTER TABLE {DATABASE}.{table} SET LOCATION "
                       f"'{table_path(root, table, version)}'")
-    _write_marker(spark, root, version)
 
 
 def read_published(spark: SparkSession, root: str, table: str,

@@ -6,8 +6,8 @@ Every query starts from the given tables.  The order-item rows are built from
 first query for an ``sf_dir`` runs the refresh (items written once, marts
 derived from the written items, staged publish under the shared checkpoint
 folder) and later queries in the same session read that snapshot.  Set
-``CARTWHEEL_MATERIALIZE=0`` to run every query as one lazy plan from the
-source tables instead.
+``CARTWHEEL_MATERIALIZE=0`` to derive the marts lazily for every query instead
+(building the item rows still stages them).
 """
 
 from __future__ import annotations
@@ -107,15 +107,6 @@ def _snapshot_counts(spark, sf):
     return out
 
 
-def _show_tables(spark, sf):
-    order_snapshot(spark, sf)
-    if not materialized():
-        # No refresh ran, so only the idempotent DDL (S10) defines the tables.
-        from .schemas import ORDER_TABLES
-        store.ensure_catalog(spark, scratch_path(spark, "warehouse"), ORDER_TABLES)
-    return store.list_tables(spark, "orders*")
-
-
 def _edits_trending(spark, sf):
     return marts.edits_trending(fixtures.lake_edits(spark, sf))
 
@@ -172,7 +163,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # validation statements
     "v_row_counts": _row_counts,
     "v_sample": _items(q.v_sample),
-    "v_show_tables": _show_tables,
     "v_null_checks": _null_checks,
     "snapshot_counts": _snapshot_counts,
     # ingest: documents built from the given tables, parsed back (round trip)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# Names and types of the format.
 ORDER_FIELDS = [
     ("order_id", T.LongType()),
     ("user_id", T.LongType()),
@@ -19,6 +20,7 @@ ORDER_FIELDS = [
     ("eval_set", T.StringType()),
 ]
 
+# Names and types of the format.
 PRODUCT_FIELDS = [
     ("product_id", T.LongType()),
     ("product_name", T.StringType()),
@@ -88,6 +90,7 @@ TRENDING_COLUMNS = ["title", "total_edits", "total_bytes_changed", "bot_edits"]
 
 # Idempotent DDL for the catalog (S10).  Types follow schemas above; unsigned
 # warehouse integers map to Spark's signed long/int.
+# Names and types of the format.
 DDL = {
     ITEMS_TABLE: """
         order_id BIGINT, user_id BIGINT, order_number INT, order_dow INT,

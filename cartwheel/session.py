@@ -34,6 +34,7 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.ansi.enabled": "true",
+    "spark.sql.variant.allowDuplicateKeys": "true",  # of a repeated JSON key the last value counts
     "spark.ui.enabled": "false",
 }
 
@@ -104,9 +105,6 @@ def partitions_for(df, target_bytes: int = 128 * 1024 * 1024) -> int:
     parallelism.  (AQE does not coalesce a repartition with an explicit
     count, so small inputs should not get hundreds of slices.)"""
     base = df.sparkSession.sparkContext.defaultParallelism
-    try:
-        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        size = int(size if isinstance(size, int) else size.toString())
-    except Exception:  # statistics unavailable (e.g. non-classic sessions)
-        return base
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    size = int(size if isinstance(size, int) else size.toString())
     return max(base, -(-size // target_bytes))

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import LAKE_EDITS, ORDER_FIELDS, PRODUCT_FIELDS
-from ..session import shuffle_partitions
+from ..session import partitions_for
 
 _INTEGRAL = (T.IntegerType, T.LongType)
 _NUMERIC_KINDS = ["BIGINT", "INT", "SMALLINT", "TINYINT", "DOUBLE", "FLOAT", "DECIMAL"]
@@ -200,7 +200,7 @@ def build_order_documents(items: DataFrame, lines_per_document: int = 1000) -> D
     # Explicit hash partitioning on the block: the documents stay spread over
     # the shuffle partitions (AQE would coalesce the few, small document rows
     # into one task, and parsing multiplies each document a thousandfold).
-    blocks = blocks.repartition(shuffle_partitions(items.sparkSession), "_block")
+    blocks = blocks.repartition(partitions_for(items), "_block")
     per_order = (blocks.groupBy("_block", *[n for n, _ in ORDER_FIELDS])
                  .agg(F.collect_list(F.when(F.col("product_id").isNotNull(), product_struct))
                        .alias("_products")))
@@ -251,7 +251,7 @@ def build_edit_documents(spark: SparkSession, sf_dir: str, edits_per_document: i
     from .fixtures import edit_sizes
     ev = edit_sizes(spark, sf_dir).withColumn(
         "_block", F.floor(F.monotonically_increasing_id() / F.lit(edits_per_document)))
-    ev = ev.repartition(shuffle_partitions(spark), "_block")
+    ev = ev.repartition(partitions_for(ev), "_block")
     change = F.struct(
         F.col("event_id").alias("rcid"),
         F.concat(F.lit("page_"), F.col("user_id").cast("string")).alias("title"),

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..plans import refresh
+from ..plans import refresh, store
 from ..schemas import LAKE_EDITS, LAKE_ITEMS, TRENDING_TABLE
 from ..session import scratch_path
 from ..sources import fixtures
@@ -33,11 +33,9 @@ from ..sources.lake import land_edits, land_items
 
 
 def _source(spark: SparkSession, lake_dir: str, schema, clean_source: str,
-            archive_dir: str | None, max_files: int | None) -> DataFrame:
+            archive_dir: str | None) -> DataFrame:
     reader = (spark.readStream.schema(schema)
               .option("pathGlobFilter", "*.parquet"))
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", str(max_files))
     if clean_source != "off":
         reader = reader.option("cleanSource", clean_source)
         if clean_source == "archive":
@@ -55,31 +53,32 @@ def _start(stream: DataFrame, fn, checkpoint: str, processing_time: str | None,
     return writer.start()
 
 
-def _batch_version(batch_id: int) -> str:
-    return f"batch-{batch_id:012d}"
+def _once(spark: SparkSession, root: str, checkpoint: str, batch_id: int) -> str | None:
+    """Name of the batch, or None if this stream has committed it already (Spark
+    hands a batch out again when the process ends between commit and checkpoint)."""
+    batch = f"{checkpoint.rstrip('/')}#{batch_id}"
+    return None if store.committed_batch(spark, root) == batch else batch
 
 
 def start_order_refresh(spark: SparkSession, lake_dir: str, root: str, checkpoint: str,
                         processing_time: str | None = None, clean_source: str = "off",
-                        archive_dir: str | None = None, max_files: int | None = None,
-                        register_catalog: bool = True) -> StreamingQuery:
+                        archive_dir: str | None = None, register_catalog: bool = True) -> StreamingQuery:
     """Each micro-batch of item files -> a published order snapshot."""
     def on_batch(df: DataFrame, batch_id: int) -> None:
-        refresh.refresh_orders(df.sparkSession, df, root, version=_batch_version(batch_id),
-                               register_catalog=register_catalog)
-    stream = _source(spark, lake_dir, LAKE_ITEMS, clean_source, archive_dir, max_files)
+        if batch := _once(df.sparkSession, root, checkpoint, batch_id):
+            refresh.refresh_orders(df.sparkSession, df, root, register_catalog=register_catalog, batch=batch)
+    stream = _source(spark, lake_dir, LAKE_ITEMS, clean_source, archive_dir)
     return _start(stream, on_batch, checkpoint, processing_time, "orders_refresh")
 
 
 def start_edit_refresh(spark: SparkSession, lake_dir: str, root: str, checkpoint: str,
                        processing_time: str | None = None, clean_source: str = "off",
-                       archive_dir: str | None = None, max_files: int | None = None,
-                       register_catalog: bool = True) -> StreamingQuery:
+                       archive_dir: str | None = None, register_catalog: bool = True) -> StreamingQuery:
     """R2: each micro-batch of edit files -> a published trending table."""
     def on_batch(df: DataFrame, batch_id: int) -> None:
-        refresh.refresh_edits(df.sparkSession, df, root, version=_batch_version(batch_id),
-                              register_catalog=register_catalog)
-    stream = _source(spark, lake_dir, LAKE_EDITS, clean_source, archive_dir, max_files)
+        if batch := _once(df.sparkSession, root, checkpoint, batch_id):
+            refresh.refresh_edits(df.sparkSession, df, root, register_catalog=register_catalog, batch=batch)
+    stream = _source(spark, lake_dir, LAKE_EDITS, clean_source, archive_dir)
     return _start(stream, on_batch, checkpoint, processing_time, "edits_refresh")
 
 

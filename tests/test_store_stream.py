@@ -90,12 +90,32 @@ def test_stream_batches_replace_the_snapshot(spark):
     assert ids == [7, 8]
 
 
-def test_retried_batch_is_idempotent(spark):
+def test_failed_retry_of_a_committed_batch_keeps_the_snapshot(spark):
     root = scratch_path(spark, "wh")
     df = _lake_rows(spark, [1, 2])
-    refresh.refresh_orders(spark, df, root, version="batch-000000000001", register_catalog=False)
-    refresh.refresh_orders(spark, df, root, version="batch-000000000001", register_catalog=False)
-    assert refresh.load_orders(spark, root).items.count() == 2
+    refresh.refresh_orders(spark, df, root, register_catalog=False, batch="ckpt#0")
+    live = refresh.load_orders(spark, root)
+    bad = df.withColumn("order_id", F.raise_error(F.lit("boom")).cast("long"))
+    with pytest.raises(Exception):
+        refresh.refresh_orders(spark, bad, root, register_catalog=False, batch="ckpt#0")
+    assert live.items.count() == 2 and refresh.load_orders(spark, root).items.count() == 2
+    assert store.committed_batch(spark, root) == "ckpt#0"
+
+
+def test_committed_batch_is_skipped_and_new_checkpoint_publishes(spark):
+    base = scratch_path(spark, "again")
+    lake_dir, root = f"{base}/lake", f"{base}/wh"
+    lake.land_items(_lake_rows(spark, [1, 2]), lake_dir)
+    assert stream._once(spark, root, f"{base}/c1", 0) == f"{base}/c1#0"
+    stream.start_order_refresh(spark, lake_dir, root, f"{base}/c1", register_catalog=False).awaitTermination()
+    first = store.current_version(spark, root)
+    assert stream._once(spark, root, f"{base}/c1/", 0) is None
+    assert stream._once(spark, root, f"{base}/c1", 1) and stream._once(spark, root, f"{base}/c2", 0)
+    old = refresh.load_orders(spark, root)
+    # a new checkpoint over an old root starts at batch 0 again, in folders of its own
+    stream.start_order_refresh(spark, lake_dir, root, f"{base}/c2", register_catalog=False).awaitTermination()
+    assert store.current_version(spark, root) != first
+    assert old.items.count() == 2 and refresh.load_orders(spark, root).items.count() == 2
 
 
 def test_stream_archives_consumed_files(spark):

@@ -217,9 +217,28 @@ def test_day_hour_pivot_has_every_hour(spark, items_df):
                        "product_id": 3}])
     from cartwheel.plans.marts import hourly_summary
     pivot = q.x_day_hour_pivot(hourly_summary(items))
-    assert pivot.columns == ["order_dow"] + [str(h) for h in range(24)]
+    assert pivot.columns == ["order_dow"] + [str(h) for h in range(24)] + ["other"]
     row = pivot.first()
-    assert row["5"] == 1 and row["4"] is None and row.order_dow == 2
+    assert row["5"] == 1 and row["4"] is None and row.order_dow == 2 and row.other is None
+
+
+def test_day_hour_pivot_adds_up_with_hours_out_of_range(spark, items_df):
+    hours = [0, 23, 24, -1, None]
+    items = items_df([{"order_id": i, "user_id": 1, "order_dow": 2, "order_hour_of_day": h, "product_id": 3}
+                      for i, h in enumerate(hours)])
+    from cartwheel.plans.marts import hourly_summary
+    row = q.x_day_hour_pivot(hourly_summary(items)).first()
+    assert row.other == 3
+    assert sum(v for k, v in row.asDict().items() if k != "order_dow" and v) == len(hours)
+
+
+def test_text_ids_keep_their_value(spark):
+    from cartwheel.plans.clean import lenient_cast
+    from pyspark.sql import types as T
+    cases = {"9007199254740993": 9007199254740993, "1.0": 1, "1e3": 1000, "-7.9": -7, "99999999999999999999": None, "x": None, "": None, "NaN": None, None: None}
+    rows = spark.createDataFrame([(k,) for k in cases], "t string")
+    got = rows.select("t", lenient_cast(F.col("t"), T.StringType(), T.LongType()).alias("v")).collect()
+    assert {r.t: r.v for r in got} == cases
 
 
 def test_cart_position_orders_by_rounded_average(spark, items_df):
