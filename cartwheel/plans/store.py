@@ -3,10 +3,9 @@
 The reference truncates four tables and then inserts into them one by one, so
 a failure in between leaves empty tables (T12).  Here a refresh writes every
 table of the new snapshot to its own version folder first; only after all
-writes succeed are a commit file added and the catalog tables re-pointed
-rewritten.  A failed refresh leaves the previous snapshot untouched; a
-retried refresh either writes a new version or rewrites its own (streaming
-batches use the batch id as version).
+writes succeed are a commit file added and the catalog tables re-pointed.
+A failed refresh leaves the previous snapshot untouched; every attempt writes
+a version of its own, and a stream skips a batch whose commit it finds.
 
 Layout: ``<root>/<table>/v=<version>/part-*.parquet``, every file sorted on the
 table's sort key (S11) so Parquet min/max statistics skip row groups on it.
