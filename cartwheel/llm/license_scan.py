@@ -74,6 +74,10 @@ def _template_vectors(templates, df: dict[str, int], total: int):
     return [(t, idf(df.get(t, 0))) for t in terms], rows, sorted(keys)
 
 
+def _literal_rows(spark, rows, names) -> DataFrame:
+    return spark.range(1).select(F.inline(F.array(*(F.struct(*(F.lit(v).alias(n) for v, n in zip(row, names, strict=True))) for row in rows))))
+
+
 def scan(files: DataFrame, templates=TEMPLATES, license_file: Column | None = None) -> DataFrame:
     """``(path, license, score, inherited, inherited_from)`` for every distinct path
     of ``files`` (columns ``path`` and ``text``; others are ignored): the licence
@@ -100,8 +104,8 @@ def scan(files: DataFrame, templates=TEMPLATES, license_file: Column | None = No
     units = marked.select("path", "is_license", F.posexplode("units").alias("unit", "line")).withColumn("unit", F.xxhash64("unit", "line"))
     tf = (units.select("path", "unit", "is_license", F.explode(_terms(F.col("line"))).alias("term"))
           .groupBy("path", "unit", "is_license", "term").agg((1 + F.log(F.count(F.lit(1)).cast("double"))).alias("tf")))
-    weights = spark.createDataFrame(idf, "term string, idf double")
-    templates_df = spark.createDataFrame(vectors, "license string, term string, t double")
+    weights = _literal_rows(spark, idf, ("term", "idf"))
+    templates_df = _literal_rows(spark, vectors, ("license", "term", "t"))
     weighted = stage(tf.join(weights, "term", "left").withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(rare)))
                      .select("path", "unit", "is_license", "term", "w", F.col("idf").isNotNull().alias("known")), "unit-terms")
     lengths = weighted.groupBy("path", "unit").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("length"))
