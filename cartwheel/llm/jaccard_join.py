@@ -19,7 +19,9 @@ documents link when ``d <= t`` (t = 0.25).
    ``|d(x,p) - d(y,p)| <= t``.  So a region is finished if its members are one
    component, or if what lies outside the pivot's ball of radius t is one
    document more than 2t away.  The others keep what lies outside the ball,
-   and the part of the ball within t of it.
+   and the part of the ball within t of it.  These are windows on sizes too
+   (a set's size is its distance from the empty set, up to scale): a region is cut
+   where sizes leave a gap that no link can bridge.
 5. *Recursion.* What is kept is joined again inside its region: size-sorted
    cells of bounded size, in each a new pivot, windows on the distance to it,
    and the same on both sides, until nothing is left to compare.  Only pairs of
@@ -366,6 +368,15 @@ def _bounds(pairs: DataFrame, maps: DataFrame) -> DataFrame:
     return pairs.join(maps, "x").join(other, "pivot").mapInPandas(_bound, "x long, pivot long, bound double")
 
 
+def _size_runs(members: DataFrame) -> DataFrame:
+    """``members`` (token, x, n, component) with their regions cut wherever the next
+    larger set is too large to link with the one before, and so with any smaller."""
+    by_size = "OVER (PARTITION BY token ORDER BY n, x)"
+    return (members.withColumn("gap", F.expr(f"CASE WHEN {PERCENT} * n > 100 * lag(n) {by_size} THEN 1 ELSE 0 END"))
+            .withColumn("run", F.expr(f"sum(gap) {by_size}"))
+            .select(F.xxhash64("token", "run").alias("token"), "x", "n", "component"))
+
+
 def _cell_pairs(left: DataFrame, maps: DataFrame, nearest: bool) -> DataFrame:
     """Pairs of different components that may link (``nearest``: of these, the
     nearest of each member), of members (token, x, n, component) of regions;
@@ -428,8 +439,8 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         F.count(F.when(~F.col("inside"), 1)).alias("outside"),
         F.min("component").alias("c1"), F.max("component").alias("c2"))
     region = region.where("c1 < c2 AND (nearest IS NOT NULL OR outside > 1)")
-    left = stage(members.join(region.select("token", "nearest"), "token")
-                 .where(f"NOT inside OR far >= nearest - {T + EPS}").select("token", "x", "n", "component"), "left")
+    left = stage(_size_runs(members.join(region.select("token", "nearest"), "token")
+                            .where(f"NOT inside OR far >= nearest - {T + EPS}").select("token", "x", "n", "component")), "left")
 
     # recursion: every member with its nearest first, which joins most of a large group in linear output
     for _ in range(ROUNDS):
