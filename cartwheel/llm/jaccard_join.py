@@ -10,7 +10,10 @@ documents link when ``d <= t`` (t = 0.25).
    frequent in the corpus last, then goes by hash.  The sets that hold one such
    shingle form a region around a pivot, the member of smallest rank; a set lies
    in the regions of several pivots, so boundary documents are replicated and
-   each linked pair meets in at least one region.
+   each linked pair meets in the region of the first shingle that they share.
+   There all that they share stands at or after it, so a member whose place of the
+   shingle is ``at`` only links with sets of ``most`` shingles at most, which is
+   ``(|x| - at) (100 + 75) / 75 - |x|``.
 3. *Distances to pivots.* Every member is joined with its region's pivot, which
    is linear in the region.  A parity bitmap gives a lower bound of the distance
    that rejects nearly all unrelated members; the rest are compared exactly.
@@ -19,9 +22,8 @@ documents link when ``d <= t`` (t = 0.25).
    ``|d(x,p) - d(y,p)| <= t``.  So a region is finished if its members are one
    component, or if what lies outside the pivot's ball of radius t is one
    document more than 2t away.  The others keep what lies outside the ball,
-   and the part of the ball within t of it.  These are windows on sizes too
-   (a set's size is its distance from the empty set, up to scale): a region is cut
-   where sizes leave a gap that no link can bridge.
+   and the part of the ball within t of it.  There are windows on sizes too: in
+   order of size, a region is cut before a set larger than any ``most`` before it.
 5. *Recursion.* What is kept is joined again inside its region: size-sorted
    cells of bounded size, in each a new pivot, windows on the distance to it,
    and the same on both sides, until nothing is left to compare.  Only pairs of
@@ -140,31 +142,32 @@ def _regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows sorted by token and rank: those whose token has several, with the
     first as pivot; ``more`` if it may have over two.  Streams; a region may span
     any number of batches."""
-    names = ["token", "x", "n", "pivot", "pivot_n", "more"]
-    last = None  # (token, x, n, emitted) of the region that the previous batch ended in
+    names = ["token", "x", "n", "most", "pivot", "pivot_n", "pivot_most", "more"]
+    last = None  # (token, x, n, most, emitted) of the region that the previous batch ended in
     for batch in batches:
         if not batch.num_rows:
             continue
-        t, x, n = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+        t, x, n, most = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
         new = np.r_[True, t[1:] != t[:-1]]
         starts = np.flatnonzero(new)
         lengths = np.diff(np.r_[starts, len(t)])
-        pivot, pivot_n, several = np.repeat(x[starts], lengths), np.repeat(n[starts], lengths), np.repeat(lengths > 1, lengths)
+        first, several = np.repeat(starts, lengths), np.repeat(lengths > 1, lengths)
+        pivot, pivot_n, pivot_most = x[first], n[first], most[first]
         joined = last is not None and last[0] == t[0]
         edge = lengths.copy()  # regions at either end of the batch may have more members
         edge[-1] = 3
         if joined:
-            pivot[:lengths[0]], pivot_n[:lengths[0]], several[:lengths[0]], edge[0] = last[1], last[2], True, 3
+            pivot[:lengths[0]], pivot_n[:lengths[0]], pivot_most[:lengths[0]], several[:lengths[0]], edge[0] = *last[1:4], True, 3
         more = np.repeat(edge > 2, lengths)
-        out = [v[several] for v in (t, x, n, pivot, pivot_n, more)]
-        if joined and not last[3]:
-            out = [np.r_[v, o] for v, o in zip((last[0], last[1], last[2], last[1], last[2], True), out, strict=True)]
+        out = [v[several] for v in (t, x, n, most, pivot, pivot_n, pivot_most, more)]
+        if joined and not last[4]:
+            out = [np.r_[v, o] for v, o in zip((*last[:4], *last[1:4], True), out, strict=True)]
         if len(out[0]):
-            yield pa.RecordBatch.from_arrays([pa.array(o.astype(np.int64)) for o in out[:5]] + [pa.array(out[5].astype(bool))], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(o.astype(np.int64)) for o in out[:-1]] + [pa.array(out[-1].astype(bool))], names=names)
         if len(starts) == 1 and joined:
-            last = (last[0], last[1], last[2], True)
+            last = (*last[:4], True)
         else:
-            last = (t[-1], x[starts[-1]], n[starts[-1]], bool(lengths[-1] > 1))
+            last = (t[-1], x[starts[-1]], n[starts[-1]], most[starts[-1]], bool(lengths[-1] > 1))
 
 
 def _bound(pairs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -369,10 +372,10 @@ def _bounds(pairs: DataFrame, maps: DataFrame) -> DataFrame:
 
 
 def _size_runs(members: DataFrame) -> DataFrame:
-    """``members`` (token, x, n, component) with their regions cut wherever the next
-    larger set is too large to link with the one before, and so with any smaller."""
+    """``members`` (token, x, n, most, component) with their regions cut wherever the
+    next larger set is too large to link with any before it."""
     by_size = "OVER (PARTITION BY token ORDER BY n, x)"
-    return (members.withColumn("gap", F.expr(f"CASE WHEN {PERCENT} * n > 100 * lag(n) {by_size} THEN 1 ELSE 0 END"))
+    return (members.withColumn("gap", F.expr(f"CASE WHEN n > max(most) {by_size[:-1]} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 1 ELSE 0 END"))
             .withColumn("run", F.expr(f"sum(gap) {by_size}"))
             .select(F.xxhash64("token", "run").alias("token"), "x", "n", "component"))
 
@@ -417,11 +420,11 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     maps = prefixes.select(F.col("doc_id").alias("x"), "n", "parity")
 
     # regions, and the distances of their members to the pivots
-    regions = stage(prefixes.select(F.explode("first").alias("token"), F.col("doc_id").alias("x"), "n")
+    regions = stage(prefixes.select(F.posexplode("first").alias("at", "token"), F.col("doc_id").alias("x"), "n")
                     .repartition("token").sortWithinPartitions("token", F.xxhash64("x"), "x", "n")
-                    .mapInArrow(_regions, "token long, x long, n long, pivot long, pivot_n long, more boolean"), "regions")
-    near_sizes = F.expr(f"100 * least(n, pivot_n) >= {PERCENT} * greatest(n, pivot_n)")
-    pairs = regions.where("x != pivot").where(near_sizes).select("x", "pivot").distinct()
+                    .select("token", "x", "n", F.expr(f"({100 + PERCENT} * (n - at)) div {PERCENT} - n").alias("most"))
+                    .mapInArrow(_regions, "token long, x long, n long, most long, pivot long, pivot_n long, pivot_most long, more boolean"), "regions")
+    pairs = regions.where("x != pivot AND n <= pivot_most AND pivot_n <= most").select("x", "pivot").distinct()
     bounds = stage(_bounds(pairs, maps), "bounds")
     first = stage(_verified(base, bounds.where(F.col("bound") <= T + EPS).select("x", "pivot").distinct()), "links")
     links = first.where("linked").select("x", "pivot")
@@ -430,7 +433,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     # windows: what of each region is left to compare
     distances = (bounds.groupBy("x", "pivot").agg(F.min("bound").alias("bound"))
                  .join(first.groupBy("x", "pivot").agg(F.min("distance").alias("distance"), F.max("linked").alias("linked")), ["x", "pivot"], "left"))
-    members = _with_components(regions.where("more").select("token", "x", "n", "pivot", "pivot_n").distinct().join(distances, ["x", "pivot"], "left"), known)
+    members = _with_components(regions.where("more").select("token", "x", "n", "most", "pivot", "pivot_n").distinct().join(distances, ["x", "pivot"], "left"), known)
     members = (members.withColumn("inside", F.expr("x = pivot OR coalesce(linked, false)"))
                # bounds of pairs of too different sizes follow from the sizes
                .withColumn("far", F.expr("CASE WHEN x = pivot THEN 0 ELSE coalesce(distance, bound, 2 * abs(n - pivot_n) / (n + pivot_n + abs(n - pivot_n))) END")))
@@ -440,7 +443,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         F.min("component").alias("c1"), F.max("component").alias("c2"))
     region = region.where("c1 < c2 AND (nearest IS NOT NULL OR outside > 1)")
     left = stage(_size_runs(members.join(region.select("token", "nearest"), "token")
-                            .where(f"NOT inside OR far >= nearest - {T + EPS}").select("token", "x", "n", "component")), "left")
+                            .where(f"NOT inside OR far >= nearest - {T + EPS}").select("token", "x", "n", "most", "component")), "left")
 
     # recursion: every member with its nearest first, which joins most of a large group in linear output
     for _ in range(ROUNDS):
