@@ -351,9 +351,9 @@ def _verified(base: DataFrame, pairs: DataFrame) -> DataFrame:
     slot = F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - BITMAP_BITS).cast("long")
     ids = stage(pairs.select(F.explode(F.array("x", "pivot")).alias("doc_id")).distinct(), "candidates")
     wanted = base.sparkSession.sparkContext.broadcast(_bits(ids.select(slot.alias("slot")), BITMAP_BITS))
-    sets = stage(base.where("doc_id IS NOT NULL").withColumn("slot", slot)
-                 .mapInArrow(_sets(wanted), "doc_id long, s binary")
-                 .join(ids, "doc_id", "left_semi").distinct(), "sets")
+    sets = (base.where("doc_id IS NOT NULL").withColumn("slot", slot)
+            .mapInArrow(_sets(wanted), "doc_id long, s binary").repartition("doc_id")  # one shuffle for both joins
+            .join(ids, "doc_id", "left_semi").distinct())
     both = (pairs.join(sets.withColumnRenamed("doc_id", "x"), "x")
             .join(sets.select(F.col("doc_id").alias("pivot"), F.col("s").alias("pivot_s")), "pivot"))
     return both.mapInPandas(_exact, "x long, pivot long, distance double, linked boolean")
