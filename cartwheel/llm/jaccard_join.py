@@ -29,7 +29,7 @@ documents link when ``d <= t`` (t = 0.25).
    and the same on both sides, until nothing is left to compare.  Only pairs of
    different components that pass the bounds leave the task, and are verified.
    First, each member's nearest such pair leaves alone, which joins most of a large
-   group of near copies with linear output; then all that are left do.
+   group of near copies with linear output; then the others do, from cells that hold others.
 
 The result is exact.  Skew: a frequent shingle is only a hash away from the end
 of the order, exact copies are collapsed first, regions are streamed row by
@@ -294,20 +294,25 @@ def _nearest(x: np.ndarray, y: np.ndarray, far: np.ndarray) -> np.ndarray:
 
 
 def _region_pairs(nearest: bool):
-    """Of rows sorted by region and cells: the pairs of each that may link, or of
-    these the nearest of each member."""
+    """Of rows sorted by region and cells: the pairs (``a``, ``b``) of each that may
+    link, or of these the nearest of each member and, as ``open`` rows, the cells
+    (token ``a``, cells ``b`` and ``c``) that hold others too."""
     def join(rows: pd.DataFrame) -> pd.DataFrame:
-        key = rows[["token", "i", "j"]].to_numpy()
+        key = rows[["token", "i", "j"]].to_numpy(np.int64)
         starts = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]).any(axis=1)]) if len(rows) else []
-        found = []
+        found, unfinished = [], [np.zeros((0, 3), np.int64)]
         for a, b in zip(starts, [*starts[1:], len(rows)], strict=True):
             x, y, far = _join_region(rows.iloc[a:b])
             if nearest and len(x):
                 keep = _nearest(x, y, far)
+                if len(keep) < len(x):
+                    unfinished.append(key[a:a + 1])
                 x, y = x[keep], y[keep]
-            found.append((x, y))
-        x, y = (np.concatenate(v) for v in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 2
-        return pd.DataFrame({"x": x, "pivot": y}).drop_duplicates()
+            found.append(np.stack([x, y, np.zeros(len(x), np.int64)], axis=1))
+        pairs, cells = (pd.DataFrame(np.concatenate(v) if v else np.zeros((0, 3), np.int64), columns=["a", "b", "c"]) for v in (found, unfinished))
+        pairs.insert(0, "open", False)
+        cells.insert(0, "open", True)
+        return pd.concat([pairs.drop_duplicates(), cells], ignore_index=True)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None
@@ -380,24 +385,34 @@ def _size_runs(members: DataFrame) -> DataFrame:
             .select(F.xxhash64("token", "run").alias("token"), "x", "n", "component"))
 
 
-def _cell_pairs(left: DataFrame, maps: DataFrame, nearest: bool) -> DataFrame:
-    """Pairs of different components that may link (``nearest``: of these, the
-    nearest of each member), of members (token, x, n, component) of regions;
-    regions of the same members are joined once."""
+def _cells(left: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Members (token, x, n, component) of regions in size-sorted cells, and the
+    pairs (token, i, j) of cells whose sizes let members link.  Regions of the same
+    members are taken once."""
     signature = left.groupBy("token").agg(F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("x")).alias("h1"), F.sum(F.hash("x").cast("long")).alias("h2"),
                                           F.min("component").alias("c1"), F.max("component").alias("c2"))
     chosen = signature.where("c1 < c2").groupBy("size", "h1", "h2").agg(F.min("token").alias("token")).select("token")
-    placed = stage(left.join(chosen, "token").withColumn("cell", F.expr(f"cast((row_number() OVER (PARTITION BY token ORDER BY n, x) - 1) div {CELL} AS int)")), "placed")
+    placed = stage(left.join(chosen, "token").withColumn("cell", F.expr(f"(row_number() OVER (PARTITION BY token ORDER BY n, x) - 1) div {CELL}")), "placed")
     cells = placed.groupBy("token", "cell").agg(F.min("n").alias("n1"), F.max("n").alias("n2"))
     tasks = (cells.select("token", F.col("cell").alias("i"), "n2")
              .join(cells.select(F.col("token"), F.col("cell").alias("j"), "n1"), "token")
              .where(f"i <= j AND 100 * n2 >= {PERCENT} * n1").select("token", "i", "j"))
+    return placed, tasks
+
+
+def _cell_pairs(placed: DataFrame, tasks: DataFrame, maps: DataFrame, nearest: bool) -> DataFrame:
+    """What ``_region_pairs`` finds in pairs of cells.  The maps are joined last, so
+    that they are moved once."""
     sides = (tasks.select("token", "i", "j", F.col("i").alias("cell"), F.lit(0).alias("side"))
              .unionByName(tasks.where("i < j").select("token", "i", "j", F.col("j").alias("cell"), F.lit(1).alias("side"))))
-    return (placed.join(maps.select("x", "parity"), "x").join(sides, ["token", "cell"])
-            .select("token", "i", "j", "side", "x", "n", "component", "parity")
+    return (placed.join(sides, ["token", "cell"]).select("token", "i", "j", "side", "x", "n", "component")
+            .join(maps.select("x", "parity"), "x").select("token", "i", "j", "side", "x", "n", "component", "parity")
             .repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "side", "n", "x")
-            .mapInPandas(_region_pairs(nearest), "x long, pivot long").distinct())
+            .mapInPandas(_region_pairs(nearest), "open boolean, a long, b long, c long").distinct())
+
+
+def _pairs_of(found: DataFrame) -> DataFrame:
+    return found.where("NOT open").select(F.col("a").alias("x"), F.col("b").alias("pivot"))
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
@@ -445,17 +460,20 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     left = stage(_size_runs(members.join(region.select("token", "nearest"), "token")
                             .where(f"NOT inside OR far >= nearest - {T + EPS}").select("token", "x", "n", "most", "component")), "left")
 
-    # recursion: every member with its nearest first, which joins most of a large group in linear output
+    # recursion: every member with its nearest first, which joins most of a large group in linear output;
+    # then what is open: cells with further pairs, in regions of several components
+    placed, tasks = _cells(left)
     for _ in range(ROUNDS):
-        near = stage(_cell_pairs(left, maps, True), "near")
-        links = stage(links.unionByName(_verified(base, near).where("linked").select("x", "pivot")).distinct(), "links")
+        near = stage(_cell_pairs(placed, tasks, maps, True), "near")
+        links = stage(links.unionByName(_verified(base, _pairs_of(near)).where("linked").select("x", "pivot")).distinct(), "links")
         known = connected_components(links, "x", "pivot")
-        now = _with_components(left.drop("component"), known)
-        mixed = now.groupBy("token").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 < c2").select("token")
-        left = stage(now.join(mixed, "token", "left_semi").select("token", "x", "n", "component"), "left")
+        tasks = near.where("open").select(F.col("a").alias("token"), F.col("b").alias("i"), F.col("c").alias("j"))
+        placed = stage(_with_components(placed.join(tasks.select("token").distinct(), "token", "left_semi").drop("component"), known), "placed")
+        mixed = placed.groupBy("token").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 < c2").select("token")
+        tasks = tasks.join(mixed, "token", "left_semi")
 
-    rest = stage(_cell_pairs(left, maps, False), "rest")
-    second = _verified(base, rest).where("linked").select("x", "pivot")
+    rest = stage(_cell_pairs(placed, tasks, maps, False), "rest")
+    second = _verified(base, _pairs_of(rest)).where("linked").select("x", "pivot")
 
     found = connected_components(links.unionByName(second), "x", "pivot")
     labels = (classes.join(found.select(F.col("node").alias("rep"), F.col("component")), "rep", "left")
