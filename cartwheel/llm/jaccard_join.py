@@ -144,10 +144,16 @@ def _regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     any number of batches."""
     names = ["token", "x", "n", "most", "pivot", "pivot_n", "pivot_most", "more"]
     last = None  # (token, x, n, most, emitted) of the region that the previous batch ended in
+    row = None  # the previous batch's last; repeated rows are left out
     for batch in batches:
         if not batch.num_rows:
             continue
-        t, x, n, most = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+        rows = np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)])
+        again = np.r_[row is not None and (rows[:, 0] == row).all(), (rows[:, 1:] == rows[:, :-1]).all(axis=0)]
+        row = rows[:, -1]
+        if again.all():
+            continue
+        t, x, n, most = rows[:, ~again]
         new = np.r_[True, t[1:] != t[:-1]]
         starts = np.flatnonzero(new)
         lengths = np.diff(np.r_[starts, len(t)])
@@ -436,7 +442,10 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
 
     # regions, and the distances of their members to the pivots
     regions = stage(prefixes.select(F.posexplode("first").alias("at", "token"), F.col("doc_id").alias("x"), "n")
-                    .repartition("token").sortWithinPartitions("token", F.xxhash64("x"), "x", "n")
+                    # size and place in one long: this is the largest shuffle
+                    .select("token", "x", F.expr("shiftleft(cast(at AS long), 32) + n").alias("placed"))
+                    .repartition("token").sortWithinPartitions("token", F.xxhash64("x"), "x", "placed")
+                    .select("token", "x", F.expr("placed & 4294967295").alias("n"), F.expr("shiftright(placed, 32)").alias("at"))
                     .select("token", "x", "n", F.expr(f"({100 + PERCENT} * (n - at)) div {PERCENT} - n").alias("most"))
                     .mapInArrow(_regions, "token long, x long, n long, most long, pivot long, pivot_n long, pivot_most long, more boolean"), "regions")
     pairs = regions.where("x != pivot AND n <= pivot_most AND pivot_n <= most").select("x", "pivot").distinct()
@@ -448,7 +457,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     # windows: what of each region is left to compare
     distances = (bounds.groupBy("x", "pivot").agg(F.min("bound").alias("bound"))
                  .join(first.groupBy("x", "pivot").agg(F.min("distance").alias("distance"), F.max("linked").alias("linked")), ["x", "pivot"], "left"))
-    members = _with_components(regions.where("more").select("token", "x", "n", "most", "pivot", "pivot_n").distinct().join(distances, ["x", "pivot"], "left"), known)
+    members = _with_components(regions.where("more").select("token", "x", "n", "most", "pivot", "pivot_n").join(distances, ["x", "pivot"], "left"), known)
     members = (members.withColumn("inside", F.expr("x = pivot OR coalesce(linked, false)"))
                # bounds of pairs of too different sizes follow from the sizes
                .withColumn("far", F.expr("CASE WHEN x = pivot THEN 0 ELSE coalesce(distance, bound, 2 * abs(n - pivot_n) / (n + pivot_n + abs(n - pivot_n))) END")))
