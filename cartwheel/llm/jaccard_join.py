@@ -305,7 +305,7 @@ def _region_pairs(nearest: bool):
     (token ``a``, cells ``b`` and ``c``) that hold others too."""
     def join(rows: pd.DataFrame) -> pd.DataFrame:
         key = rows[["token", "i", "j"]].to_numpy(np.int64)
-        starts = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]).any(axis=1)]) if len(rows) else []
+        starts = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]).any(axis=1)])
         found, unfinished = [], [np.zeros((0, 3), np.int64)]
         for a, b in zip(starts, [*starts[1:], len(rows)], strict=True):
             x, y, far = _join_region(rows.iloc[a:b])
@@ -329,7 +329,8 @@ def _region_pairs(nearest: bool):
             last = rows[["token", "i", "j"]].iloc[-1]
             open_ = (rows.token == last.token) & (rows.i == last.i) & (rows.j == last.j)
             held = rows[open_]
-            yield join(rows[~open_])
+            if not open_.all():
+                yield join(rows[~open_])
         if held is not None:
             yield join(held)
     return run

@@ -7,6 +7,7 @@ import itertools
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from cartwheel.llm import arrays, components, decontaminate, jaccard_join
@@ -87,7 +88,6 @@ def test_odd_rows(spark, docs):
 
 
 def test_region_join_keeps_every_pair_within_reach():
-    import pandas as pd
     rng = np.random.default_rng(3)
     sets = []
     for _ in range(60):
@@ -167,3 +167,26 @@ def test_leaks(spark, docs, monkeypatch):
     assert {(r.doc_id, r.item_id): (r.covered_words, r.n_tiles) for r in decontaminate.leaks(docs(rows), benchmark).collect()} == got
     assert decontaminate.leaks(docs(ODD), benchmark).collect() == []
     assert decontaminate.leaks(docs(rows), benchmark.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("nearest", [True, False])
+@pytest.mark.parametrize("length", [1, 3, 4, 100])
+def test_regions_span_batches(nearest, length):
+    """A region may fill whole batches; the pairs are those of a single batch."""
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 2**63, 200, dtype=np.uint64)
+    rows = []
+    for x in range(12):
+        s = base.copy()
+        s[:x] = rng.integers(0, 2**63, x, dtype=np.uint64)
+        rows.append((x // 8, 0, 0, 0, x, len(s), x, jaccard_join._parity(s).tobytes()))
+    frame = pd.DataFrame(rows, columns=["token", "i", "j", "side", "x", "n", "component", "parity"])
+
+    def found(size):
+        parts = [frame.iloc[k:k + size] for k in range(0, len(frame), size)]
+        out = pd.concat(list(jaccard_join._region_pairs(nearest)(iter(parts))))
+        return sorted(map(tuple, out.astype("int64").to_numpy().tolist()))
+
+    whole = found(len(frame))
+    assert whole and found(length) == whole
+    assert any(row[0] for row in whole) == nearest
