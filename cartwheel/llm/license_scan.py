@@ -2,8 +2,8 @@
 
 Units are the lines of files (headers) and whole licence files.  A unit and each
 licence template are vectors of ``(1 + ln tf) * idf`` over lower-case terms (runs of
-letters and digits), idf counted over all files; terms that no template has weigh
-as terms of one file and count in a unit's length only.  A unit takes the template
+letters and digits), idf counted over all files for every term, also for those that
+no template has and that count in a unit's length only.  A unit takes the template
 of the largest cosine, if that is ``LEAST`` or more.
 
 Only units that may reach that are joined: for each template its rarest terms are
@@ -16,8 +16,9 @@ licence of its own takes that of its nearest ancestor directory: the distinct
 directories (not files) are joined with the licensed ones on each ancestor's path,
 the deepest stays, and files are joined to their directory.
 
-DataFrame operations only.  What the driver sees is the document frequency of
-template terms and the templates, both bounded by the templates.
+DataFrame operations only.  Document frequencies are one aggregation over the terms
+of all files, staged, and joined with the units' terms by term.  What the driver sees
+is those of template terms and the templates, both bounded by the templates.
 """
 
 from __future__ import annotations
@@ -54,7 +55,7 @@ def _terms(text: Column) -> Column:
 
 
 def _template_vectors(templates, df: dict[str, int], total: int):
-    """idf of every template term, ``(licence, term, weight / length)`` rows, and key terms."""
+    """``(licence, term, weight / length)`` rows, and key terms."""
     idf = lambda n: math.log((total + 1) / (n + 1)) + 1
     weights: dict[str, dict[str, float]] = defaultdict(dict)
     for name, text in templates:
@@ -70,8 +71,7 @@ def _template_vectors(templates, df: dict[str, int], total: int):
                 break
             keys.add(term)
             rest -= (x / length) ** 2
-    terms = sorted({t for _, t, _ in rows})
-    return [(t, idf(df.get(t, 0))) for t in terms], rows, sorted(keys)
+    return rows, sorted(keys)
 
 
 def _literal_rows(spark, rows, names) -> DataFrame:
@@ -89,25 +89,25 @@ def scan(files: DataFrame, templates=TEMPLATES, license_file: Column | None = No
     license_file = F.col("path").rlike(LICENSE_FILE) if license_file is None else license_file
     base = files.select(F.coalesce(F.col("path").cast("string"), F.lit("")).alias("path"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     known = sorted({t for _, text in templates for t in re.findall(r"[^\W_]+", text.lower())})
-    present = base.select(F.array_intersect(F.array_distinct(_terms(F.col("text"))), F.array(*map(F.lit, known))).alias("terms"))
-    counts = present.select(F.explode(F.concat(F.col("terms"), F.array(F.lit("")))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
-    df = {r["term"]: r["n"] for r in counts.collect()}  # template terms, and all files under ""
+    present = base.select(F.explode(F.concat(F.array_distinct(_terms(F.col("text"))), F.array(F.lit("")))).alias("term"))
+    counts = stage(present.groupBy("term").agg(F.count(F.lit(1)).alias("n")), "document-frequencies")
+    df = {r["term"]: r["n"] for r in counts.where(F.col("term").isin("", *known)).collect()}  # template terms, and all files under ""
     total = df.pop("", 0)
-    idf, vectors, keys = _template_vectors(templates, df, total)
+    vectors, keys = _template_vectors(templates, df, total)
     may = F.array(*map(F.lit, keys))
-    rare = math.log(total + 1) - math.log(2) + 1
 
     named = license_file.alias("is_license")
     lines = F.filter(F.split("text", "\n"), lambda line: F.arrays_overlap(F.split(F.lower(line), _SPLIT), may))
     marked = base.select("path", "text", named).select(
         "path", "is_license", F.when(F.col("is_license"), F.concat(lines, F.array("text"))).otherwise(lines).alias("units"))
     units = marked.select("path", "is_license", F.posexplode("units").alias("unit", "line")).withColumn("unit", F.xxhash64("unit", "line"))
-    tf = (units.select("path", "unit", "is_license", F.explode(_terms(F.col("line"))).alias("term"))
-          .groupBy("path", "unit", "is_license", "term").agg((1 + F.log(F.count(F.lit(1)).cast("double"))).alias("tf")))
-    weights = _literal_rows(spark, idf, ("term", "idf"))
+    tf = stage(units.select("path", "unit", "is_license", F.explode(_terms(F.col("line"))).alias("term"))
+               .groupBy("path", "unit", "is_license", "term").agg((1 + F.log(F.count(F.lit(1)).cast("double"))).alias("tf")), "unit-terms")
+    # every unit term is a term of some file, so the joins keep all of them
+    idf = (counts.join(tf.select("term").distinct(), "term", "left_semi")
+           .select("term", (F.log(F.lit(total + 1.0) / (F.col("n") + 1)) + 1).alias("idf"), F.col("term").isin(known).alias("known")))
     templates_df = _literal_rows(spark, vectors, ("license", "term", "t"))
-    weighted = stage(tf.join(weights, "term", "left").withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(rare)))
-                     .select("path", "unit", "is_license", "term", "w", F.col("idf").isNotNull().alias("known")), "unit-terms")
+    weighted = stage(tf.join(idf, "term").select("path", "unit", "is_license", "term", (F.col("tf") * F.col("idf")).alias("w"), "known"), "unit-weights")
     lengths = weighted.groupBy("path", "unit").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("length"))
     dots = (weighted.where("known").join(templates_df, "term").groupBy("path", "unit", "is_license", "license").agg(F.sum(F.col("w") * F.col("t")).alias("dot")))
     scored = (dots.join(lengths, ["path", "unit"]).withColumn("score", F.round(F.least(F.col("dot") / F.col("length"), F.lit(1.0)), 9)).where(F.col("score") >= LEAST))

@@ -228,6 +228,29 @@ def test_license_lines_of_the_table_equal_brute_force(spark):
             assert got[r.doc_id] == (None, None)
 
 
+def counted_cosine(line, template, df, total):
+    """Cosine with the counted frequency of every term."""
+    def vector(text):
+        return {t: (1 + math.log(n)) * (math.log((total + 1) / (df[t] + 1)) + 1) for t, n in collections.Counter(re.findall(r"[^\W_]+", text.lower())).items()}
+    unit, other = vector(line), vector(template)
+    return sum(w * other.get(t, 0) for t, w in unit.items()) / math.sqrt(sum(w * w for w in unit.values()) * sum(w * w for w in other.values()))
+
+
+@pytest.mark.parametrize("n_files", [60, 6000])
+def test_license_scan_counts_every_term(spark, n_files):
+    """Words of half of the files weigh little, words of one file much, however many files there are."""
+    mit = license_scan.TEMPLATES[0][1]
+    often = "en a on la de el un es in at to by"
+    common, rare = f"{mit} {often}", f"{mit} qa qb qc qd qe qf qg qh qi qj qk ql"
+    rows = [(f"f/{i}", often if i % 2 else f"none{i}") for i in range(n_files)] + [("p/common", common), ("p/rare", rare)]
+    df = collections.Counter(t for _, text in rows for t in set(re.findall(r"[^\W_]+", text.lower())))
+    got = {r.path: (r.license, r.score) for r in license_scan.scan(spark.createDataFrame(rows, "path string, text string")).where("path LIKE 'p/%'").collect()}
+    want = {path: counted_cosine(line, mit, df, len(rows)) for path, line in (("p/common", common), ("p/rare", rare))}
+    assert want["p/rare"] < license_scan.LEAST < want["p/common"]
+    assert got["p/rare"] == (None, None)
+    assert got["p/common"][0] == "MIT" and got["p/common"][1] == pytest.approx(want["p/common"], abs=1e-6)
+
+
 def test_pipeline(spark):
     """Every stage's decisions, against the operators' definitions."""
     import corpus_pipeline
