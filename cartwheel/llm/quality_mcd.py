@@ -13,9 +13,12 @@ numbers a document, are staged.  A concentration step is one aggregation: moment
 by group and distance bin (bins of equal width in log distance, so that many a
 group, however large, is a bounded number of rows after map-side aggregation), then
 the bins that hold the nearest ``SHARE`` of a group give the next estimate.
-Groups of fewer than ``LEAST_DOCS`` documents are pooled by language, and what is
-still too small is not judged.  Estimates are joined to documents by group; Spark
-broadcasts them where they are small, and splits hot groups' joins where not.
+Documents of a group of fewer than ``LEAST_DOCS`` are judged by the estimates of all
+documents of their language, and where those are too few too, by the estimates of
+the whole corpus, whatever its size (``FLOORS`` keep the scatter of a tiny one
+regular).  A level is estimated only where some group needs it, in the same
+aggregations.  Estimates are joined to documents by group; Spark broadcasts them
+where they are small, and splits hot groups' joins where not.
 
 Windows are compared by 64-bit hash.
 """
@@ -129,8 +132,8 @@ def _estimates(rows: DataFrame, sizes: DataFrame) -> DataFrame:
 def quality_rules(docs: DataFrame) -> DataFrame:
     """``(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     base_failed, kept, distance)`` for every row of ``docs``.  ``distance`` is the
-    squared robust distance; it is null, and the document kept, where the base
-    rules reject or its group is too small.  Null texts have no words (and fail);
+    squared robust distance; it is null where the base rules reject, and only
+    there.  Null texts have no words (and fail);
     null languages and sources are groups of their own; ids may be null or
     repeat; other columns are ignored."""
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
@@ -138,15 +141,19 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     counts = stage(_vectors(base_statistics(base).withColumn("base_failed", failed))
                    .withColumn("fine", F.to_json(F.struct("lang", "source")))
-                   .withColumn("coarse", F.concat(F.lit("pooled "), F.to_json(F.struct("lang")))), "quality")
+                   .withColumn("coarse", F.concat(F.lit("all of "), F.to_json(F.struct("lang")))), "quality")
     good = counts.where("NOT base_failed")
-    fine = good.groupBy("fine", "coarse").agg(F.count(F.lit(1)).alias("size")).withColumn("own", F.col("size") >= LEAST_DOCS)
-    fine = stage(fine.withColumn("g", F.when(F.col("own"), F.col("fine")).otherwise(F.col("coarse"))), "groups")
-    sizes = fine.groupBy("g").agg(F.sum("size").alias("size")).where(F.col("size") >= LEAST_DOCS)
-    sizes = stage(sizes, "sizes")
-    rows = good.join(fine.select("fine", "g"), "fine").join(sizes.select("g"), "g", "left_semi").select("g", *X)
+    fine = good.groupBy("fine", "coarse").agg(F.count(F.lit(1)).alias("size"))
+    langs = fine.groupBy("coarse").agg(F.sum("size").alias("lang_size"))
+    # the finest level with enough documents judges; the last one has no least size
+    level = F.when(F.col("size") >= LEAST_DOCS, F.col("fine")).when(F.col("lang_size") >= LEAST_DOCS, F.col("coarse")).otherwise(F.lit("all"))
+    fine = stage(fine.join(langs, "coarse").select("fine", "size", "coarse", level.alias("g")), "groups")
+    levels = fine.select("fine", "size", F.explode(F.array("fine", "coarse", F.lit("all"))).alias("g"))
+    members = stage(levels.join(fine.select("g").distinct(), "g", "left_semi"), "members")
+    sizes = stage(members.groupBy("g").agg(F.sum("size").alias("size")), "sizes")
+    rows = good.join(members.select("fine", "g"), "fine").select("g", *X)
     model = _estimates(stage(rows, "vectors"), sizes)
     judged = _distance(counts.join(fine.select("fine", "g"), "fine", "left").join(model, "g", "left"))
     distance = F.when(~F.col("base_failed"), F.col("d2"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-                         (~F.col("base_failed") & F.coalesce(F.col("d2") <= LIMIT, F.lit(True))).alias("kept"), distance.alias("distance"))
+                         (~F.col("base_failed") & (F.col("d2") <= LIMIT)).alias("kept"), distance.alias("distance"))

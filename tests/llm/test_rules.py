@@ -74,6 +74,32 @@ def test_rules_keep_clean_documents_and_reject_junk(spark):
     assert clean.kept.mean() > 0.99 and junk.kept.mean() < 0.05
 
 
+def test_small_groups_are_judged_by_the_next_level(spark):
+    """A small source by all of its language, a small language by the whole corpus; nothing is left unjudged."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").withColumn("source", F.when((F.col("lang") == "en") & (F.col("doc_id") % 20 != 0), F.lit("s")).otherwise(F.col("source")))
+    got = quality_mcd.quality_rules(docs).toPandas().set_index("doc_id")
+    vectors = quality_mcd._vectors(quality_mcd.base_statistics(docs)).toPandas().set_index("doc_id")
+    good = vectors[~got.base_failed.reindex(vectors.index)]
+    assert got[~got.base_failed].distance.notna().all() and got[got.base_failed].distance.isna().all()
+    english, small = good.lang == "en", good.source != "s"
+    assert 0 < (english & small).sum() and all(n < quality_mcd.LEAST_DOCS for n in good[small].groupby(["lang", "source"]).size())
+    assert all(n < quality_mcd.LEAST_DOCS for n in good[~english].groupby("lang").size())
+    for mine, pool in ((english & small, english), (~english, english | ~english), (english & ~small, english & ~small)):
+        want = brute_mcd(good[pool][list(quality_mcd.X)].to_numpy())[mine[pool].to_numpy()]
+        assert np.allclose(got.distance.reindex(good[mine].index), want, rtol=1e-4, atol=1e-4)
+        assert ((want <= quality_mcd.LIMIT) == got.kept.reindex(good[mine].index)).all()
+
+
+def test_tiny_corpus_is_judged(spark, docs):
+    """The last level has no least size."""
+    rows = [(i, " ".join(f"word{i}x{k}" for k in range(60))) for i in range(12)] + [(50, " ".join(f"#$%&|<{k}>*#$%&|<>*" for k in range(60)))]
+    got = {r.doc_id: r for r in quality_mcd.quality_rules(docs(rows)).collect()}
+    assert not any(r.base_failed or r.distance is None for r in got.values())
+    assert [i for i, r in got.items() if not r.kept] == [50]
+    (one,) = quality_mcd.quality_rules(docs(rows[:1])).collect()
+    assert one.kept and one.distance == 0
+
+
 def brute_spans(text):
     text = text or ""
     out = []
