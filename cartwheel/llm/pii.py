@@ -40,7 +40,10 @@ _NOT_NUMERIC = re.compile(r"[^0-9.\x20()+-]")
 _NOT_DIGIT = re.compile("[^0-9]")
 _NAME = re.compile(r"[A-Za-z0-9_]{3,30}(?![A-Za-z0-9_@])")
 _URL = re.compile(r"[^\s<>\"'`|\\^{}\[\]]+")
-_VALUE = re.compile(r"[\x20]{0,3}[=:][\x20]{0,3}[\"']?([A-Za-z0-9_/+=.-]{8,})")
+#: A value in quotes ends at the closing one, any other at white space or a quote.
+_VALUE = re.compile(r"[\x20]{0,3}[=:][\x20]{0,3}(?:\"([^\"\r\n]{8,})\"|'([^'\r\n]{8,})'|[\"']?([^\s\"']{8,}))")
+#: ASCII letters only, where ``lower`` would move offsets.
+_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 _SPAN = tuple[int, int]
 
 
@@ -59,8 +62,7 @@ def _automaton():
     for mark in ("@", "://", *"0123456789"):
         a.add_word(mark, (mark[0] if mark[0] in "@:" else "0", len(mark)))
     for cue in CUES:
-        for form in {cue, cue.upper(), cue.capitalize()}:
-            a.add_word(form, ("k", len(form)))
+        a.add_word(cue, ("k", len(cue)))
     a.make_automaton()
     return a
 
@@ -92,7 +94,10 @@ def find(text: str) -> dict[str, list[_SPAN]]:
     """Spans of every kind, by start."""
     out: dict[str, list[_SPAN]] = {k: [] for k in KINDS}
     email_end = number_end = url_end = secret_end = 0
-    for last, (kind, length) in _automaton().iter(text):
+    lowered = text.lower()
+    if len(lowered) != len(text):
+        lowered = text.translate(_LOWER)
+    for last, (kind, length) in _automaton().iter(lowered):
         if kind == "0":
             if last < number_end:
                 continue
@@ -128,7 +133,7 @@ def find(text: str) -> dict[str, list[_SPAN]]:
         elif last >= secret_end:
             start = last - length + 1
             if (start == 0 or not text[start - 1].isalnum()) and (m := _VALUE.match(text, last + 1)):
-                out["secret"].append(m.span(1))
+                out["secret"].append(m.span(m.lastindex))
                 secret_end = m.end()
     return out
 

@@ -156,6 +156,15 @@ def test_added_spans_and_redaction(spark, docs):
     assert pii.redacted(table).schema == table.schema and rows[2].text is None and rows[3].text == "" and "<EMAIL>" in rows[1].text
 
 
+@pytest.mark.parametrize(("text", "secret"), [
+    ("Api-Key: abcdefgh12", "abcdefgh12"), ("API_Key=abcdefgh12", "abcdefgh12"), ("PassWord = abcdefgh12 x", "abcdefgh12"),
+    ("password: Sup3rSecret!x9#k", "Sup3rSecret!x9#k"), ("password: Sup3r$ecret9\nnext", "Sup3r$ecret9"), ("token='a b $ecret;9', more", "a b $ecret;9"), ('token="$ecret;99 never closed', "$ecret;99"),
+    ("İ PassWord=abcdefgh12", "abcdefgh12"), ("secret: short", None), ("a secret without a mark", None)])
+def test_secrets_of_any_case_are_taken_whole(text, secret):
+    assert [text[a:b] for a, b in pii.find(text)["secret"]] == ([secret] if secret else [])
+    assert pii.redact(text, pii.find(text)) == (text.replace(secret, "<SECRET>") if secret else text)
+
+
 def test_classifier(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     got = quality_nbsvm.quality_scores(docs, labels).join(labels, "doc_id").toPandas()
