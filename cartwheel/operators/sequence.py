@@ -3,113 +3,75 @@
 ``row_number() OVER (PARTITION BY k ORDER BY o)`` and ``lag(c) OVER (...)``
 send every row of a key to one task; a key holding a third of the rows makes
 that one task do a third of the job.  ``sequence_within_key`` returns the same
-two results while a key's rows are spread over many tasks:
+two results as prefix sums over slices of a key:
 
-1. Range-partition on ``(k, o...)``.  The sampled bounds include the order
-   columns, so a hot key is cut into consecutive slices that land in
-   different partitions; each row records its range partition id.
-2. Write that once as a table bucketed by the slice id (each task holds one
-   id, so it writes one sorted file) in the shared checkpoint folder.  Read
-   back, Spark knows the data is hash-partitioned by the id, so windows over
-   ``(id, k)`` and over ``id`` need no shuffle: they number rows and take the
-   previous row *within the slice*, and flag each slice's first and last
-   rows.  Every later read sees the same slices.
-3. A head/tail table -- per slice its first key, and its last row, whose local
-   number is the count of the last key there -- has two rows per slice.  A
-   window over it gives, for each slice's first key, how many rows of the key
-   lie in earlier slices and the last of them.
-4. That table is broadcast (bounded by the partition count, not by the data)
-   and fixes up the rows of each slice's first key.
+1. Range-partition on ``(k, o..., row id)`` and write the slices once, each row
+   with its slice's number.  The sampled bounds include the order columns and
+   the row id, so a hot key, a hot (key, order value) and even a third of all
+   rows being equal are cut into consecutive slices.
+2. Count the rows of every (key, slice), combined before the shuffle, and sum
+   the counts per key over its slices: how many rows of the key lie in earlier
+   slices, and the last of them.
+3. One shuffle on (slice, key) numbers rows inside the slice.  A key that began
+   in an earlier slice finds a row in front of its own that holds the count and
+   the previous values, so there is no join and nothing is broadcast.
 
-One shuffle and one write of the input, all JVM-side; everything else is
-bounded by the partition count.  ``order_by`` should make rows unique inside
-a key, as for ``lag``.
+No group is larger than a slice; the running sums have one row per slice of a
+key.  Per-day prefix sums were the alternative: a key has about one row a day,
+so the counts would be as many as the rows and be shuffled three times.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..session import partitions_for, scratch_path
+from ..session import partitions_for, stage
 
-_PID = "_seq_pid"
-_LRN = "_seq_lrn"
-SCRATCH_DATABASE = "cartwheel_scratch"
+_SLICE = "_seq_slice"
+_KIND = "_seq_kind"
+_OFFSET = "_seq_offset"
+_ROW = "_seq_row"
 
 
-def _bucketed_stage(ranged: DataFrame, n: int, sort_cols: list[str]) -> DataFrame:
-    """Write ``ranged`` bucketed (and sorted) by the slice id, read it back."""
-    spark = ranged.sparkSession
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {SCRATCH_DATABASE} "
-              f"LOCATION '{scratch_path(spark, 'scratch-db')}'")
-    name = f"{SCRATCH_DATABASE}.seq_{uuid.uuid4().hex[:16]}"
-    (ranged.write.bucketBy(n, _PID).sortBy(_PID, *sort_cols)
-           .option("path", scratch_path(spark, "sequence"))
-           .saveAsTable(name))
-    staged = spark.table(name)
-    # The DataFrame is resolved (bucket spec included); the catalog entry is
-    # no longer needed, and dropping an external table keeps its files.
-    spark.sql(f"DROP TABLE {name}")
-    return staged
+def sliced(df: DataFrame, by: list[str], num_partitions: int) -> DataFrame:
+    """``df`` cut into ``num_partitions`` consecutive ranges of ``by`` (nulls
+    first), written once, with the range's number in ``_seq_slice``."""
+    ranged = (df.withColumn(_ROW, F.monotonically_increasing_id())
+              .repartitionByRange(num_partitions, *[F.col(c).asc_nulls_first() for c in by], _ROW))
+    return stage(ranged.drop(_ROW).withColumn(_SLICE, F.spark_partition_id()), "slices")
 
 
 def sequence_within_key(df: DataFrame, key: str, order_by: list[str], carry: list[str],
                         rn_col: str = "rn", prev_prefix: str = "prev_",
                         num_partitions: int | None = None) -> DataFrame:
     """Add ``rn_col`` = row_number() and ``prev_<c>`` = lag(c) over
-    (PARTITION BY key ORDER BY order_by), without a per-key task."""
-    n = num_partitions or partitions_for(df)
-    order_cols = [F.col(key).asc_nulls_first()] + [F.col(c).asc_nulls_first() for c in order_by]
-    ranged = df.repartitionByRange(n, *order_cols).withColumn(_PID, F.spark_partition_id())
-    staged = _bucketed_stage(ranged, n, [key, *order_by])
-    fields = {f.name: f for f in staged.schema.fields}
-    prev_names = [f"{prev_prefix}{c}" for c in carry]
-
-    # Within each slice.  No shuffle: the table is bucketed on the slice id,
-    # and both windows sort by (slice, key, order), so one sort serves both.
-    in_key = Window.partitionBy(_PID, key).orderBy(*order_cols[1:])
-    in_slice = Window.partitionBy(_PID).orderBy(*order_cols)
-    local = staged.select(
-        *[F.col(c) for c in staged.columns],
-        F.row_number().over(in_key).cast("long").alias(_LRN),
-        *[F.lag(c).over(in_key).alias(p) for c, p in zip(carry, prev_names)],
-        F.lag(F.lit(1)).over(in_slice).isNull().alias("_first"),
-        F.lead(F.lit(1)).over(in_slice).isNull().alias("_last"))
+    (PARTITION BY key ORDER BY order_by), without a per-key task.
 
-    # Head/tail table: per slice its first key, and its last row, whose local
-    # number is the count of the last key there.  One filtered pass over the
-    # windowed slices emits both kinds of row (a slice's only row is both).
-    vals_type = T.StructType([T.StructField(c, fields[c].dataType, True) for c in carry])
-    edge_type = (f"struct<{_PID}: int, _k: {fields[key].dataType.simpleString()}, "
-                 f"_kind: int, _cnt: bigint, _vals: {vals_type.simpleString()}>")
-    head = F.struct(F.col(_PID), F.col(key).alias("_k"), F.lit(0).alias("_kind"),
-                    F.lit(0).cast("long").alias("_cnt"), F.lit(None).cast(vals_type).alias("_vals"))
-    tail = F.struct(F.col(_PID), F.col(key).alias("_k"), F.lit(1).alias("_kind"),
-                    F.col(_LRN).alias("_cnt"),
-                    F.struct(*[F.col(c) for c in carry]).cast(vals_type).alias("_vals"))
-    edges = F.filter(F.array(F.when(F.col("_first"), head.cast(edge_type)),
-                             F.when(F.col("_last"), tail.cast(edge_type))),
-                     lambda e: e.isNotNull())
-    ends = (local.filter(F.col("_first") | F.col("_last"))
-                 .select(F.explode(edges).alias("_e")).select("_e.*"))
-    # Running totals per key over at most 2 rows per slice.
-    w = (Window.partitionBy("_k").orderBy(_PID, "_kind")
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    fix = (ends
-                .withColumn("_off", F.sum("_cnt").over(w) - F.col("_cnt"))
-                .withColumn("_carry", F.last("_vals", ignorenulls=True).over(w))
-                .filter(F.col("_kind") == 0)
-                .select(F.col(_PID).alias("_fp"), "_k", "_off", "_carry"))
+    Null keys are a group, null order values come first, an empty input gives an
+    empty result.  Rows that tie on ``order_by`` are numbered in any order, so
+    it should make rows unique inside a key, as for ``lag``.
+    """
+    staged = sliced(df, [key, *order_by], num_partitions or partitions_for(df))
+    counts = staged.groupBy(key, _SLICE).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.max_by(F.struct(F.lit(0).alias("_"), *carry), F.struct(*order_by)).alias("_last"))
+    earlier = (Window.partitionBy(key).orderBy(_SLICE)
+               .rowsBetween(Window.unboundedPreceding, -1))
+    before = (counts.withColumn(_OFFSET, F.sum("_n").over(earlier))
+              .withColumn("_last", F.last("_last").over(earlier))
+              .filter(F.col(_OFFSET).isNotNull()))
+    types = {f.name: f.dataType for f in df.schema.fields}
+    held = {key: F.col(key), **{c: F.col("_last")[c] for c in carry}}
+    front = before.select(
+        *[held.get(c, F.lit(None)).cast(types[c]).alias(c) for c in df.columns],
+        _SLICE, F.lit(0).alias(_KIND), _OFFSET)
+    rows = staged.withColumns({_KIND: F.lit(1), _OFFSET: F.lit(None).cast("long")}).unionByName(front)
 
-    joined = local.join(F.broadcast(fix),
-                        (F.col(_PID) == F.col("_fp")) & F.col(key).eqNullSafe(F.col("_k")),
-                        "left")
-    result = joined.withColumn(rn_col, F.col(_LRN) + F.coalesce(F.col("_off"), F.lit(0)))
-    for c, p in zip(carry, prev_names):
-        result = result.withColumn(
-            p, F.when(F.col(_LRN) == 1, F.col("_carry")[c]).otherwise(F.col(p)))
-    return result.drop(_PID, _LRN, "_first", "_last", "_fp", "_k", "_off", "_carry")
+    place = Window.partitionBy(_SLICE, key).orderBy(_KIND, *[F.col(c).asc_nulls_first() for c in order_by])
+    number = F.row_number().over(place) - F.when(F.first(_KIND).over(place) == 0, 1).otherwise(0)
+    return (rows.withColumns({
+                rn_col: number + F.coalesce(F.first(_OFFSET).over(place), F.lit(0)),
+                **{f"{prev_prefix}{c}": F.lag(c).over(place) for c in carry}})
+            .filter(F.col(_KIND) == 1)
+            .drop(_SLICE, _KIND, _OFFSET))

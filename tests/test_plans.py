@@ -79,9 +79,8 @@ def test_hot_order_lines_are_split_by_aqe(spark):
                 spark.conf.set(k, v)
 
 
-def test_sequencing_windows_need_no_shuffle(spark):
-    """Only the fix-up window (at most two rows per slice) shuffles; the
-    per-slice windows run straight on the bucketed slice table."""
+def test_sequencing_shuffles_rows_once_more_and_broadcasts_nothing(spark):
+    """After the slices are written, rows move once, by (slice, key)."""
     from cartwheel.operators.sequence import sequence_within_key
     orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet").select(
         "o_orderkey", "o_custkey", "o_orderdate")
@@ -89,8 +88,8 @@ def test_sequencing_windows_need_no_shuffle(spark):
                               num_partitions=4)
     out.toArrow()
     final = _plan(out).split("== Initial Plan ==")[0]
-    assert final.count("Exchange hashpartitioning") == 1
-    assert "hashpartitioning(_k" in final
+    assert "Broadcast" not in final and "Join" not in final
+    assert final.count("Exchange hashpartitioning(_seq_slice") == 1
 
 
 def test_item_rows_read_staged_tables_only(spark):

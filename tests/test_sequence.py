@@ -75,3 +75,24 @@ def test_partition_count_follows_size(spark):
     small = spark.range(10)
     assert partitions_for(small) == spark.sparkContext.defaultParallelism
     assert partitions_for(small, target_bytes=1) >= 10
+
+
+@pytest.mark.parametrize("same", ["key", "key and order", "row"])
+def test_hot_group_is_numbered_by_several_tasks(spark, same):
+    """A third of the rows in one key, in one (key, day), or all equal."""
+    from cartwheel.operators import sequence
+    base = dt.datetime(2020, 1, 1)
+    rows = []
+    for i in range(3000):
+        hot = i % 3 == 0
+        day = base + dt.timedelta(days=0 if hot and same != "key" else i % 400)
+        rows.append((7 if hot and same == "row" else i, 7 if hot else 100 + i % 500, day))
+    df = spark.createDataFrame(rows, "id long, k long, d timestamp_ntz")
+    slices = sequence.sliced(df, ["k", "d", "id"], 12).where("k = 7").groupBy("_seq_slice").count().collect()
+    assert len(slices) >= 4 and max(r["count"] for r in slices) < 1000
+    out = sequence_within_key(df, "k", ["d", "id"], ["d"], num_partitions=12).where("k = 7")
+    got = sorted((r.rn, r.d, r.id, r.prev_d) for r in out.collect())
+    want = sorted((d, i) for i, k, d in rows if k == 7)
+    assert [(d, i) for _, d, i, _ in got] == want
+    assert [r[0] for r in got] == list(range(1, 1001))
+    assert [r[3] for r in got] == [None] + [d for d, _ in want[:-1]]
