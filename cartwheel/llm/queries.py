@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, scratch_path
-from . import best_fit, chat_format, decontaminate, jaccard_join, license_scan, packed_output, pii, quality_mcd, quality_nbsvm, token_counts
+from . import (alignment, best_fit, chat_format, decontaminate, jaccard_join, license_scan, packed_output, periodic_runs, pii, quality_mcd, quality_nbsvm,
+               rendezvous, token_counts)
 from .ship import ship
 
 #: Turns that are formatted besides the table's: texts that look like markup.
@@ -45,6 +46,12 @@ def _conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.conversation_digests(turns.unionByName(hostile))
 
 
+def _alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    return alignment.token_alignment(_table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model"),
+                                     public_tokenizers.PATTERN)
+
+
 def _pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -61,6 +68,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_join": _query(lambda s, d: jaccard_join.jaccard_components(_table(s, d, "documents"))),
     "op9_best_fit_packing": _query(lambda s, d: best_fit.pack_documents(_table(s, d, "documents"), tokenizer("word_bpe_49k.json"))),
     "op10_chat_format": _query(_conversations),
+    "op11_rendezvous_shards": _query(lambda s, d: rendezvous.shard_slots(_table(s, d, "documents"))),
+    "op12_token_alignment": _query(_alignment),
+    "op13_periodic_runs": _query(lambda s, d: periodic_runs.periodic_runs(periodic_runs.planted(_table(s, d, "documents")))),
     "pipeline": _query(_pipeline),
 }
 
