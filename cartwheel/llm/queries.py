@@ -97,5 +97,25 @@ WITH turns AS (
 SELECT conv_id, n_turns, sha256(all_turns) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
     length(formatted) AS formatted_chars
 FROM conv
+""",
+    "op11_rendezvous_shards": r"""
+WITH RECURSIVE rounds(byte, crc, n) AS (
+    SELECT b, b, 0 FROM range(256) t(b)
+    UNION ALL SELECT byte, CASE WHEN crc & 1 = 1 THEN xor(crc >> 1, 3988292384) ELSE crc >> 1 END, n + 1 FROM rounds WHERE n < 8
+), steps AS (
+    SELECT list(crc ORDER BY byte) AS step FROM rounds WHERE n = 8
+), measured AS (
+    SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 1 AS size,
+        xor(list_reduce(list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda b: ('0x' || b)::BIGINT),
+            lambda crc, b: xor(crc >> 8, step[(xor(crc, b) & 255) + 1]), 4294967295::BIGINT), 4294967295) AS text_crc32,
+        list_transform(range(17), lambda s: -ln((('0x' || md5(s || ':' || coalesce('k' || doc_id, 'null'))[1:13])::BIGINT + 0.5::DOUBLE) / 4503599627370496::DOUBLE)) AS scores
+    FROM documents, steps
+), placed AS (
+    SELECT doc_id, size, text_crc32, list_position(scores[1:16], list_min(scores[1:16])) - 1 AS shard, list_position(scores, list_min(scores)) - 1 AS grown_shard
+    FROM measured
+)
+SELECT doc_id, size, text_crc32, 'key' AS law, shard, grown_shard,
+    row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, size, text_crc32) - 1 AS slot
+FROM placed
 """,
 }
