@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..schemas import (DEPARTMENT_TABLE, HOURLY_TABLE, ITEMS_TABLE, LAKE_ITEMS, ORDER_TABLES,
+from ..schemas import (DEPARTMENT_TABLE, HOURLY_TABLE, ITEMS_TABLE, LAKE_ITEMS,
                        PRODUCT_TABLE, SORT_KEYS, TRENDING_TABLE)
 from . import marts, store
 from .clean import clean_items
@@ -41,15 +41,20 @@ def derive(items: DataFrame, product_limit: int = marts.DEFAULT_PRODUCT_LIMIT) -
 
 def refresh_orders(spark: SparkSession, lake: DataFrame, root: str,
                    product_limit: int = marts.DEFAULT_PRODUCT_LIMIT,
-                   register_catalog: bool = True, batch: str = "") -> str:
+                   register_catalog: bool = True, batch: str = "", version: str | None = None,
+                   consumed: str = "") -> str:
     """Clean ``lake`` rows and publish items + 3 marts under ``root``.
 
     Returns the snapshot version.  Nothing readers see changes until every
     table has been written, and every attempt writes folders of its own, so a
     failed one leaves the live snapshot alone.  ``batch`` names the
-    micro-batch in the commit.
+    micro-batch (``<stream>#<number>``): one that is written or committed already
+    is only carried on to its end (R4).
     """
-    version = store.new_version()
+    done = store.resume(spark, root, "orders", batch, register_catalog)
+    if done:
+        return done
+    version = version or store.new_version()
     items_path = store.table_path(root, ITEMS_TABLE, version)
     store.write_sorted(clean_items(lake), items_path, SORT_KEYS[ITEMS_TABLE])
     snap = derive(spark.read.schema(LAKE_ITEMS).parquet(items_path), product_limit)
@@ -60,12 +65,19 @@ def refresh_orders(spark: SparkSession, lake: DataFrame, root: str,
     with ThreadPoolExecutor(max_workers=len(marts_to_write)) as pool:
         for f in [pool.submit(store.write_sorted, *args) for args in marts_to_write]:
             f.result()
-    store.commit(spark, root, version, ORDER_TABLES, register_catalog, batch)
+    _publish(spark, root, version, "orders", register_catalog, batch, consumed)
     return version
 
 
+def _publish(spark: SparkSession, root: str, version: str, group: str, register_catalog: bool,
+             batch: str, consumed: str) -> None:
+    store.note_written(spark, root, version, group, batch)
+    store.commit(spark, root, version, group, register_catalog, batch, consumed)
+    store.note_switched(spark, root, group, batch, register_catalog)
+
+
 def load_orders(spark: SparkSession, root: str, version: str | None = None) -> OrderSnapshot:
-    version = version or store.current_version(spark, root)
+    version = version or store.current_version(spark, root, "orders")
     read = lambda t: store.read_published(spark, root, t, version)
     return OrderSnapshot(items=read(ITEMS_TABLE), product=read(PRODUCT_TABLE),
                          department=read(DEPARTMENT_TABLE), hourly=read(HOURLY_TABLE))
@@ -73,11 +85,16 @@ def load_orders(spark: SparkSession, root: str, version: str | None = None) -> O
 
 def refresh_edits(spark: SparkSession, edits: DataFrame, root: str,
                   limit: int = marts.DEFAULT_TRENDING_LIMIT,
-                  register_catalog: bool = True, batch: str = "") -> str:
-    """Edit refresh: trending titles over every edit in ``edits``."""
-    version = store.new_version()
+                  register_catalog: bool = True, batch: str = "", version: str | None = None,
+                  consumed: str = "") -> str:
+    """Edit refresh: trending titles over every edit in ``edits``; else as
+    ``refresh_orders``."""
+    done = store.resume(spark, root, "edits", batch, register_catalog)
+    if done:
+        return done
+    version = version or store.new_version()
     store.write_sorted(marts.edits_trending(edits, limit),
                        store.table_path(root, TRENDING_TABLE, version),
                        SORT_KEYS[TRENDING_TABLE])
-    store.commit(spark, root, version, [TRENDING_TABLE], register_catalog, batch)
+    _publish(spark, root, version, "edits", register_catalog, batch, consumed)
     return version

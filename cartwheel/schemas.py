@@ -1,8 +1,8 @@
 """Declared schemas: lake rows, warehouse tables, their sort keys.
 
 Writing every lake file with one declared StructType means per-file type drift
-cannot arise from our own ingest; ``sources.lake.read_drifting`` copes with
-lakes written by others.
+cannot arise from our own ingest; ``sources.lake.read_lake`` copes with lakes
+written by others.
 """
 
 from __future__ import annotations
@@ -62,6 +62,8 @@ DEPARTMENT_TABLE = "orders_department_summary"
 HOURLY_TABLE = "orders_hourly_summary"
 TRENDING_TABLE = "wikipedia_trending"
 ORDER_TABLES = [ITEMS_TABLE, PRODUCT_TABLE, DEPARTMENT_TABLE, HOURLY_TABLE]
+# Tables that are published together.
+SNAPSHOTS = {"orders": ORDER_TABLES, "edits": [TRENDING_TABLE]}
 
 # Storage sort key per table (the layout the warehouse keeps, independent of
 # any question's ORDER BY).  Every written file is sorted on it

@@ -10,8 +10,11 @@ Here the same cycle is a Structured Streaming file source with
   (T13);
 * each batch publishes a full snapshot of just its files (R3), staged and
   then switched (no truncate-then-insert window, T12);
-* the snapshot version is the batch id, and a rerun of a batch overwrites its
-  own version folders, so the retry after a failure (R4) is idempotent;
+* what is streamed are the files' names; a batch's files are read as a batch run
+  reads them, so files whose types drift give one table (``lake.read_lake``);
+* a batch is named by its checkpoint and number in the store's ledger, and one
+  that Spark hands out again after a failure is carried on from where it stopped,
+  without running or publishing twice (R4, ``store.resume``);
 * ``cleanSource`` archives or deletes consumed files (S13/R5);
 * an empty trigger runs no batch, leaving the last snapshot as it was (S5).
 
@@ -23,24 +26,26 @@ schedule, one batch at a time by construction.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..plans import refresh, store
+from ..plans import refresh
 from ..schemas import LAKE_EDITS, LAKE_ITEMS, TRENDING_TABLE
 from ..session import scratch_path
-from ..sources import fixtures
-from ..sources.lake import land_edits, land_items
+from ..sources import files, fixtures
+from ..sources.lake import land_edits, land_items, read_lake
 
 
-def _source(spark: SparkSession, lake_dir: str, schema, clean_source: str,
+def _source(spark: SparkSession, lake_dir: str, clean_source: str,
             archive_dir: str | None) -> DataFrame:
-    reader = (spark.readStream.schema(schema)
+    """The names of files that land; their contents are not read here."""
+    reader = (spark.readStream.format("binaryFile").schema(files.FILE_SCHEMA)
               .option("pathGlobFilter", "*.parquet"))
     if clean_source != "off":
         reader = reader.option("cleanSource", clean_source)
         if clean_source == "archive":
             reader = reader.option("sourceArchiveDir", archive_dir)
-    return reader.parquet(lake_dir)
+    return reader.load(lake_dir).select(F.regexp_extract("path", "[^/]*$", 0).alias("name"))
 
 
 def _start(stream: DataFrame, fn, checkpoint: str, processing_time: str | None,
@@ -53,33 +58,33 @@ def _start(stream: DataFrame, fn, checkpoint: str, processing_time: str | None,
     return writer.start()
 
 
-def _once(spark: SparkSession, root: str, checkpoint: str, batch_id: int) -> str | None:
-    """Name of the batch, or None if this stream has committed it already (Spark
-    hands a batch out again when the process ends between commit and checkpoint)."""
-    batch = f"{checkpoint.rstrip('/')}#{batch_id}"
-    return None if store.committed_batch(spark, root) == batch else batch
+def _refresh(spark: SparkSession, lake_dir: str, schema, publish, root: str, checkpoint: str,
+             processing_time: str | None, clean_source: str, archive_dir: str | None,
+             register_catalog: bool, name: str) -> StreamingQuery:
+    def on_batch(names: DataFrame, batch_id: int) -> None:
+        session = names.sparkSession
+        # A micro-batch's file names: what Spark's own source keeps on the driver too.
+        lake, _ = read_lake(session, lake_dir, schema, [r.name for r in names.collect()])
+        publish(session, lake, root, register_catalog=register_catalog,
+                batch=f"{checkpoint.rstrip('/')}#{batch_id}")
+    stream = _source(spark, lake_dir, clean_source, archive_dir)
+    return _start(stream, on_batch, checkpoint, processing_time, name)
 
 
 def start_order_refresh(spark: SparkSession, lake_dir: str, root: str, checkpoint: str,
                         processing_time: str | None = None, clean_source: str = "off",
                         archive_dir: str | None = None, register_catalog: bool = True) -> StreamingQuery:
     """Each micro-batch of item files -> a published order snapshot."""
-    def on_batch(df: DataFrame, batch_id: int) -> None:
-        if batch := _once(df.sparkSession, root, checkpoint, batch_id):
-            refresh.refresh_orders(df.sparkSession, df, root, register_catalog=register_catalog, batch=batch)
-    stream = _source(spark, lake_dir, LAKE_ITEMS, clean_source, archive_dir)
-    return _start(stream, on_batch, checkpoint, processing_time, "orders_refresh")
+    return _refresh(spark, lake_dir, LAKE_ITEMS, refresh.refresh_orders, root, checkpoint, processing_time,
+                    clean_source, archive_dir, register_catalog, "orders_refresh")
 
 
 def start_edit_refresh(spark: SparkSession, lake_dir: str, root: str, checkpoint: str,
                        processing_time: str | None = None, clean_source: str = "off",
                        archive_dir: str | None = None, register_catalog: bool = True) -> StreamingQuery:
     """R2: each micro-batch of edit files -> a published trending table."""
-    def on_batch(df: DataFrame, batch_id: int) -> None:
-        if batch := _once(df.sparkSession, root, checkpoint, batch_id):
-            refresh.refresh_edits(df.sparkSession, df, root, register_catalog=register_catalog, batch=batch)
-    stream = _source(spark, lake_dir, LAKE_EDITS, clean_source, archive_dir)
-    return _start(stream, on_batch, checkpoint, processing_time, "edits_refresh")
+    return _refresh(spark, lake_dir, LAKE_EDITS, refresh.refresh_edits, root, checkpoint, processing_time,
+                    clean_source, archive_dir, register_catalog, "edits_refresh")
 
 
 # ------------------------------------------------------------ registered runs
