@@ -21,8 +21,8 @@ of P words that start at multiples of P.
   long enough are neighbours, so nothing is lost between fragments.
 
 Word equality is exact (words are numbered); hashes only choose tiles, and a tile
-without a run yields none.  Tiles flow from one Python stage to the next inside
-a task; what is written and shuffled are fragments and the texts that have any.
+without a run yields none.  Batches of tiles flow from exploding to solving inside
+a task; what is written and shuffled are fragments and the texts that have tiles.
 """
 
 from __future__ import annotations
@@ -43,7 +43,7 @@ from .token_counts import text_groups
 #: Words of blocks that a tile owns, where its octave is smaller.
 TILE = 256
 #: Bytes of text whose words are numbered and hashed together.
-GROUP = 1 << 20
+GROUP = 1 << 19
 LEAST, EXPONENT = 6, 4
 
 _ROWS = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()), ("text", pa.string()), ("collapsed_sha256", pa.string()),
@@ -204,7 +204,7 @@ def fragments(docs: DataFrame) -> DataFrame:
     of ``docs`` (the text only where it was tiled, the digest where not), and a row
     ``(row, period, first, last)`` for every fragment; ``row`` numbers the rows."""
     found = (docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-             .mapInArrow(_explode, _ddl(_ROWS)).mapInArrow(_solve, _ddl(_FOUND)))
+             .mapInArrow(lambda batches: _solve(_explode(batches)), _ddl(_FOUND)))
     return stage(found, "fragments")
 
 
