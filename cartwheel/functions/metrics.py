@@ -2,16 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Opt-in approximate distinct counts (exact is the default): set
-# ``cartwheel.distinct.approx=true`` on the session before building plans;
-# ``cartwheel.distinct.rsd`` is the relative standard deviation (HyperLogLog++).
-APPROX_CONF = "cartwheel.distinct.approx"
-RSD_CONF = "cartwheel.distinct.rsd"
-
-
 def flag(c: str | Column) -> Column:
     """A 0/1 flag with null counted as 0."""
     col = F.col(c) if isinstance(c, str) else c
@@ -42,13 +35,8 @@ def round2(x: Column) -> Column:
     return F.round(x, 2)
 
 
-def distinct(c: str | Column) -> Column:
-    """Distinct count: exact by default.  With the opt-in session setting it
-    is HyperLogLog++ (``approx_count_distinct``), whose per-group state is a
-    fixed-size sketch instead of the per-value partial aggregation an exact
-    count needs."""
+def distinct(c: str | Column, rsd: float | None = None) -> Column:
+    """Distinct count: exact, or with ``rsd`` (relative standard deviation) a
+    HyperLogLog++ estimate, whose state is of one size whatever it counts."""
     col = F.col(c) if isinstance(c, str) else c
-    spark = SparkSession.getActiveSession()
-    if spark is not None and spark.conf.get(APPROX_CONF, "false").lower() == "true":
-        return F.approx_count_distinct(col, float(spark.conf.get(RSD_CONF, "0.01")))
-    return F.count_distinct(col)
+    return F.count_distinct(col) if rsd is None else F.approx_count_distinct(col, rsd)

@@ -24,14 +24,15 @@ BOX_COLUMNS = ["min_basket_size", "q1_basket_size", "median_basket_size",
 
 
 # ---------------------------------------------------------------- items: KPIs
-def q01_kpi_summary(items: DataFrame) -> DataFrame:
+def q01_kpi_summary(items: DataFrame, rsd: float | None = None) -> DataFrame:
+    """Exact by default; with ``rsd`` the distinct counts are estimates."""
     lines = product_lines(items)
     return lines.agg(
-        distinct("order_id").alias("total_orders"),
-        distinct("user_id").alias("total_users"),
+        distinct("order_id", rsd).alias("total_orders"),
+        distinct("user_id", rsd).alias("total_users"),
         F.count(F.lit(1)).alias("total_order_lines"),
-        distinct("product_id").alias("total_unique_products"),
-        round2(ratio(F.count(F.lit(1)), distinct("order_id"))).alias("avg_items_per_order"),
+        distinct("product_id", rsd).alias("total_unique_products"),
+        round2(ratio(F.count(F.lit(1)), distinct("order_id", rsd))).alias("avg_items_per_order"),
         percent2(rate("reordered")).alias("reorder_rate_percent"),
     )
 
@@ -294,5 +295,15 @@ def v_row_counts(items: DataFrame, product: DataFrame, department: DataFrame,
 
 
 def v_sample(items: DataFrame, n: int = 20) -> DataFrame:
-    """``LIMIT 20`` made testable: ordered by every column first."""
+    """``LIMIT 20`` made testable: ordered by every column first.
+
+    The ``n`` smallest values of the leading column are found by a scan of that
+    column alone; the others are then read where it is at most the last of them,
+    which skips the files and row groups of all later ranges."""
+    key = ITEM_COLUMNS[0]
+    least = items.select(key).orderBy(F.asc_nulls_first(key)).limit(n).collect()
+    if len(least) == n and n:
+        last = least[-1][0]
+        near = F.col(key).isNull()
+        items = items.filter(near if last is None else near | (F.col(key) <= last))
     return items.orderBy(*[F.asc_nulls_first(c) for c in ITEM_COLUMNS]).limit(n)

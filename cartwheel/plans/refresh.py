@@ -1,9 +1,11 @@
 """Batch refresh: lake rows -> clean items -> marts -> published snapshot.
 
 Mirrors the reference's order job (scan, clean, three summaries, load)
-with two changes: the items table is written once and the marts are derived
-from that written table (one scan of the lake instead of four), and the load
-is a staged snapshot swap instead of truncate-then-insert.
+with two changes: the clean items are staged once, and both the items table and
+all three marts come from one scan each of what was staged (the reference scans
+the lake four times); and the load is a staged snapshot swap instead of
+truncate-then-insert.  The items table is laid out in ranges of its sort key;
+the exchange samples the staged files and nothing upstream.
 """
 
 from __future__ import annotations
@@ -13,8 +15,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..schemas import (DEPARTMENT_TABLE, HOURLY_TABLE, ITEMS_TABLE, LAKE_ITEMS,
-                       PRODUCT_TABLE, SORT_KEYS, TRENDING_TABLE)
+from ..schemas import (DEPARTMENT_TABLE, HOURLY_TABLE, ITEMS_TABLE, PRODUCT_TABLE, SORT_KEYS,
+                       TRENDING_TABLE)
+from ..session import stage
 from . import marts, store
 from .clean import clean_items
 
@@ -33,10 +36,12 @@ class OrderSnapshot:
 
 def derive(items: DataFrame, product_limit: int = marts.DEFAULT_PRODUCT_LIMIT) -> OrderSnapshot:
     """Lazy snapshot: marts as plans over ``items`` (already cleaned)."""
-    return OrderSnapshot(items=items,
-                         product=marts.product_summary(items, product_limit),
-                         department=marts.department_summary(items),
-                         hourly=marts.hourly_summary(items))
+    return from_groups(items, marts.summaries(items), product_limit)
+
+
+def from_groups(items: DataFrame, groups: DataFrame, product_limit: int) -> OrderSnapshot:
+    return OrderSnapshot(items=items, product=marts.product_mart(groups, product_limit),
+                         department=marts.department_mart(groups), hourly=marts.hourly_mart(groups))
 
 
 def refresh_orders(spark: SparkSession, lake: DataFrame, root: str,
@@ -55,16 +60,19 @@ def refresh_orders(spark: SparkSession, lake: DataFrame, root: str,
     if done:
         return done
     version = version or store.new_version()
-    items_path = store.table_path(root, ITEMS_TABLE, version)
-    store.write_sorted(clean_items(lake), items_path, SORT_KEYS[ITEMS_TABLE])
-    snap = derive(spark.read.schema(LAKE_ITEMS).parquet(items_path), product_limit)
-    # The three marts are independent jobs over the written items; running
-    # them concurrently keeps the executors busy (each ends in a few tasks).
-    marts_to_write = [(snap.frames()[t], store.table_path(root, t, version), SORT_KEYS[t])
-                      for t in (PRODUCT_TABLE, DEPARTMENT_TABLE, HOURLY_TABLE)]
-    with ThreadPoolExecutor(max_workers=len(marts_to_write)) as pool:
-        for f in [pool.submit(store.write_sorted, *args) for args in marts_to_write]:
-            f.result()
+    items = stage(clean_items(lake), "clean-items")
+
+    def write(table: str, df: DataFrame, ranges: bool = False) -> None:
+        store.write_sorted(df, store.table_path(root, table, version), SORT_KEYS[table], ranges)
+
+    # Two independent jobs over the staged items, then one small job a mart.
+    with ThreadPoolExecutor(max_workers=3) as pool:
+        laid_out = pool.submit(write, ITEMS_TABLE, items, True)
+        groups = pool.submit(stage, marts.summaries(items), "summaries").result()
+        snap = from_groups(items, groups, product_limit)
+        small = [pool.submit(write, t, snap.frames()[t]) for t in (PRODUCT_TABLE, DEPARTMENT_TABLE, HOURLY_TABLE)]
+        for job in [laid_out, *small]:
+            job.result()
     _publish(spark, root, version, "orders", register_catalog, batch, consumed)
     return version
 

@@ -58,7 +58,7 @@ def order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def orders_left_join_lines(orders: DataFrame, lines: DataFrame, order_key: str,
-                           line_key: str) -> DataFrame:
+                           line_key: str, line_keys: DataFrame | None = None) -> DataFrame:
     """``orders LEFT JOIN lines`` as two skew-friendly joins.
 
     AQE splits skewed partitions only on the side whose rows may be
@@ -66,10 +66,11 @@ def orders_left_join_lines(orders: DataFrame, lines: DataFrame, order_key: str,
     skews the lines side.  Lines with their order form an inner join (either
     side can be split); orders without lines come from an anti join against
     the distinct line keys (partially aggregated, so a hot key collapses
-    before the shuffle).
+    before the shuffle).  ``line_keys`` are the lines' keys where a narrower
+    frame has them.
     """
     with_lines = lines.join(orders, lines[line_key] == orders[order_key], "inner")
-    line_keys = lines.select(line_key).distinct()
+    line_keys = (lines if line_keys is None else line_keys).select(line_key).distinct()
     without_lines = (orders.join(line_keys, orders[order_key] == line_keys[line_key], "left_anti")
                            .select(*orders.columns,
                                    *[F.lit(None).cast(f.dataType).alias(f.name)
@@ -86,8 +87,10 @@ def lake_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey", "l_linenumber"])
     parts = read_table(spark, sf_dir, "part", ["p_partkey", "p_name", "p_brand", "p_type"])
 
-    joined = (orders_left_join_lines(orders, lines, "order_id", "l_orderkey")
-              .join(parts, F.col("l_partkey") == F.col("p_partkey"), "left"))
+    # Lines get their part before orders without lines join them: those have no
+    # part key, and would meet in one partition of this join.
+    named = lines.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
+    joined = orders_left_join_lines(orders, named, "order_id", "l_orderkey", lines)
     gap = (F.col("l_partkey") % DEPARTMENT_GAP_EVERY) == 0
     base = joined.select(
         "order_id", "user_id", "order_number", "order_dow", "order_hour_of_day",

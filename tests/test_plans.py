@@ -100,3 +100,53 @@ def test_item_rows_read_staged_tables_only(spark):
     plan = lake_items(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
     assert "Window" not in plan
     assert "lineitem.parquet" not in plan and "orders.parquet" not in plan
+
+
+def test_marts_scan_the_items_once(spark):
+    from cartwheel.plans.marts import summaries
+    from cartwheel.registry import order_snapshot
+    plan = _plan(summaries(order_snapshot(spark, SF_SMALL).items)).split("== Initial Plan ==")[0]
+    assert plan.count("FileScan parquet") == 1 and plan.count("Expand") == 1 and "Join" not in plan
+
+
+def test_sample_reads_the_leading_column_first(spark):
+    from cartwheel.plans import questions
+    from cartwheel.registry import order_snapshot
+    items = order_snapshot(spark, SF_SMALL).items
+    narrow = _plan(items.select("order_id").orderBy("order_id").limit(20))
+    assert "ReadSchema: struct<order_id:bigint>" in narrow
+    plan = _plan(questions.v_sample(items))
+    assert "LessThanOrEqual(order_id," in plan and "TakeOrderedAndProject" in plan
+
+
+def test_a_filter_on_the_sort_key_meets_few_files(spark, monkeypatch):
+    """Files of the items table cover consecutive ranges of the sort key."""
+    from pyspark.sql import functions as F
+
+    from cartwheel.plans import refresh, store
+    from cartwheel.registry import order_snapshot
+    from cartwheel.session import scratch_path
+    rows = order_snapshot(spark, SF_SMALL).items
+    monkeypatch.setattr(store, "partitions_for", lambda df: 8)
+    root = scratch_path(spark, "ranges")
+    refresh.refresh_orders(spark, rows, root, register_catalog=False)
+    items = refresh.load_orders(spark, root).items
+    files = [tuple(r) for r in items.groupBy(F.input_file_name().alias("file"))
+             .agg(F.min("order_id").alias("a"), F.max("order_id").alias("b")).select("a", "b").collect()]
+    assert len(files) == 8
+    some = rows.select("order_id").distinct().limit(50).collect()
+    meets = [sum(a <= r.order_id <= b for a, b in files) for r in some]
+    assert max(meets) <= 2 and sum(meets) <= 60
+
+
+def test_one_order_of_a_third_of_the_rows_is_several_files(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from cartwheel.plans import store
+    from cartwheel.session import scratch_path
+    monkeypatch.setattr(store, "partitions_for", lambda df: 9)
+    df = spark.range(9000).select(F.when(F.col("id") % 3 == 0, 77).otherwise(F.col("id")).alias("order_id"))
+    path = scratch_path(spark, "hot")
+    store.write_sorted(df, path, ["order_id"], ranges=True)
+    hot = spark.read.parquet(path).where("order_id = 77").groupBy(F.input_file_name()).count().collect()
+    assert len(hot) >= 3 and max(r["count"] for r in hot) < 1500

@@ -195,23 +195,48 @@ def test_nan_in_double_columns_becomes_null(spark):
     assert got == {1: None, 2: 3.0}
 
 
-def test_opt_in_approximate_distinct_counts(spark):
-    from cartwheel.functions.metrics import APPROX_CONF
+def test_approximate_distinct_counts_are_a_query_argument(spark):
     from cartwheel.registry import order_snapshot
     from conftest import SF_SMALL
     items = order_snapshot(spark, SF_SMALL).items
     exact = q.q01_kpi_summary(items).first()
-    spark.conf.set(APPROX_CONF, "true")
-    try:
-        plan_df = q.q01_kpi_summary(items)
-        approx = plan_df.first()
-        assert "approx_count_distinct" in plan_df._jdf.queryExecution().optimizedPlan().toString()
-    finally:
-        spark.conf.unset(APPROX_CONF)
+    plan_df = q.q01_kpi_summary(items, rsd=0.01)
+    approx = plan_df.first()
+    assert "approx_count_distinct" in plan_df._jdf.queryExecution().optimizedPlan().toString()
     assert abs(approx.total_orders - exact.total_orders) <= 0.05 * exact.total_orders
     assert approx.total_order_lines == exact.total_order_lines
 
 
+def test_only_the_empty_department_is_unknown(spark, items_df):
+    items = items_df([{"order_id": i, "product_id": 1, "department": d} for i, d in enumerate(["", "\n", " ", "a"])])
+    assert sorted(r.department for r in marts.department_summary(items).collect()) == ["\n", " ", "a", "unknown"]
+
+
+def test_marts_equal_separate_aggregations(spark, items_df):
+    """Grouping sets against one plain aggregation a mart, with null keys and ids."""
+    import random
+    rng = random.Random(5)
+    some = lambda *xs: rng.choice(xs)
+    items = items_df([{"order_id": some(None, *range(40)), "user_id": some(None, 1, 2, 3), "order_dow": some(None, 0, 1),
+                       "order_hour_of_day": some(0, 5), "product_id": some(None, 1, 2, 3), "product_name": some("", "a"),
+                       "department_id": some(None, 0, 4), "department": some("", "d"), "reordered": some(None, 0, 1),
+                       "add_to_cart_order": some(None, 1, 2)} for _ in range(400)])
+    lines = items.filter("product_id IS NOT NULL")
+    want = {
+        "product": lines.groupBy(*marts.PRODUCT_KEYS).agg(
+            F.count("*"), F.count_distinct("order_id"), F.sum(F.coalesce("reordered", F.lit(0))),
+            F.avg(F.coalesce("reordered", F.lit(0))), F.avg("add_to_cart_order")),
+        "department": lines.groupBy(F.coalesce("department_id", F.lit(0)), F.when(F.col("department") == "", "unknown").otherwise(F.col("department"))).agg(
+            F.count("*"), F.count_distinct("order_id"), F.count_distinct("product_id"), F.sum(F.coalesce("reordered", F.lit(0))),
+            F.avg(F.coalesce("reordered", F.lit(0)))),
+        "hour": items.groupBy("order_dow", "order_hour_of_day").agg(
+            F.count_distinct("order_id"), F.count("*"), F.count_distinct("user_id"), F.try_divide(F.count("*"), F.count_distinct("order_id"))),
+    }
+    got = {"product": marts.product_summary(items, None), "department": marts.department_summary(items), "hour": marts.hourly_summary(items)}
+    for name in want:
+        assert sorted(map(repr, map(tuple, got[name].collect()))) == sorted(map(repr, map(tuple, want[name].collect()))), name
+
+
 def test_day_hour_pivot_has_every_hour(spark, items_df):
     items = items_df([{"order_id": 1, "user_id": 1, "order_dow": 2, "order_hour_of_day": 5,
                        "product_id": 3}])
