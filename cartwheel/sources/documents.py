@@ -15,6 +15,9 @@ truthiness (T9):
   * a non-empty object or string -> iterates to no row;
   * a non-zero number or true -> the reference raises; here a reject row.
 
+Of a repeated key the last value counts, whatever the session's setting was, and
+the bare NaN that some JSON writers emit is a null.
+
 Edit documents: ``query.recentchanges`` must exist (else a document error);
 ``is_bot`` is key presence (T10); missing or null sizes count as 0 (T11).
 """
@@ -62,6 +65,19 @@ def _scalar_kind(v: Column) -> Column:
     return F.regexp_extract(F.schema_of_variant(v), r"^([A-Z]+)", 1)
 
 
+def _parsed(docs: DataFrame) -> DataFrame:
+    """``(value, v)``: the documents and their VARIANT, null where it is no JSON.  A
+    document that fails is tried once more with the numbers that JSON lacks
+    rewritten: NaN as null, infinities as text, which casts to them.
+
+    Sets the session to take repeated keys.  The parser notes that setting whenever
+    a plan is made or copied, so it has to stay."""
+    docs.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    number = r":\s*%s\s*(?=[,}\]])"
+    spelled = F.regexp_replace(F.regexp_replace("value", number % "NaN", ":null"), number % "(-?Infinity)", ':"$1"')
+    return docs.select("value", F.coalesce(F.try_parse_json("value"), F.try_parse_json(spelled)).alias("v"))
+
+
 def load_stamp() -> Column:
     """One load time per query, naive UTC whatever the session time zone,
     floored to milliseconds."""
@@ -139,8 +155,7 @@ def ingest_order_documents(docs: DataFrame, ingested_at: Column | None = None,
     reference.
     """
     stamp = ingested_at if ingested_at is not None else load_stamp()
-    parsed = docs.select(F.col("value"), F.try_parse_json("value").alias("v"))
-    shaped = parsed.select(
+    shaped = _parsed(docs).select(
         "value", F.col("v"),
         _members(F.col("v"), ["orders"]).alias("_top"),
         _as_array(F.col("v")).alias("_bare"))
@@ -225,8 +240,7 @@ def ingest_edit_documents(docs: DataFrame, on_error: str = "raise") -> tuple[Dat
         err = F.when(err.isNotNull(), F.raise_error(F.concat(F.lit("bad edit document: "), err)))
     # Each change as a key -> value map (objects only); key presence gives is_bot.
     maps = F.filter(F.transform(changes, _as_map), lambda m: m.isNotNull())
-    checked = (docs.select(F.col("value"), F.try_parse_json("value").alias("v"))
-                   .select("value", err.alias("_err"), maps.alias("_changes")))
+    checked = _parsed(docs).select("value", err.alias("_err"), maps.alias("_changes"))
     rejects = checked.filter(F.col("_err").isNotNull()).select(
         F.col("value").alias("document"), F.col("_err").alias("reason"))
     rc = (checked.select(*_explode_each(F.when(F.col("_err").isNull(), F.col("_changes")), "m"))
@@ -291,8 +305,39 @@ def land_edit_documents(spark: SparkSession, docs_path: str, lake_dir: str,
 
 
 # ------------------------------------------------- registered round trips
+def _replaced(docs: DataFrame, *pairs: tuple[str, str]) -> DataFrame:
+    value = F.col("value")
+    for old, new in pairs:
+        value = F.replace(value, F.lit(old), F.lit(new))
+    return docs.select(value.alias("value"))
+
+
+def untidy_orders(docs: DataFrame) -> DataFrame:
+    """Order documents with what ingest has to take: elements that are no objects
+    among orders and products, repeated keys, and NaN for numbers that are missing."""
+    return _replaced(docs,
+                     ('{"order_id":', '{"order_id":-1,"eval_set":[],"order_id":'),
+                     ('[{"order_id":', '[null,"x",7,[],{"order_id":'),
+                     ('"products":[{', '"products":[0,null,"y",{'),
+                     ('"days_since_prior_order":null', '"days_since_prior_order": NaN'))
+
+
+def untidy_edits(docs: DataFrame) -> DataFrame:
+    """Edit documents with elements that are no objects and repeated keys."""
+    return _replaced(docs, ('{"rcid":', '{"title":0,"rcid":'), ('"recentchanges":[', '"recentchanges":[null,"x",[],'))
+
+
+def _through_files(docs: DataFrame, name: str) -> DataFrame:
+    """Documents landed as text, one a line, and read back."""
+    from ..session import scratch_path
+    path = scratch_path(docs.sparkSession, name)
+    docs.write.text(path)
+    return read_documents(docs.sparkSession, path)
+
+
 def ingest_orders_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Warehouse items -> documents -> ingest -> clean: equals ``order_items``."""
+    """Warehouse items -> untidy documents in files -> ingest -> clean: equals
+    ``order_items``."""
     from ..plans.clean import clean_items
     from ..registry import materialized, order_snapshot
     from ..session import scratch_path
@@ -304,13 +349,15 @@ def ingest_orders_json(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = scratch_path(spark, "items")
         items.write.parquet(path)
         items = spark.read.schema(items.schema).parquet(path)
-    docs = build_order_documents(items)
+    docs = _through_files(untidy_orders(build_order_documents(items)), "order-documents")
     items, _ = ingest_order_documents(docs, ingested_at=fixture_ingested_at())
     return clean_items(items)
 
 
 def ingest_edits_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` -> edit documents -> ingest -> trending: equals ``edits_trending``."""
+    """``events`` -> untidy edit documents in files -> ingest -> trending: equals
+    ``edits_trending``."""
     from ..plans.marts import edits_trending
-    edits, _ = ingest_edit_documents(build_edit_documents(spark, sf_dir))
+    docs = _through_files(untidy_edits(build_edit_documents(spark, sf_dir)), "edit-documents")
+    edits, _ = ingest_edit_documents(docs)
     return edits_trending(edits)
