@@ -29,9 +29,11 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,7 +42,7 @@ from . import arrays, perfect_hash
 from .bpe import byte_alphabet
 from .token_counts import text_groups
 
-BLOCK = 4 << 20
+BLOCK = 2 << 20
 SHARDS = 256
 FAN = 4
 FOLD = 4
@@ -48,12 +50,38 @@ FOLD = 4
 BITS = 15
 #: Links of a group beyond which its repeated ids are counted, not listed.
 _MANY = 4096
+#: Bytes (about) of chunks whose ids a worker keeps; it starts anew beyond.
+KEPT = 80 << 20
+#: Chunks that are encoded together.
+_TOGETHER = 5000
+#: Stands for chunks that are empty or have white space at an edge.
+_APART = -2
 #: White space in a row from which the slower library takes a text: the faster one's
 #: pattern matcher runs out of its stack.
 _ENDLESS = 100_000
 _WHITE = re.compile(r"\s{%d}" % _ENDLESS)
 
 
+_NONE = np.zeros(0, np.int32)
+
+
+class _Lists:
+    """Lists of ids, one after another."""
+
+    def __init__(self, ids: np.ndarray, counts: np.ndarray):
+        self.ids, self.counts = ids, counts
+
+    def more(self, ids: np.ndarray, counts: np.ndarray) -> _Lists:
+        return _Lists(np.concatenate([self.ids, ids]), np.concatenate([self.counts, counts]))
+
+    def taken(self, at: np.ndarray) -> np.ndarray:
+        """The ids of the lists numbered ``at``, in that order."""
+        counts = self.counts[at]
+        ends = np.cumsum(counts)
+        first = (np.cumsum(self.counts) - self.counts)[at]
+        return self.ids[np.repeat(first - (ends - counts), counts) + np.arange(int(ends[-1]) if len(ends) else 0)]
+
+
 class Tokenizers:
     """Ids and the bytes they stand for under both tokenizers."""
 
@@ -75,24 +103,87 @@ class Tokenizers:
             raise ValueError("a pair of ids does not fit 31 bits")
         self.a_size = np.array([len(t) for t in self.a_bytes], np.int64)
         self.b_size = np.array([len(t) for t in self.b_bytes], np.int64)
+        self.splits = not any("▁" in p.lstrip("▁") for p in map(self.b.id_to_piece, range(self.b.get_piece_size())))
+        self.chunks: dict[str, int] = {}
+        self.kept_a = self.kept_b = _Lists(_NONE, np.zeros(0, np.int64))
+        self.held = 0
         # each id followed by what separates it from the next: same side, other side or group
         self.a_text = np.array([[f"{i}{s}" for i in range(len(self.a_bytes))] for s in ",|"], object)
         self.b_text = np.array([[f"{i}{s}" for i in range(len(self.b_bytes))] for s in ",;"], object)
 
-    def encode(self, text: str) -> tuple[list[int], list[int]]:
+    def encode(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Ids of a non-null text under A (of a space and the text) and B; none where
         the bytes differ."""
         if not text:
-            return [], []
+            return _NONE, _NONE
         whole = " " + text
         if len(text) >= _ENDLESS and _WHITE.search(text):
             a = _library(self.path).encode(whole, add_special_tokens=False).ids
         else:
             a = self.a.encode_ordinary(whole)
         b = self.b.encode(text)
-        data = whole.encode()
-        same = b"".join(map(self.a_bytes.__getitem__, a)) == data and b"".join(map(self.b_bytes.__getitem__, b)) == data
-        return (a, b) if same else ([], [])
+        a, data = np.array(a, np.int32), whole.encode()
+        # A's tokens are bytes of the text by construction: their sum tells if one is missing
+        if self.a_size[a].sum() != len(data) or b"".join(map(self.b_bytes.__getitem__, b)) != data:
+            return _NONE, _NONE
+        return a, np.array(b, np.int32)
+
+    def _keep(self, chunks: list[str]) -> None:
+        """Encode chunks as one text and cut its ids where they end."""
+        a, b = self.encode(" ".join(chunks))
+        if len(a):
+            ends = np.cumsum(np.fromiter(map(len, map(str.encode, chunks)), np.int64, len(chunks)) + 1)
+            count_a, count_b = (np.diff(np.searchsorted(np.cumsum(size[ids]), ends, "right"), prepend=0)
+                                for size, ids in ((self.a_size, a), (self.b_size, b)))
+        else:  # one of them is not given back
+            parts = [self.encode(c) for c in chunks]
+            a, b = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
+            count_a, count_b = (np.array([len(p[i]) for p in parts], np.int64) for i in (0, 1))
+        self.chunks.update(zip(chunks, range(len(self.kept_a.counts), len(self.kept_a.counts) + len(chunks)), strict=True))
+        self.kept_a, self.kept_b = self.kept_a.more(a, count_a), self.kept_b.more(b, count_b)
+        self.held += 200 * len(chunks) + 4 * sum(map(len, chunks))
+
+    def _known(self, chunks: list[str]) -> np.ndarray:
+        """The number of each chunk's lists; ``_APART`` where it may not be encoded apart."""
+        if self.held > KEPT:
+            self.chunks, self.held = {}, 0
+            self.kept_a = self.kept_b = _Lists(_NONE, np.zeros(0, np.int64))
+        at = np.fromiter(map(self.chunks.get, chunks, repeat(-1)), np.int64, len(chunks))
+        new = np.flatnonzero(at == -1)
+        fresh = [chunks[i] for i in new.tolist()]
+        plain = [c for c in fresh if c and not c[0].isspace() and not c[-1].isspace()]
+        for lo in range(0, len(plain), _TOGETHER):
+            self._keep(plain[lo:lo + _TOGETHER])
+        at[new] = np.fromiter(map(self.chunks.get, fresh, repeat(_APART)), np.int64, len(fresh))
+        return at
+
+    def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """``encode`` of all texts: ids of A and their number in each text, and of B.
+        Neither tokenizer has a token across a single space between two characters
+        that are no white space, so texts with no other spaces are put together from
+        their chunks, which are kept between calls."""
+        chunks = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        doc = np.repeat(np.arange(len(texts)), chunks.value_lengths().to_numpy())
+        numbered = chunks.flatten().dictionary_encode()
+        at = self._known(numbered.dictionary.to_pylist())[numbered.indices.to_numpy()]
+        apart = np.zeros(len(texts), bool) if self.splits else np.ones(len(texts), bool)
+        apart[doc[at == _APART]] = True
+        whole = [self.encode(texts[i]) for i in np.flatnonzero(apart).tolist()]
+        a, b = self.kept_a, self.kept_b
+        if whole:  # a text encoded whole is one list, after the kept ones
+            rest = ~apart[doc]
+            at = np.r_[at[rest], len(a.counts) + np.arange(len(whole))]
+            doc = np.r_[doc[rest], np.flatnonzero(apart)]
+            order = np.argsort(doc, kind="stable")
+            at, doc = at[order], doc[order]
+            a, b = (x.more(np.concatenate([w[i] for w in whole]), np.array([len(w[i]) for w in whole], np.int64)) for i, x in enumerate((a, b)))
+        # a text with a chunk that is not given back has no tokens
+        lost = np.zeros(len(texts), bool)
+        lost[doc[a.counts[at] == 0]] = True
+        if lost.any():
+            at, doc = at[~lost[doc]], doc[~lost[doc]]
+        counts = [np.bincount(doc, x.counts[at], len(texts)).astype(np.int64) for x in (a, b)]
+        return a.taken(at), counts[0], b.taken(at), counts[1]
 
 
 @lru_cache
@@ -114,12 +205,8 @@ class Aligned:
 
     def __init__(self, made: Tokenizers, texts: list[str]):
         self.made = made
-        encoded = [made.encode(t) for t in texts]
-        self.n_a = np.array([len(a) for a, _ in encoded], np.int64)
-        self.n_b = np.array([len(b) for _, b in encoded], np.int64)
-        self.a = np.fromiter((i for a, _ in encoded for i in a), np.int64, self.n_a.sum())
-        self.b = np.fromiter((i for _, b in encoded for i in b), np.int64, self.n_b.sum())
-        del encoded
+        self.a, self.n_a, self.b, self.n_b = made.encode_all(texts)
+        self.a, self.b = self.a.astype(np.int64), self.b.astype(np.int64)
         ends_a, ends_b = np.cumsum(made.a_size[self.a]), np.cumsum(made.b_size[self.b])
         cut = np.zeros(int(ends_a[-1]) + 1 if len(ends_a) else 1, bool)
         cut[ends_a] = True

@@ -153,7 +153,22 @@ def test_endless_white_space_goes_to_the_library():
     made = alignment.Tokenizers(A_PATH, B_PATH, P.PATTERN)
     library = Tokenizer.from_file(A_PATH)
     for text in ("x" + " " * 1_500_000 + "y", "\n" * 120_000):
-        assert made.encode(text)[0] == library.encode(" " + text, add_special_tokens=False).ids
+        assert made.encode(text)[0].tolist() == library.encode(" " + text, add_special_tokens=False).ids
+
+
+def test_texts_put_together_from_chunks_equal_whole_ones(monkeypatch, spark):
+    made = alignment.Tokenizers(A_PATH, B_PATH, P.PATTERN)
+    assert made.splits
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").limit(200).collect()
+    texts = [r.text for r in table] + HARD + ["a\nb c", "a \nb", "a\n b", "x\xa0y z", "\x1c a", "a b\n", "\na b", "it 's 'tis", "1 2 ½ ٣", "ok a▁b ok"]
+
+    def lists(a, n_a, b, n_b):
+        return [(x.tolist(), y.tolist()) for x, y in zip(np.split(a, np.cumsum(n_a)[:-1]), np.split(b, np.cumsum(n_b)[:-1]))]
+    whole = [tuple(x.tolist() for x in made.encode(t)) for t in texts]
+    assert lists(*made.encode_all(texts)) == whole and lists(*made.encode_all(texts)) == whole
+    monkeypatch.setattr(alignment, "KEPT", 0)
+    assert [x for t in texts for x in lists(*made.encode_all([t]))] == whole
+    assert lists(*made.encode_all([""])) == [([], [])]
 
 
 @pytest.mark.parametrize("n", [0, 1, 2, 9, 1000, 50_000])
