@@ -24,7 +24,6 @@ corpus.
 from __future__ import annotations
 
 import bisect
-import gc
 import zlib
 from collections.abc import Iterator
 
@@ -35,7 +34,7 @@ from pyspark.sql import functions as F
 
 from ..session import stage
 from .bpe import word_tokens
-from .token_counts import text_groups
+from .token_counts import text_groups, uncollected
 
 CAPACITY = 2048
 END_ID = 0  # stands after every document
@@ -49,28 +48,27 @@ def tokenized_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, keep_
     where there are more.  With ``keep_ids``, a column ``ids`` has them
     (little-endian uint32)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gc.disable()
-        tokens = word_tokens(path)
-        end, width = END_ID.to_bytes(4, "little"), 4 * capacity
-        for batch in batches:
-            for lo, hi, texts in text_groups(batch.column(1)):
-                rows, piece, lengths, crcs, kept = [], [], [], [], []
-                for i, ids in enumerate(tokens(texts), lo):
-                    ids += end
-                    for k, at in enumerate(range(0, len(ids), width)):
-                        part = ids[at:at + width]
-                        rows.append(i), piece.append(k), lengths.append(len(part) // 4), crcs.append(zlib.crc32(part))
-                        if keep_ids:
-                            kept.append(part)
-                piece = np.array(piece, np.int32)
-                columns = [batch.column(0).take(pa.array(rows, pa.int64())), pa.array(piece), pa.array(piece.astype(np.int64) * capacity),
-                           pa.array(lengths, pa.int64()), pa.array(crcs, pa.int64())]
-                names = ["doc_id", "piece", "start", "length", "ids_crc32"]
-                if keep_ids:
-                    columns.append(pa.array(kept, pa.binary()))
-                    names.append("ids")
-                yield pa.RecordBatch.from_arrays(columns, names=names)
-        gc.enable()
+        with uncollected():
+            tokens = word_tokens(path)
+            end, width = END_ID.to_bytes(4, "little"), 4 * capacity
+            for batch in batches:
+                for lo, hi, texts in text_groups(batch.column(1)):
+                    rows, piece, lengths, crcs, kept = [], [], [], [], []
+                    for i, ids in enumerate(tokens(texts), lo):
+                        ids += end
+                        for k, at in enumerate(range(0, len(ids), width)):
+                            part = ids[at:at + width]
+                            rows.append(i), piece.append(k), lengths.append(len(part) // 4), crcs.append(zlib.crc32(part))
+                            if keep_ids:
+                                kept.append(part)
+                    piece = np.array(piece, np.int32)
+                    columns = [batch.column(0).take(pa.array(rows, pa.int64())), pa.array(piece), pa.array(piece.astype(np.int64) * capacity),
+                               pa.array(lengths, pa.int64()), pa.array(crcs, pa.int64())]
+                    names = ["doc_id", "piece", "start", "length", "ids_crc32"]
+                    if keep_ids:
+                        columns.append(pa.array(kept, pa.binary()))
+                        names.append("ids")
+                    yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
             .mapInArrow(run, PIECES + (", ids binary" if keep_ids else "")))

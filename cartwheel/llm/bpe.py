@@ -23,7 +23,7 @@ from functools import lru_cache
 import numpy as np
 
 NONE = np.int32(2**31 - 1)
-CACHE = 300_000  # entries of each dictionary; it starts anew when full
+KEPT = 48 << 20  # bytes, about, of each dictionary; it starts anew when full
 
 
 def _classes(major: str, stop: int) -> str:
@@ -163,20 +163,19 @@ class Merger:
 
 
 class _Kept(dict):
-    """A dictionary in two generations: when full, it becomes the old one, and
-    what is wanted again comes back from there."""
+    """Values of chunks, at most about ``KEPT`` bytes: an entry takes some 150
+    besides its characters and its value.  When full it starts anew, so that a
+    worker gives its memory back to the next task of any kind."""
 
-    old: dict = {}
+    held = 0
 
     def missing(self, wanted: set) -> set:
-        if len(self) > CACHE:
-            self.old = dict(self)
+        """Those of ``wanted`` that are still to be added."""
+        if self.held > KEPT:
             self.clear()
+            self.held = 0
         fresh = wanted - self.keys()
-        if self.old:
-            again = fresh & self.old.keys()
-            self.update(zip(again, map(self.old.__getitem__, again), strict=True))
-            fresh -= again
+        self.held += 150 * len(fresh) + 3 * sum(map(len, fresh))
         return fresh
 
 

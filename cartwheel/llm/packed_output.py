@@ -14,7 +14,6 @@ positions start again at 0) and, for each segment, its document, piece and start
 
 from __future__ import annotations
 
-import gc
 import zlib
 from collections.abc import Iterator
 
@@ -25,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import byte_tokens
-from .token_counts import text_groups
+from .token_counts import text_groups, uncollected
 
 CAPACITY = 2048
 SHARD_TOKENS = 1 << 22
@@ -89,47 +88,46 @@ def packed_rows(docs: DataFrame, path: str, end_id: int, pad_id: int, vocabulary
     kind = "<u2" if vocabulary <= 1 << 16 else "<u4"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gc.disable()
-        tokens = byte_tokens(path, True)
-        end = np.array([end_id], "<u4").tobytes()
-        number = TaskContext.get().partitionId() << 32
-        held, size = [], 0  # (doc_id, piece, start, ids)
-
-        def shard() -> pa.RecordBatch:
-            nonlocal number
-            rows = best_fit_decreasing(np.array([len(p[3]) for p in held], np.int64), capacity)
-            matrix = np.full((len(rows), capacity), pad_id, kind)
-            out = [[] for _ in range(6)]
-            for r, members in enumerate(rows):
-                at, ends = 0, [0]
-                for i in members:
-                    ids = held[i][3]
-                    matrix[r, at:at + len(ids)] = ids
-                    at += len(ids)
-                    ends.append(at)
-                for column, value in zip(out, (number, ends, ends[:-1], *([held[i][k] for i in members] for k in range(3))), strict=True):
-                    column.append(value)
-                number += 1
-            kinds = [pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int64())]
-            columns = [pa.array(c, k) for c, k in zip(out, kinds, strict=True)]
-            return pa.RecordBatch.from_arrays(
-                [columns[0], pa.array([row.tobytes() for row in matrix], pa.binary()), *columns[1:]],
-                names=["sequence_id", "ids", "cu_seqlens", "position_resets", "doc_ids", "pieces", "starts"])
-
-        for batch in batches:
-            ids_of = batch.column(0).to_pylist()
-            for lo, _, texts in text_groups(batch.column(1)):
-                for i, raw in enumerate(tokens(texts), lo):
-                    ids = np.frombuffer(raw + end, "<u4").astype(kind)
-                    for k, at in enumerate(range(0, len(ids), capacity)):
-                        held.append((ids_of[i], k, at, ids[at:at + capacity]))
-                    size += len(ids)
-                    if size >= SHARD_TOKENS:
-                        yield shard()
-                        held, size = [], 0
-        if held:
-            yield shard()
-        gc.enable()
+        with uncollected():
+            tokens = byte_tokens(path, True)
+            end = np.array([end_id], "<u4").tobytes()
+            number = TaskContext.get().partitionId() << 32
+            held, size = [], 0  # (doc_id, piece, start, ids)
+
+            def shard() -> pa.RecordBatch:
+                nonlocal number
+                rows = best_fit_decreasing(np.array([len(p[3]) for p in held], np.int64), capacity)
+                matrix = np.full((len(rows), capacity), pad_id, kind)
+                out = [[] for _ in range(6)]
+                for r, members in enumerate(rows):
+                    at, ends = 0, [0]
+                    for i in members:
+                        ids = held[i][3]
+                        matrix[r, at:at + len(ids)] = ids
+                        at += len(ids)
+                        ends.append(at)
+                    for column, value in zip(out, (number, ends, ends[:-1], *([held[i][k] for i in members] for k in range(3))), strict=True):
+                        column.append(value)
+                    number += 1
+                kinds = [pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int64())]
+                columns = [pa.array(c, k) for c, k in zip(out, kinds, strict=True)]
+                return pa.RecordBatch.from_arrays(
+                    [columns[0], pa.array([row.tobytes() for row in matrix], pa.binary()), *columns[1:]],
+                    names=["sequence_id", "ids", "cu_seqlens", "position_resets", "doc_ids", "pieces", "starts"])
+
+            for batch in batches:
+                ids_of = batch.column(0).to_pylist()
+                for lo, _, texts in text_groups(batch.column(1)):
+                    for i, raw in enumerate(tokens(texts), lo):
+                        ids = np.frombuffer(raw + end, "<u4").astype(kind)
+                        for k, at in enumerate(range(0, len(ids), capacity)):
+                            held.append((ids_of[i], k, at, ids[at:at + capacity]))
+                        size += len(ids)
+                        if size >= SHARD_TOKENS:
+                            yield shard()
+                            held, size = [], 0
+            if held:
+                yield shard()
 
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
             .mapInArrow(run, SCHEMA))

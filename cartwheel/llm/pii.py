@@ -12,7 +12,6 @@ its length.  Spans are in code points, end exclusive.
 
 from __future__ import annotations
 
-import gc
 import hashlib
 import re
 from collections.abc import Iterator
@@ -22,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .token_counts import text_groups
+from .token_counts import text_groups, uncollected
 
 #: The kinds in the order of results; the first four are the base.
 KINDS = ("email", "ip", "card", "phone", "url", "account", "secret")
@@ -167,20 +166,19 @@ def personal_data(docs: DataFrame) -> DataFrame:
     row of ``docs``.  Null texts are empty; ids may be null or repeat; other
     columns are ignored.  Needs no shuffle."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gc.disable()
-        for batch in batches:
-            counts, digests, spans = [[] for _ in BASE], [], []
-            for _, _, texts in text_groups(batch.column(1)):
-                for text in texts:
-                    found = find(text)
-                    for column, k in zip(counts, BASE, strict=True):
-                        column.append(len(found[k]))
-                    digests.append(hashlib.sha256(described(found, BASE).encode()).hexdigest())
-                    spans.append(described(found))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(c, pa.int64()) for c in counts), pa.array(digests, pa.string()), pa.array(spans, pa.string())],
-                names=["doc_id", *(f"n_{k}" for k in BASE), "base_sha256", "spans"])
-        gc.enable()
+        with uncollected():
+            for batch in batches:
+                counts, digests, spans = [[] for _ in BASE], [], []
+                for _, _, texts in text_groups(batch.column(1)):
+                    for text in texts:
+                        found = find(text)
+                        for column, k in zip(counts, BASE, strict=True):
+                            column.append(len(found[k]))
+                        digests.append(hashlib.sha256(described(found, BASE).encode()).hexdigest())
+                        spans.append(described(found))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), *(pa.array(c, pa.int64()) for c in counts), pa.array(digests, pa.string()), pa.array(spans, pa.string())],
+                    names=["doc_id", *(f"n_{k}" for k in BASE), "base_sha256", "spans"])
 
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
             .mapInArrow(run, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"))
@@ -192,12 +190,11 @@ def redacted(docs: DataFrame) -> DataFrame:
     names, at = docs.columns, docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gc.disable()
-        for batch in batches:
-            texts = batch.column(at)
-            new = [redact(t, find(t)) for _, _, group in text_groups(texts) for t in group]
-            column = pa.array(new, pa.string(), mask=texts.is_null().to_numpy(zero_copy_only=False))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:at], column, *batch.columns[at + 1:]], names=names)
-        gc.enable()
+        with uncollected():
+            for batch in batches:
+                texts = batch.column(at)
+                new = [redact(t, find(t)) for _, _, group in text_groups(texts) for t in group]
+                column = pa.array(new, pa.string(), mask=texts.is_null().to_numpy(zero_copy_only=False))
+                yield pa.RecordBatch.from_arrays([*batch.columns[:at], column, *batch.columns[at + 1:]], names=names)
 
     return docs.mapInArrow(run, docs.schema)

@@ -33,7 +33,7 @@ def test_ids_equal_the_library(texts, path):
 
 
 def test_counts_survive_a_full_dictionary(texts, monkeypatch):
-    monkeypatch.setattr(bpe, "CACHE", 50)
+    monkeypatch.setattr(bpe, "KEPT", 5000)
     made = bpe.ByteTokens(BYTE, False)
     library = [len(e.ids) for e in Tokenizer.from_file(BYTE).encode_batch(texts, add_special_tokens=False)]
     assert [n for i in range(0, len(texts), 7) for n in made(texts[i:i + 7])] == library
