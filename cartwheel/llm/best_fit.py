@@ -1,24 +1,23 @@
-"""Operator 9: bulk-synchronous best-fit packing of all documents together.
-
-Lengths are small integers, so documents (and gaps) of one length are
-interchangeable, and the range-sorted documents and gaps are kept as runs:
-a length with its number of documents, a gap with its number of sequences.
-
-* Sort and rank: a distributed two-level rank gives every piece its place among
-  the pieces of its length (hash shards within a length, then shard offsets), so
-  that a length with a third of all pieces is spread over many tasks.
-* Superstep (longest run first): the run sweeps over the gap runs from its
-  successor on, the smallest gap that holds it.  Pieces conflict only by wanting
-  the same gap; the rank decides: the first ``m`` ranks take the first gap run's
-  ``m`` places, the next ones the next gap run's.  Gaps are updated and the next
-  run sweeps.  What finds no gap opens new sequences.
+"""Operator 9: best-fit packing of all documents together, over runs of lengths.
+
+A swap of the dealt method: no documents and gaps are range-sorted, and no rounds
+of distributed successor sweeps run.  Lengths are small integers, so documents (and
+gaps) of one length are interchangeable, and best-fit is decided for runs: a length
+with its number of pieces, a gap with its number of sequences.
+
+* Rank: a distributed two-level rank gives every piece its place among the pieces
+  of its length (hash shards within a length, then shard offsets), so that a length
+  with a third of all pieces is spread over many tasks.
+* Assignment, on the driver, longest run first: a run takes the smallest gap that
+  holds it, as many of its pieces as that run of gaps has places for, then the next
+  larger one; gaps are updated, and what finds none opens new sequences.
 * Every piece looks its place up by (length, rank) in the broadcast table of
   assignments.
 
 Runs and assignments number a few per length; their size depends on the
 capacity (2048) and not on the documents, which bounds what the driver holds and
 what is broadcast.  The outcome is that of best-fit decreasing over the whole
-corpus.
+corpus.  Pieces that tie on length go by id, piece and digest inside a shard.
 """
 
 from __future__ import annotations

@@ -84,7 +84,9 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> list[list[int]]:
 
 def packed_rows(docs: DataFrame, path: str, end_id: int, pad_id: int, vocabulary: int, capacity: int = CAPACITY) -> DataFrame:
     """Rows of the packed matrix (see above) for every row of ``docs``.  A
-    document's ids are its text's and ``end_id``; null texts are empty."""
+    document's ids are its text's and ``end_id``; null and empty texts are that alone.
+    Ids may be null or repeat (each row is packed), pieces of equal length go in the
+    order of the input, other columns are ignored, and no rows give none."""
     kind = "<u2" if vocabulary <= 1 << 16 else "<u4"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,13 +137,15 @@ def packed_rows(docs: DataFrame, path: str, end_id: int, pad_id: int, vocabulary
 
 def write_packed(docs: DataFrame, target: str, path: str, end_id: int = 50256, pad_id: int = 50256,
                  vocabulary: int = 50257, capacity: int = CAPACITY) -> None:
-    """Pack ``docs`` into files below ``target``."""
+    """Pack ``docs`` into files below ``target``, which must not be there; odd rows as
+    in ``packed_rows``.  An empty table gives files without rows."""
     packed_rows(docs, path, end_id, pad_id, vocabulary, capacity).write.parquet(target)
 
 
 def piece_digests(spark: SparkSession, target: str, vocabulary: int = 50257) -> DataFrame:
     """``(doc_id, piece, start, length, ids_crc32, sequence_id, offset)`` of every
-    segment, read back from the files (crc32 of its ids as little-endian uint32)."""
+    segment, read back from the files (crc32 of its ids as little-endian uint32); ids
+    that are null or repeat come back as they were, files without rows give none."""
     kind = "<u2" if vocabulary <= 1 << 16 else "<u4"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
