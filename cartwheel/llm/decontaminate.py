@@ -9,9 +9,10 @@ places that do not overlap, and again, until no match of five words is left.  An
 leaked if its tiles cover at least half of its words, in whatever order the
 passages stand.
 
-The benchmark is split into blocks of bounded size that are broadcast one at a
-time, so its size does not matter; documents are read once for each block and
-never shuffled, so it does not matter how many share a passage.
+Equal item texts are tiled once.  The benchmark's distinct texts are split into
+blocks of bounded size that are held and broadcast one at a time, so its size does
+not matter; documents are read once for each block and never shuffled, so it does
+not matter how many share a passage.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stage
 from . import arrays
 
 LEAST = 5  # words of a tile
@@ -65,17 +67,23 @@ def tiles(a: np.ndarray, b: np.ndarray, least: int = LEAST) -> list[tuple[int, i
     mark_a, mark_b = a == 0, b == 0
     out: list[tuple[int, int, int]] = []
 
-    def common(size: int) -> list[tuple[int, int]]:
+    def common(size: int) -> list[tuple[int, list[int]]]:
+        """Unmarked windows of ``a`` that ``b`` has too, each with its places there;
+        equal windows share one list."""
         i, h = one.windows(size, mark_a)
         j, g = two.windows(size, mark_b)
         hit = np.isin(h, g)
         if not hit.any():
             return []
+        held = np.isin(g, h[hit])
         places = defaultdict(list)
-        for at, key in zip(j.tolist(), g.tolist(), strict=True):
+        for at, key in zip(j[held].tolist(), g[held].tolist(), strict=True):
             places[key].append(at)
-        return [(x, y) for x, key in zip(i[hit].tolist(), h[hit].tolist(), strict=True) for y in places[key]
-                if np.array_equal(a[x:x + size], b[y:y + size])]
+        found = [(x, places[key]) for x, key in zip(i[hit].tolist(), h[hit].tolist(), strict=True)]
+        return found if any(same(x, y, size) for x, ys in found for y in ys) else []
+
+    def same(x: int, y: int, size: int) -> bool:
+        return np.array_equal(a[x:x + size], b[y:y + size])
 
     high = min(len(a), len(b))
     while high >= least:
@@ -92,10 +100,18 @@ def tiles(a: np.ndarray, b: np.ndarray, least: int = LEAST) -> list[tuple[int, i
             size = low
             if size < least or not found:
                 break
-        for x, y in found:
-            if not mark_a[x:x + size].any() and not mark_b[y:y + size].any():
-                mark_a[x:x + size] = mark_b[y:y + size] = True
-                out.append((x, y, size))
+        for x, ys in found:
+            if mark_a[x:x + size].any():
+                continue
+            for y in ys:
+                if not mark_b[y:y + size].any() and same(x, y, size):
+                    mark_a[x:x + size] = mark_b[y:y + size] = True
+                    out.append((x, y, size))
+                    break
+            else:
+                continue
+            while ys and mark_b[ys[0]:ys[0] + size].any():  # taken for good
+                del ys[0]
         high = size
     return out
 
@@ -167,20 +183,42 @@ def _leaks(index, coverage: float):
     return run
 
 
+def _blocks(texts: DataFrame, most: int) -> int:
+    """So many blocks that none of several texts is over twice ``most`` bytes."""
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = -(-size // most) or 1
+    while True:
+        filled = texts.groupBy(_block(blocks).alias("block")).agg(F.sum(F.octet_length("text")).alias("size"), F.count(F.lit(1)).alias("n"))
+        if not filled.where((F.col("size") > 2 * most) & (F.col("n") > 1)).limit(1).count():
+            return blocks
+        blocks *= 2
+
+
+def _block(blocks: int):
+    return F.pmod(F.xxhash64("text"), F.lit(blocks))
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, coverage: float = COVERAGE) -> DataFrame:
     """``(doc_id, item_id, item_words, covered_words, n_tiles, longest_tile,
     coverage)`` for every row of ``docs`` and item of ``benchmark`` whose tiles
     cover at least ``coverage`` of the item.  Null texts are empty and match
     nothing; ids may be null or repeat (rows are compared one by one, repeated
-    items too); other columns are ignored."""
+    items too, though equal item texts are tiled once); of tiles of one length the
+    first in the item, and there the first in the text, is marked first; other
+    columns are ignored; an empty table on either side gives no rows."""
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = -(-size // BLOCK_BYTES) or 1
-    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
+    distinct = stage(items.select("text").distinct().withColumn("key", F.monotonically_increasing_id()), "items")
+    blocks = _blocks(distinct, BLOCK_BYTES)
     parts = []
     for k in range(blocks):
-        index = spark.sparkContext.broadcast(_Index(items.where(block == k).toArrow(), least))
-        parts.append(texts.mapInArrow(_leaks(index, coverage), SCHEMA))
-    return reduce(DataFrame.unionByName, parts)
+        index = spark.sparkContext.broadcast(_Index(distinct.where(_block(blocks) == k).select("key", "text").toArrow(), least))
+        found = texts.mapInArrow(_leaks(index, coverage), SCHEMA)
+        if blocks > 1:  # one block at a time is held
+            found = stage(found, f"leaks-{k}")
+            index.destroy()
+        parts.append(found)
+    keyed = items.join(distinct, "text").select("item_id", "key")
+    found = reduce(DataFrame.unionByName, parts).withColumnRenamed("item_id", "key")
+    return found.join(keyed, "key").select(*[c.split()[0] for c in SCHEMA.split(", ")])
