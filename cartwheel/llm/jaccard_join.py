@@ -26,10 +26,15 @@ documents link when ``d <= t`` (t = 0.25).
    order of size, a region is cut before a set larger than any ``most`` before it.
 5. *Recursion.* What is kept is joined again inside its region: size-sorted
    cells of bounded size, in each a new pivot, windows on the distance to it,
-   and the same on both sides, until nothing is left to compare.  Only pairs of
-   different components that pass the bounds leave the task, and are verified.
-   First, each member's nearest such pair leaves alone, which joins most of a large
-   group of near copies with linear output; then the others do, from cells that hold others.
+   and the same on both sides, until nothing is left to compare.  Of the pairs of
+   different components that pass the bounds, each member's nearest leaves the task
+   and is verified, which joins most of a large group of near copies.
+6. *Forests.* Members in further such pairs are put into cells anew, component by
+   component, largest first, and cells of one component are not compared with each
+   other.  Maps of ``SHARP`` times as many bits, made for these members only, tell
+   which of them may still have a link in a pair of cells; only their sets are
+   brought there, compared exactly inside the task, nearest first, and what leaves
+   it is a spanning forest: fewer rows than members, however many links there are.
 
 The result is exact.  Skew: a frequent shingle is only a hash away from the end
 of the order, exact copies are collapsed first, regions are streamed row by
@@ -61,7 +66,7 @@ BITMAP_BITS = 23  # of the table of frequent shingles: 2^23 bits, whatever the c
 HEAVY_SHARE = 2000  # a shingle is frequent if it is in more than 1/2000 of the documents
 LEAF_BYTES = 1 << 22  # of maps that are compared at a time
 CELL = 512  # members that a cell of a region has at most
-ROUNDS = 1  # joins of nearest members before all that is left is joined
+SHARP = 8  # times the bits of the maps that decide whose sets are compared
 FLUSH = 1 << 21  # shingles that a task counts at a time
 _U = np.uint64
 
@@ -104,11 +109,11 @@ def prefix_length(n):
     return n - (PERCENT * n + 99) // 100 + 1
 
 
-def _parity(s: np.ndarray) -> np.ndarray:
-    """Parity bitmap over a power of two of at least |s| bits (64 at least): one
+def _parity(s: np.ndarray, sharp: int = 1) -> np.ndarray:
+    """Parity bitmap over a power of two of at least |s| bits (64 at least, both times ``sharp``): one
     differing shingle changes one bit at most, so the bits that differ between
     two sets' maps are no more than the shingles that differ."""
-    bits = max(64, 1 << int(len(s) - 1).bit_length()) if len(s) else 64
+    bits = sharp * (max(64, 1 << int(len(s) - 1).bit_length()) if len(s) else 64)
     at = (arrays.mix(s) & _U(bits - 1)).astype(np.int64)
     return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8))
 
@@ -301,8 +306,8 @@ def _nearest(x: np.ndarray, y: np.ndarray, far: np.ndarray) -> np.ndarray:
 
 def _region_pairs(nearest: bool):
     """Of rows sorted by region and cells: the pairs (``a``, ``b``) of each that may
-    link, or of these the nearest of each member and, as ``open`` rows, the cells
-    (token ``a``, cells ``b`` and ``c``) that hold others too."""
+    link, or of these the nearest of each member and, as ``open`` rows, what of region
+    ``a`` is in others too: members ``b`` of one cell, or, of two, the cells ``b`` (``c`` is 1)."""
     def join(rows: pd.DataFrame) -> pd.DataFrame:
         key = rows[["token", "i", "j"]].to_numpy(np.int64)
         starts = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]).any(axis=1)])
@@ -311,8 +316,12 @@ def _region_pairs(nearest: bool):
             x, y, far = _join_region(rows.iloc[a:b])
             if nearest and len(x):
                 keep = _nearest(x, y, far)
-                if len(keep) < len(x):
-                    unfinished.append(key[a:a + 1])
+                token, i, j = key[a]
+                if i == j:
+                    more = np.unique(np.r_[np.delete(x, keep), np.delete(y, keep)])
+                    unfinished.append(np.stack([np.full(len(more), token), more, np.zeros(len(more), np.int64)], axis=1))
+                elif len(keep) < len(x):
+                    unfinished.append(np.array([(token, i, 1), (token, j, 1)]))
                 x, y = x[keep], y[keep]
             found.append(np.stack([x, y, np.zeros(len(x), np.int64)], axis=1))
         pairs, cells = (pd.DataFrame(np.concatenate(v) if v else np.zeros((0, 3), np.int64), columns=["a", "b", "c"]) for v in (found, unfinished))
@@ -320,6 +329,12 @@ def _region_pairs(nearest: bool):
         cells.insert(0, "open", True)
         return pd.concat([pairs.drop_duplicates(), cells], ignore_index=True)
 
+    return _by_cells(join)
+
+
+def _by_cells(join):
+    """Runs ``join`` on whole cells, or pairs of them, of rows sorted by region and
+    cells; one may span any number of batches."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None
         for rows in frames:
@@ -336,6 +351,52 @@ def _region_pairs(nearest: bool):
     return run
 
 
+def _parts(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    """The rows of each pair of cells."""
+    key = rows[["token", "i", "j"]].to_numpy(np.int64)
+    starts = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]).any(axis=1)])
+    for a, b in zip(starts, [*starts[1:], len(rows)], strict=True):
+        yield rows.iloc[a:b]
+
+
+def _undecided(rows: pd.DataFrame) -> pd.DataFrame:
+    """The members of each pair of cells that are in a pair the bounds leave."""
+    out = []
+    for part in _parts(rows):
+        x, y, _ = _join_region(part)
+        out.append(part.loc[part.x.isin(np.unique(np.r_[x, y])), ["token", "i", "j", "side", "x", "n", "component"]])
+    return pd.concat(out, ignore_index=True)
+
+
+def _forest(rows: pd.DataFrame) -> pd.DataFrame:
+    """Links between members of different components of each pair of cells, by their
+    sets: those that join two components that earlier ones have not."""
+    found = []
+    for part in _parts(rows):
+        sets = [np.frombuffer(b, np.uint64) for b in part.s]
+        # by place: rows that share an id may have several sets
+        x, y, far = _join_region(part.assign(x=np.arange(len(part)), parity=[_parity(v, SHARP).tobytes() for v in sets]))
+        ids = part.x.to_numpy()
+        parent = {c: c for c in part.component.tolist()}
+        component = part.component.to_numpy()
+
+        def root(c: int, parent: dict = parent) -> int:
+            while parent[c] != c:
+                parent[c] = c = parent[parent[c]]
+            return c
+
+        for k in np.argsort(far, kind="stable").tolist():
+            i, j = int(x[k]), int(y[k])
+            a, b = root(int(component[i])), root(int(component[j]))
+            if a == b:
+                continue
+            shared = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+            if 100 * shared >= PERCENT * (len(sets[i]) + len(sets[j]) - shared):
+                parent[max(a, b)] = min(a, b)
+                found.append((ids[i], ids[j]))
+    return pd.DataFrame(np.array(found, np.int64).reshape(-1, 2), columns=["x", "pivot"])
+
+
 def _bits(slots: DataFrame, bits: int) -> np.ndarray:
     """Bit table of a column of slots below 2^bits."""
     at = slots.distinct().toArrow().column(0).to_numpy().astype(np.int64)
@@ -344,28 +405,33 @@ def _bits(slots: DataFrame, bits: int) -> np.ndarray:
     return table
 
 
-def _sets(wanted):
-    """Sets of the documents whose hashed id is in the bit table."""
+def _sets(wanted, make):
+    """What ``make`` gives for the sets of the documents whose hashed id is in the bit table."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             table = wanted.value
             slot = batch.column(2).to_numpy(zero_copy_only=False)
             batch = batch.filter(pa.array(((table[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1).astype(bool)))
-            sets = [s.tobytes() for _, s in arrays.shingle_sets(batch.column(1), SHINGLE_WORDS)]
+            sets = [make(s).tobytes() for _, s in arrays.shingle_sets(batch.column(1), SHINGLE_WORDS)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["doc_id", "s"])
     return run
 
 
-def _verified(base: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Exact distances of pairs (x, pivot).  The sets are made anew from the texts
-    of documents in pairs: a bit table of hashed ids, of fixed size, spares the
-    others, and a semi-join removes what slips through."""
+def _made(base: DataFrame, ids: DataFrame, make=lambda s: s) -> DataFrame:
+    """``(doc_id, s)``: what ``make`` gives for the sets of the documents ``ids``, in
+    one shuffle.  Sets are made anew from the texts: a bit table of hashed ids, of
+    fixed size, spares the other documents, and a semi-join removes what slips through."""
     slot = F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - BITMAP_BITS).cast("long")
-    ids = stage(pairs.select(F.explode(F.array("x", "pivot")).alias("doc_id")).distinct(), "candidates")
+    ids = stage(ids.distinct(), "candidates")
     wanted = base.sparkSession.sparkContext.broadcast(_bits(ids.select(slot.alias("slot")), BITMAP_BITS))
-    sets = (base.where("doc_id IS NOT NULL").withColumn("slot", slot)
-            .mapInArrow(_sets(wanted), "doc_id long, s binary").repartition("doc_id")  # one shuffle for both joins
+    return (base.where("doc_id IS NOT NULL").withColumn("slot", slot)
+            .mapInArrow(_sets(wanted, make), "doc_id long, s binary").repartition("doc_id")
             .join(ids, "doc_id", "left_semi").distinct())
+
+
+def _verified(base: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Exact distances of pairs (x, pivot)."""
+    sets = _made(base, pairs.select(F.explode(F.array("x", "pivot")).alias("doc_id")))
     both = (pairs.join(sets.withColumnRenamed("doc_id", "x"), "x")
             .join(sets.select(F.col("doc_id").alias("pivot"), F.col("s").alias("pivot_s")), "pivot"))
     return both.mapInPandas(_exact, "x long, pivot long, distance double, linked boolean")
@@ -400,22 +466,53 @@ def _cells(left: DataFrame) -> tuple[DataFrame, DataFrame]:
                                           F.min("component").alias("c1"), F.max("component").alias("c2"))
     chosen = signature.where("c1 < c2").groupBy("size", "h1", "h2").agg(F.min("token").alias("token")).select("token")
     placed = stage(left.join(chosen, "token").withColumn("cell", F.expr(f"(row_number() OVER (PARTITION BY token ORDER BY n, x) - 1) div {CELL}")), "placed")
-    cells = placed.groupBy("token", "cell").agg(F.min("n").alias("n1"), F.max("n").alias("n2"))
-    tasks = (cells.select("token", F.col("cell").alias("i"), "n2")
-             .join(cells.select(F.col("token"), F.col("cell").alias("j"), "n1"), "token")
-             .where(f"i <= j AND 100 * n2 >= {PERCENT} * n1").select("token", "i", "j"))
-    return placed, tasks
+    return placed, _tasks(placed)
 
 
-def _cell_pairs(placed: DataFrame, tasks: DataFrame, maps: DataFrame, nearest: bool) -> DataFrame:
-    """What ``_region_pairs`` finds in pairs of cells.  The maps are joined last, so
-    that they are moved once."""
+def _tasks(placed: DataFrame) -> DataFrame:
+    """The pairs (token, i, j), i <= j, of a region's cells whose sizes let members
+    link, without those of one component."""
+    cells = placed.groupBy("token", "cell").agg(*(f(c).alias(n) for f, c, n in (
+        (F.min, "n", "n1"), (F.max, "n", "n2"), (F.min, "component", "c1"), (F.max, "component", "c2"))))
+    other = cells.select("token", F.col("cell").alias("j"), F.col("n1").alias("m1"), F.col("n2").alias("m2"), F.col("c1").alias("d1"), F.col("c2").alias("d2"))
+    return (cells.withColumnRenamed("cell", "i").join(other, "token")
+            .where(f"i <= j AND 100 * n2 >= {PERCENT} * m1 AND 100 * m2 >= {PERCENT} * n1 AND NOT (c1 = c2 AND d1 = d2 AND c1 = d1)")
+            .select("token", "i", "j"))
+
+
+def _by_component(placed: DataFrame) -> DataFrame:
+    """Regions cut into cells anew, the largest component first."""
+    sizes = placed.groupBy("token", "component").agg(F.count(F.lit(1)).alias("size"))
+    return (placed.drop("cell").join(sizes, ["token", "component"])
+            .withColumn("cell", F.expr(f"(row_number() OVER (PARTITION BY token ORDER BY size DESC, component, n, x) - 1) div {CELL}"))
+            .select("token", "x", "n", "component", "cell"))
+
+
+def _sided(placed: DataFrame, tasks: DataFrame) -> DataFrame:
+    """Members (token, i, j, side, x, n, component) of pairs of cells."""
     sides = (tasks.select("token", "i", "j", F.col("i").alias("cell"), F.lit(0).alias("side"))
              .unionByName(tasks.where("i < j").select("token", "i", "j", F.col("j").alias("cell"), F.lit(1).alias("side"))))
-    return (placed.join(sides, ["token", "cell"]).select("token", "i", "j", "side", "x", "n", "component")
-            .join(maps.select("x", "parity"), "x").select("token", "i", "j", "side", "x", "n", "component", "parity")
-            .repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "side", "n", "x")
-            .mapInPandas(_region_pairs(nearest), "open boolean, a long, b long, c long").distinct())
+    return placed.join(sides, ["token", "cell"]).select("token", "i", "j", "side", "x", "n", "component")
+
+
+def _together(members: DataFrame) -> DataFrame:
+    return members.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "side", "n", "x")
+
+
+def _nearest_pairs(placed: DataFrame, tasks: DataFrame, maps: DataFrame) -> DataFrame:
+    """What ``_region_pairs`` finds in pairs of cells.  The maps are joined last, so
+    that they are moved once."""
+    return (_together(_sided(placed, tasks).join(maps.select("x", "parity"), "x"))
+            .mapInPandas(_region_pairs(True), "open boolean, a long, b long, c long").distinct())
+
+
+def _forests(base: DataFrame, placed: DataFrame) -> DataFrame:
+    """Links (x, pivot) that join all linked components of the regions ``placed``."""
+    sharp = _made(base, placed.select(F.col("x").alias("doc_id")), lambda s: _parity(s, SHARP))
+    members = _sided(placed, _tasks(placed)).join(sharp.select(F.col("doc_id").alias("x"), F.col("s").alias("parity")), "x")
+    left = stage(_together(members).mapInPandas(_by_cells(_undecided), "token long, i long, j long, side int, x long, n long, component long"), "undecided")
+    sets = _made(base, left.select(F.col("x").alias("doc_id")))
+    return _together(left.join(sets.select(F.col("doc_id").alias("x"), "s"), "x")).mapInPandas(_by_cells(_forest), "x long, pivot long").distinct()
 
 
 def _pairs_of(found: DataFrame) -> DataFrame:
@@ -471,21 +568,20 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
                             .where(f"NOT inside OR far >= nearest - {T + EPS}").select("token", "x", "n", "most", "component")), "left")
 
     # recursion: every member with its nearest first, which joins most of a large group in linear output;
-    # then what is open: cells with further pairs, in regions of several components
+    # then forests of those in further pairs, in regions where they are of several components
     placed, tasks = _cells(left)
-    for _ in range(ROUNDS):
-        near = stage(_cell_pairs(placed, tasks, maps, True), "near")
-        links = stage(links.unionByName(_verified(base, _pairs_of(near)).where("linked").select("x", "pivot")).distinct(), "links")
-        known = connected_components(links, "x", "pivot")
-        tasks = near.where("open").select(F.col("a").alias("token"), F.col("b").alias("i"), F.col("c").alias("j"))
-        placed = stage(_with_components(placed.join(tasks.select("token").distinct(), "token", "left_semi").drop("component"), known), "placed")
-        mixed = placed.groupBy("token").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 < c2").select("token")
-        tasks = tasks.join(mixed, "token", "left_semi")
-
-    rest = stage(_cell_pairs(placed, tasks, maps, False), "rest")
-    second = _verified(base, _pairs_of(rest)).where("linked").select("x", "pivot")
-
-    found = connected_components(links.unionByName(second), "x", "pivot")
+    near = stage(_nearest_pairs(placed, tasks, maps), "near")
+    links = stage(links.unionByName(_verified(base, _pairs_of(near)).where("linked").select("x", "pivot")).distinct(), "links")
+    known = connected_components(links, "x", "pivot")
+    more = near.where("open").select(F.col("a").alias("token"), "b", "c")
+    kept = (placed.join(more.where("c = 0").select("token", F.col("b").alias("x")), ["token", "x"], "left_semi")
+            .unionByName(placed.join(more.where("c = 1").select("token", F.col("b").alias("cell")), ["token", "cell"], "left_semi")).distinct())
+    placed = stage(_with_components(kept.drop("component"), known), "placed")
+    mixed = placed.groupBy("token").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 < c2").select("token")
+    placed = stage(_by_component(placed.join(mixed, "token", "left_semi")), "mixed")
+    links = links.unionByName(stage(_forests(base, placed), "forests"))
+
+    found = connected_components(links, "x", "pivot")
     labels = (classes.join(found.select(F.col("node").alias("rep"), F.col("component")), "rep", "left")
               .select("fp1", "fp2", "n", F.coalesce("component", "rep").alias("component_id")))
     return (documents.join(labels, ["fp1", "fp2", "n"], "left")

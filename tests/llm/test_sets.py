@@ -79,6 +79,77 @@ def test_large_group_of_copies_is_one_component(spark, docs):
     assert {r.component_id for r in got} == {0} and len(got) == 3001
 
 
+def cluster(n, edits, seed=1, length=120):
+    """Near copies of one text, each with some words of its own."""
+    rng = random.Random(seed)
+    base = [f"w{k}" for k in range(length)]
+    rows = []
+    for i in range(n):
+        w = list(base)
+        for _ in range(rng.randrange(edits + 1)):
+            w[rng.randrange(length)] = f"x{i}y{rng.random()}"
+        rows.append((i + 1, " ".join(w)))
+    return rows
+
+
+@pytest.mark.parametrize("n", [150, 600])
+def test_cluster_of_near_copies_equals_brute_force(spark, docs, monkeypatch, n):
+    """Many pairs near the limit, in several cells."""
+    monkeypatch.setattr(jaccard_join, "CELL", 64)
+    rows = cluster(n, 6, seed=n)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(docs(rows)).collect()}
+    want = brute_components(rows)
+    assert got == want and 2 < len({c for _, c in want.values()}) < n / 2
+
+
+def test_pairs_grow_with_the_members_not_with_their_square(spark, docs, monkeypatch):
+    """Rows that leave the tasks of regions, on one cluster of 400 and of 1,600 near copies."""
+    counts, real = [], jaccard_join.stage
+
+    def counted(df, name):
+        out = real(df, name)
+        if name in ("near", "undecided", "forests"):
+            counts[-1][name] = out.count()
+        return out
+    monkeypatch.setattr(jaccard_join, "stage", counted)
+    for n in (400, 1600):
+        counts.append({})
+        jaccard_join.jaccard_components(docs(cluster(n, 6))).count()
+    small, large = counts
+    assert sum(large.values()) <= 6 * sum(small.values()), counts
+
+
+def test_forest_joins_what_is_linked_with_fewer_rows_than_members():
+    rng = np.random.default_rng(7)
+    base = np.unique(rng.integers(0, 2**63, 300, dtype=np.uint64))
+    sets = []
+    for _ in range(120):
+        s = base.copy()
+        s[rng.random(len(s)) < rng.choice([0.02, 0.1, 0.2])] += np.uint64(1)
+        sets.append(np.unique(s))
+    rows = pd.DataFrame({"token": 1, "i": 0, "j": 0, "side": 0, "x": range(len(sets)), "n": [len(s) for s in sets],
+                         "component": range(len(sets)), "s": [s.tobytes() for s in sets]})
+    parent = list(range(len(sets)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+    links = 0
+    for a, b in itertools.combinations(range(len(sets)), 2):
+        k = len(np.intersect1d(sets[a], sets[b]))
+        if 100 * k >= 75 * (len(sets[a]) + len(sets[b]) - k):
+            links += 1
+            parent[max(root(a), root(b))] = min(root(a), root(b))
+    want = [root(x) for x in range(len(sets))]
+    parent = list(range(len(sets)))
+    found = jaccard_join._forest(rows)
+    for a, b in found.itertuples(index=False):
+        assert root(a) != root(b)
+        parent[max(root(a), root(b))] = min(root(a), root(b))
+    assert [root(x) for x in range(len(sets))] == want and len(found) < len(sets) < links
+
+
 def test_odd_rows(spark, docs):
     got = [(r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(docs(ODD)).collect()]
     assert len(got) == len(ODD)
@@ -169,6 +240,29 @@ def test_leaks(spark, docs, monkeypatch):
     assert decontaminate.leaks(docs(rows), benchmark.limit(0)).collect() == []
 
 
+def test_repetitive_texts_are_tiled_without_a_product():
+    a, b = np.full(4000, 7, np.uint64), np.full(3000, 7, np.uint64)
+    assert decontaminate.tiles(a, b, 5) == [(0, 0, 3000)]
+    a = np.tile(np.arange(1, 9, dtype=np.uint64), 600)
+    found = decontaminate.tiles(a, np.r_[a[:40], np.uint64(99), a[:40], np.uint64(98), a[:17]], 5)
+    assert sum(n for *_, n in found) == 97
+
+
+def test_repeated_items_and_a_common_passage(spark, docs, monkeypatch):
+    """One item text in a third of the rows, in blocks of a bounded size, and a passage of many items."""
+    passage = " ".join(f"p{i}" for i in range(12))
+    items = [(i, passage + " " + " ".join(f"q{i}x{k}" for k in range(8))) for i in range(40)] + [(1000 + i, passage) for i in range(20)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    rows = [(1, "x " * 30 + passage), (2, items[3][1]), (None, passage), (3, "none of it " * 9)]
+    want = {(1, 1000 + i) for i in range(20)} | {(None, 1000 + i) for i in range(20)} | {(2, 1000 + i) for i in range(20)}
+    want |= {(d, i) for d in (1, None, 2) for i in range(40)}  # the passage is over half of each item
+    for size in (decontaminate.BLOCK_BYTES, 200):
+        monkeypatch.setattr(decontaminate, "BLOCK_BYTES", size)
+        found = decontaminate.leaks(docs(rows), benchmark).collect()
+        assert {(r.doc_id, r.item_id) for r in found} == want and len(found) == len(want)
+    assert {r.covered_words for r in found if r.doc_id == 2 and r.item_id == 3} == {20}
+
+
 @pytest.mark.parametrize("nearest", [True, False])
 @pytest.mark.parametrize("length", [1, 3, 4, 100])
 def test_regions_span_batches(nearest, length):
