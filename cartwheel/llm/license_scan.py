@@ -1,7 +1,9 @@
 """Operator 3: licence scans by sparse TF-IDF cosine and directory inheritance.
 
-Units are the lines of files (headers) and whole licence files.  A unit and each
-licence template are vectors of ``(1 + ln tf) * idf`` over lower-case terms (runs of
+Units are the lines of files, groups of ``WINDOW`` lines from every line on, sentences
+and paragraphs, so that a header is one whether it is wrapped, inside a long line or
+between others, and whole licence files.  Templates are notices, standard headers,
+titles and opening paragraphs of licence texts.  A unit and each template are vectors of ``(1 + ln tf) * idf`` over lower-case terms (runs of
 letters and digits), idf counted over all files for every term, also for those that
 no template has and that count in a unit's length only.  A unit takes the template
 of the largest cosine, if that is ``LEAST`` or more.
@@ -11,7 +13,8 @@ taken until the others hold too little of its length to reach ``LEAST`` without
 them, and a unit needs one of these key terms.  Unit terms are then joined with the
 template terms (sparse product) and summed.
 
-A directory's licence is the best one of the licence files in it.  A file without a
+A directory's licence is the best one of the licence files in it: files named so,
+or, where files have no names, those whose opening lines have a licence.  A file without a
 licence of its own takes that of its nearest ancestor directory: the distinct
 directories (not files) are joined with the licensed ones on each ancestor's path,
 the deepest stays, and files are joined to their directory.
@@ -33,18 +36,41 @@ from pyspark.sql import functions as F
 from ..session import stage
 
 LEAST = 0.6
-#: Notices by licence.
+#: Lines of a group, and lines that open a text.
+WINDOW, OPENING = 4, 3
+#: Notices, headers, titles and opening paragraphs by licence.
 TEMPLATES = (
     ("MIT", "Released under the MIT License."),
+    ("MIT", "The MIT License (MIT)"),
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), "
+            "to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, "
+            "and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:"),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"),
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. "
+                   "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
+    ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by "
+                "the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
     ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
+    ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
     ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
+    ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
     ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted."),
+    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"),
+    ("BSD-3-Clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from "
+                     "this software without specific prior written permission."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, "
+                "You can obtain one at https://mozilla.org/MPL/2.0/."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
+    ("CC-BY-4.0", "Creative Commons Attribution 4.0 International Public License"),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
+    ("CC-BY-SA-4.0", "Creative Commons Attribution-ShareAlike 4.0 International Public License"),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
+    ("CC-BY-NC-4.0", "Creative Commons Attribution-NonCommercial 4.0 International Public License"),
 )
 LICENSE_FILE = r"(?i)(^|/)(licen[cs]e|copying|notice)[^/]*$"
 _SPLIT = r"[^\p{L}\p{N}]+"
@@ -55,16 +81,13 @@ def _terms(text: Column) -> Column:
 
 
 def _template_vectors(templates, df: dict[str, int], total: int):
-    """``(licence, term, weight / length)`` rows, and key terms."""
+    """``(template, licence, term, weight / length)`` rows, and key terms."""
     idf = lambda n: math.log((total + 1) / (n + 1)) + 1
-    weights: dict[str, dict[str, float]] = defaultdict(dict)
-    for name, text in templates:
-        for term, tf in Counter(re.findall(r"[^\W_]+", text.lower())).items():
-            weights[name][term] = (1 + math.log(tf)) * idf(df.get(term, 0))
     rows, keys = [], set()
-    for name, w in weights.items():
+    for number, (name, text) in enumerate(templates):
+        w = {term: (1 + math.log(tf)) * idf(df.get(term, 0)) for term, tf in Counter(re.findall(r"[^\W_]+", text.lower())).items()}
         length = math.sqrt(sum(x * x for x in w.values()))
-        rows += [(name, term, x / length) for term, x in w.items()]
+        rows += [(number, name, term, x / length) for term, x in w.items()]
         rest = 1.0
         for term, x in sorted(w.items(), key=lambda kv: (-kv[1], kv[0])):
             if rest < LEAST * LEAST:
@@ -74,19 +97,37 @@ def _template_vectors(templates, df: dict[str, int], total: int):
     return rows, sorted(keys)
 
 
+def _units(text: Column, may: Column) -> Column:
+    """``(line, opening)`` of a text's lines, groups of lines, sentences and paragraphs
+    that have a key term."""
+    lines = F.split(text, "\n")
+
+    def unit(line: Column, opening: Column) -> Column:
+        return F.struct(line.alias("line"), opening.alias("opening"))
+
+    units = F.concat(
+        F.transform(lines, lambda line, i: unit(line, i < OPENING)),
+        F.transform(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: unit(F.array_join(F.slice(lines, i + 1, F.lit(WINDOW)), "\n"), i < OPENING)),
+        F.flatten(F.transform(lines, lambda line, i: F.transform(F.split(line, r"(?<=[.;:!?])\s+"), lambda s: unit(s, i < OPENING)))),
+        F.transform(F.split(text, r"\n\s*\n"), lambda part, i: unit(part, i == 0)))
+    return F.filter(units, lambda u: F.arrays_overlap(F.split(F.lower(u["line"]), _SPLIT), may))
+
+
 def _literal_rows(spark, rows, names) -> DataFrame:
     return spark.range(1).select(F.inline(F.array(*(F.struct(*(F.lit(v).alias(n) for v, n in zip(row, names, strict=True))) for row in rows))))
 
 
-def scan(files: DataFrame, templates=TEMPLATES, license_file: Column | None = None) -> DataFrame:
+def scan(files: DataFrame, templates=TEMPLATES, license_file: Column | None = None, by_opening: bool = False) -> DataFrame:
     """``(path, license, score, inherited, inherited_from)`` for every distinct path
     of ``files`` (columns ``path`` and ``text``; others are ignored): the licence
     of the file's own units and its cosine, and, where it has none, the licence of
     the nearest ancestor directory that has one.  ``license_file`` says which rows
-    are licence files (default: by name).  Null paths are files of no name in the
-    root, null texts are empty, rows with one path are one file."""
+    are licence files (default: by name); with ``by_opening`` those are whose opening
+    lines or first paragraph have a licence.  Of equal scores the first licence by
+    name counts.  Null paths are files of no name in the root, null texts are empty,
+    rows with one path are one file, an empty table gives no rows."""
     spark = files.sparkSession
-    license_file = F.col("path").rlike(LICENSE_FILE) if license_file is None else license_file
+    license_file = F.lit(False) if by_opening else F.col("path").rlike(LICENSE_FILE) if license_file is None else license_file
     base = files.select(F.coalesce(F.col("path").cast("string"), F.lit("")).alias("path"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     known = sorted({t for _, text in templates for t in re.findall(r"[^\W_]+", text.lower())})
     present = base.select(F.explode(F.concat(F.array_distinct(_terms(F.col("text"))), F.array(F.lit("")))).alias("term"))
@@ -96,28 +137,29 @@ def scan(files: DataFrame, templates=TEMPLATES, license_file: Column | None = No
     vectors, keys = _template_vectors(templates, df, total)
     may = F.array(*map(F.lit, keys))
 
-    named = license_file.alias("is_license")
-    lines = F.filter(F.split("text", "\n"), lambda line: F.arrays_overlap(F.split(F.lower(line), _SPLIT), may))
-    marked = base.select("path", "text", named).select(
-        "path", "is_license", F.when(F.col("is_license"), F.concat(lines, F.array("text"))).otherwise(lines).alias("units"))
-    units = marked.select("path", "is_license", F.posexplode("units").alias("unit", "line")).withColumn("unit", F.xxhash64("unit", "line"))
+    # only texts with a key term are taken apart
+    marked = base.select("path", "text", license_file.alias("named")).where(F.arrays_overlap(F.split(F.lower("text"), _SPLIT), may)).select(
+        "path", "named", F.concat(_units(F.col("text"), may), F.when(F.col("named"), F.array(F.struct(F.col("text").alias("line"), F.lit(True).alias("opening"))))
+                                  .otherwise(F.array().cast("array<struct<line: string, opening: boolean>>"))).alias("units"))
+    units = (marked.select("path", "named", F.posexplode("units").alias("unit", "u"))
+             .select("path", F.xxhash64("unit", "u.line").alias("unit"), (F.col("u.opening") if by_opening else F.col("named")).alias("is_license"), F.col("u.line").alias("line")))
     tf = stage(units.select("path", "unit", "is_license", F.explode(_terms(F.col("line"))).alias("term"))
                .groupBy("path", "unit", "is_license", "term").agg((1 + F.log(F.count(F.lit(1)).cast("double"))).alias("tf")), "unit-terms")
     # every unit term is a term of some file, so the joins keep all of them
     idf = (counts.join(tf.select("term").distinct(), "term", "left_semi")
            .select("term", (F.log(F.lit(total + 1.0) / (F.col("n") + 1)) + 1).alias("idf"), F.col("term").isin(known).alias("known")))
-    templates_df = _literal_rows(spark, vectors, ("license", "term", "t"))
+    templates_df = _literal_rows(spark, vectors, ("template", "license", "term", "t"))
     weighted = stage(tf.join(idf, "term").select("path", "unit", "is_license", "term", (F.col("tf") * F.col("idf")).alias("w"), "known"), "unit-weights")
     lengths = weighted.groupBy("path", "unit").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("length"))
-    dots = (weighted.where("known").join(templates_df, "term").groupBy("path", "unit", "is_license", "license").agg(F.sum(F.col("w") * F.col("t")).alias("dot")))
+    dots = (weighted.where("known").join(templates_df, "term").groupBy("path", "unit", "is_license", "template", "license").agg(F.sum(F.col("w") * F.col("t")).alias("dot")))
     scored = (dots.join(lengths, ["path", "unit"]).withColumn("score", F.round(F.least(F.col("dot") / F.col("length"), F.lit(1.0)), 9)).where(F.col("score") >= LEAST))
     # the largest score, then the first name
     best = F.min(F.struct((-F.col("score")).alias("s"), "license"))
-    own = stage(scored.groupBy("path").agg(best.alias("b"), F.max("is_license").alias("is_license"))
-                .select("path", F.col("b.license").alias("license"), (-F.col("b.s")).alias("score"), "is_license"), "own")
+    own = stage(scored.groupBy("path").agg(best.alias("b"), F.min(F.when(F.col("is_license"), F.struct((-F.col("score")).alias("s"), "license"))).alias("d"))
+                .select("path", F.col("b.license").alias("license"), (-F.col("b.s")).alias("score"), F.col("d.license").alias("directory_license"), (-F.col("d.s")).alias("directory_score")), "own")
 
     directory = F.regexp_replace("path", r"/?[^/]*$", "").alias("dir")
-    licensed = (own.where("is_license").select(directory, "license", "score")
+    licensed = (own.where("directory_license IS NOT NULL").select(directory, F.col("directory_license").alias("license"), F.col("directory_score").alias("score"))
                 .groupBy("dir").agg(best.alias("b")).select(F.col("dir").alias("ancestor"), F.col("b.license").alias("inherited")))
     paths = base.select("path").distinct().select("path", directory)
     parts = F.split("dir", "/")
@@ -131,12 +173,15 @@ def scan(files: DataFrame, templates=TEMPLATES, license_file: Column | None = No
 
 
 def document_licenses(docs: DataFrame) -> DataFrame:
-    """``(doc_id, path, license, score, inherited, inherited_from)`` of all documents
-    as files ``source/lang/thousand/doc_id``.  They have no names, so a short
-    document (400 characters at most) with a licence line is its directory's
-    licence file.  Rows with a null id are left out."""
-    path = F.concat_ws("/", F.coalesce("source", F.lit("_")), F.coalesce("lang", F.lit("_")),
-                       F.floor(F.col("doc_id") / 1000).cast("string"), F.col("doc_id").cast("string"))
-    files = docs.where("doc_id IS NOT NULL").select(path.alias("path"), "text")
-    found = scan(files, license_file=F.length("text") <= 400)
-    return found.select(F.element_at(F.split("path", "/"), -1).cast("long").alias("doc_id"), "path", "license", "score", "inherited", "inherited_from")
+    """``(doc_id, path, license, score, inherited, inherited_from)`` of every row of
+    ``docs`` as a file ``source/lang/thousand/doc_id``.  They have no names, so a
+    document whose opening lines have a licence is its directory's licence file.  A
+    null source, language or id is ``_`` in the path; ids may repeat, each row is a
+    file of its own."""
+    path = F.concat_ws("/", *(F.coalesce(F.col(c).cast("string"), F.lit("_")) for c in ("source", "lang")),
+                       F.coalesce(F.floor(F.col("doc_id") / 1000).cast("string"), F.lit("_")), F.coalesce(F.col("doc_id").cast("string"), F.lit("_")))
+    # numbered and written once, so that a row is one path wherever it is read
+    files = stage(docs.select(F.col("doc_id").cast("long").alias("doc_id"), path.alias("name"), "text", F.monotonically_increasing_id().alias("row"))
+                  .withColumn("path", F.concat_ws("~", "name", "row")), "files")
+    found = scan(files.select("path", "text"), by_opening=True)
+    return files.select("doc_id", "name", "path").join(found, "path").select("doc_id", F.col("name").alias("path"), "license", "score", "inherited", "inherited_from")
