@@ -20,10 +20,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stage
 from . import arrays
 
 BITS = 16  # of the feature table
 SAMPLE = 6000  # labelled rows that are used for fitting, at most
+FEATURES = 16_000_000  # of all rows that are used for fitting, at most
 ORDERS = (1, 2, 3)  # bytes of an n-gram
 COST, EPOCHS, MIX, SMOOTHING = 1.0, 12, 0.75, 1.0
 LEAST_SCORE = 0.7
@@ -68,7 +70,7 @@ def _per_text(column: pa.Array, make) -> list:
 def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = _per_text(batch.column(1), lambda f: np.sort(f))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int32()))], names=["quality", "features"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(found, pa.list_(pa.int32()))], names=["quality", "doc_id", "features"])
 
 
 def _vector(weights: np.ndarray, ratio: np.ndarray, f: np.ndarray) -> float:
@@ -154,17 +156,36 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(self.slope * self.margin(f) + self.shift, -30, 30))))
 
 
-def fitted(docs: DataFrame, labels: DataFrame) -> Model:
-    """The model for the rows of ``labels`` whose hashed id is not held out.  Rows
-    without a label of 0 or 1 are left out; of several labels the largest counts."""
+def sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``(quality, doc_id, features)`` of the rows to fit on, written once: of the
+    labelled ids that are not held out and have a document, the first ``SAMPLE`` in
+    the order of their hash, and of these as many as have ``FEATURES`` in all.  Rows
+    without a label of 0 or 1 are left out; of several labels of an id the largest
+    counts, of several texts that of the smallest hash."""
     known = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
              .where("quality IN (0, 1) AND doc_id IS NOT NULL").where(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) != 2)
              .groupBy("doc_id").agg(F.max("quality").alias("quality")))
     chosen = (known.join(docs.select(F.col("doc_id").cast("long").alias("doc_id")).distinct(), "doc_id", "left_semi")
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = (texts.join(F.broadcast(chosen), "doc_id").select(F.col("quality").cast("long"), "text", "doc_id")  # SAMPLE rows
-            .select("quality", "text").mapInArrow(_sampled, "quality long, features array<int>").toArrow())
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    # repeated ids meet before the shuffle, so that one of a third of the rows is a row a task
+    one = (texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", F.col("quality").cast("long").alias("quality"))  # SAMPLE rows
+           .agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")))
+    rows = stage(one.select("quality", "text", "doc_id").mapInArrow(_sampled, "quality long, doc_id long, features array<int>"), "sample")
+    sizes = rows.select("doc_id", F.size("features").alias("n")).orderBy(F.xxhash64("doc_id"), "doc_id").collect()
+    total, used = 0, []
+    for r in sizes:
+        total += r.n
+        if total > FEATURES:
+            return rows.where(F.col("doc_id").isin(used))
+        used.append(r.doc_id)
+    return rows
+
+
+def fitted(docs: DataFrame, labels: DataFrame) -> Model:
+    """The model for the sampled rows of ``labels``; the driver holds at most
+    ``SAMPLE`` rows and ``FEATURES`` features."""
+    rows = sample(docs, labels).select("quality", "features").toArrow()
     rows = [(q, f.values.to_numpy().astype(np.int64)) for q, f in zip(rows.column(0).to_pylist(), rows.column(1), strict=True)]
     rows.sort(key=lambda r: (r[1].tobytes(), r[0]))  # the outcome does not depend on the order of tasks
     order = np.random.default_rng(3).permutation(len(rows))
