@@ -13,12 +13,12 @@ numbers a document, are staged.  A concentration step is one aggregation: moment
 by group and distance bin (bins of equal width in log distance, so that many a
 group, however large, is a bounded number of rows after map-side aggregation), then
 the bins that hold the nearest ``SHARE`` of a group give the next estimate.
-Documents of a group of fewer than ``LEAST_DOCS`` are judged by the estimates of all
-documents of their language, and where those are too few too, by the estimates of
-the whole corpus, whatever its size (``FLOORS`` keep the scatter of a tiny one
-regular).  A level is estimated only where some group needs it, in the same
-aggregations.  Estimates are joined to documents by group; Spark broadcasts them
-where they are small, and splits hot groups' joins where not.
+Groups of every size are judged by one rule: estimates are made for each group, for
+each language and for the whole corpus, in the same aggregations, and a language's
+are drawn to the corpus's and a group's to its language's, with weight n / (n +
+``PRIOR_DOCS``) for the n documents of the finer one (``FLOORS`` keep the scatter of
+a tiny corpus regular).  Estimates are joined to documents by group; Spark
+broadcasts them where they are small, and splits hot groups' joins where not.
 
 Windows are compared by 64-bit hash.
 """
@@ -34,7 +34,7 @@ from ..session import stage
 
 LEAST_WORDS = 10
 REPEAT_PERCENT = 20
-LEAST_DOCS = 200  # of a group that has estimates of its own
+PRIOR_DOCS = 200  # documents of a group that weigh as much as the level above it
 SHARE = 0.75  # of a group's documents that estimates rest on
 STEPS = 5  # concentration steps
 #: Chi-square quantiles for the five statistics below: that of SHARE, the share
@@ -87,18 +87,23 @@ def _vectors(counts: DataFrame) -> DataFrame:
         "x4": F.log((F.col("n_repeat_words") + 10.0) / (n + 200.0))})
 
 
-def _factor(moments: DataFrame, widen: float) -> DataFrame:
-    """Means and the Cholesky factor of the scatter from ``n`` and sums."""
-    out = moments
-    for i in range(len(X)):
-        out = out.withColumn(f"m{i}", F.col(f"s{i}") / F.col("n"))
-    for i, j in _CROSS:
-        scatter = widen * (F.col(f"s{i}_{j}") / F.col("n") - F.col(f"m{i}") * F.col(f"m{j}"))
-        out = out.withColumn(f"c{i}_{j}", scatter + F.lit(FLOORS[i] ** 2 if i == j else 0.0))
+_M = [f"m{i}" for i in range(len(X))]
+_C = [f"c{i}_{j}" for i, j in _CROSS]
+
+
+def _scatter(moments: DataFrame, widen: float) -> DataFrame:
+    """Means and covariances from ``n`` and sums."""
+    out = moments.withColumns({m: F.col(f"s{i}") / F.col("n") for i, m in enumerate(_M)})
+    return out.select("g", *_M, *((widen * (F.col(f"s{i}_{j}") / F.col("n") - F.col(f"m{i}") * F.col(f"m{j}"))
+                                   + F.lit(FLOORS[i] ** 2 if i == j else 0.0)).alias(f"c{i}_{j}") for i, j in _CROSS))
+
+
+def _factor(out: DataFrame, key: str = "g") -> DataFrame:
+    """Means and the Cholesky factor of the covariances."""
     for i, j in _CROSS:
         rest = reduce(lambda a, k, i=i, j=j: a - F.col(f"l{i}_{k}") * F.col(f"l{j}_{k}"), range(j), F.col(f"c{i}_{j}"))
         out = out.withColumn(f"l{i}_{j}", F.sqrt(F.greatest(rest, F.lit(1e-9))) if i == j else rest / F.col(f"l{j}_{j}"))
-    return out.select("g", *(f"m{i}" for i in range(len(X))), *(f"l{i}_{j}" for i, j in _CROSS))
+    return out.select(key, *_M, *(f"l{i}_{j}" for i, j in _CROSS))
 
 
 def _distance(rows: DataFrame) -> DataFrame:
@@ -110,12 +115,12 @@ def _distance(rows: DataFrame) -> DataFrame:
 
 
 def _estimates(rows: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Minimum-covariance-determinant location and factor of each group ``g``."""
+    """Minimum-covariance-determinant location and scatter of each group ``g``."""
     # start: medians, and a scatter without covariances from the quartiles
     quartiles = rows.groupBy("g").agg(*(F.percentile_approx(x, [0.25, 0.5, 0.75], 10000).alias(f"q{i}") for i, x in enumerate(X)))
     start = quartiles.select("g", *(F.col(f"q{i}")[1].alias(f"m{i}") for i in range(len(X))), *(
         (F.sqrt(F.pow((F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / 1.349, F.lit(2)) + F.lit(FLOORS[i] ** 2)) if i == j else F.lit(0.0)).alias(f"l{i}_{j}") for i, j in _CROSS))
-    now = stage(start, "mcd-0")
+    now = model = stage(start, "mcd-0")
     for step in range(1, STEPS + 1):
         binned = _distance(rows.join(now, "g")).withColumn("bin", F.least(F.floor(F.log1p("d2") * BINS_PER_UNIT), F.lit(MOST_BIN)).cast("int"))
         sums = binned.groupBy("g", "bin").agg(
@@ -125,8 +130,22 @@ def _estimates(rows: DataFrame, sizes: DataFrame) -> DataFrame:
                    .where(F.col("before") < F.ceil(F.col("size") * SHARE)))
         kept = nearest.groupBy("g").agg(*(F.sum(c).alias(c) for c in ("n", *(f"s{i}" for i in range(len(X))), *(f"s{i}_{j}" for i, j in _CROSS))))
         # the nearest share of a normal group is narrower than the group
-        now = stage(_factor(kept, SHARE / INNER_SHARE), f"mcd-{step}")
-    return now
+        model = stage(_scatter(kept, SHARE / INNER_SHARE), f"mcd-{step}")
+        now = _factor(model)
+    return model
+
+
+def _drawn(groups: DataFrame, model: DataFrame) -> DataFrame:
+    """Each group's factor, its estimates drawn to its language's and the corpus's."""
+    def at(level: str) -> DataFrame:
+        return model.select(F.col("g").alias(level), *(F.col(c).alias(f"{level}_{c}") for c in (*_M, *_C)))
+
+    corpus = at("corpus").where("corpus = 'all'").drop("corpus")
+    levels = groups.join(at("fine"), "fine").join(at("coarse"), "coarse").withColumn("corpus", F.lit("all")).join(
+        corpus.withColumn("corpus", F.lit("all")), "corpus")
+    own, lang = (F.col(n) / (F.col(n) + F.lit(float(PRIOR_DOCS))) for n in ("size", "lang_size"))
+    return _factor(levels.select("fine", *(
+        (own * F.col(f"fine_{c}") + (1 - own) * (lang * F.col(f"coarse_{c}") + (1 - lang) * F.col(f"corpus_{c}"))).alias(c) for c in (*_M, *_C))), "fine")
 
 
 def quality_rules(docs: DataFrame) -> DataFrame:
@@ -145,15 +164,12 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     good = counts.where("NOT base_failed")
     fine = good.groupBy("fine", "coarse").agg(F.count(F.lit(1)).alias("size"))
     langs = fine.groupBy("coarse").agg(F.sum("size").alias("lang_size"))
-    # the finest level with enough documents judges; the last one has no least size
-    level = F.when(F.col("size") >= LEAST_DOCS, F.col("fine")).when(F.col("lang_size") >= LEAST_DOCS, F.col("coarse")).otherwise(F.lit("all"))
-    fine = stage(fine.join(langs, "coarse").select("fine", "size", "coarse", level.alias("g")), "groups")
-    levels = fine.select("fine", "size", F.explode(F.array("fine", "coarse", F.lit("all"))).alias("g"))
-    members = stage(levels.join(fine.select("g").distinct(), "g", "left_semi"), "members")
-    sizes = stage(members.groupBy("g").agg(F.sum("size").alias("size")), "sizes")
-    rows = good.join(members.select("fine", "g"), "fine").select("g", *X)
+    groups = stage(fine.join(langs, "coarse").select("fine", "size", "coarse", "lang_size"), "groups")
+    sizes = stage(groups.select("size", F.explode(F.array("fine", "coarse", F.lit("all"))).alias("g"))
+                  .groupBy("g").agg(F.sum("size").alias("size")), "sizes")
+    rows = good.select(F.explode(F.array("fine", "coarse", F.lit("all"))).alias("g"), *X)
     model = _estimates(stage(rows, "vectors"), sizes)
-    judged = _distance(counts.join(fine.select("fine", "g"), "fine", "left").join(model, "g", "left"))
+    judged = _distance(counts.join(stage(_drawn(groups, model), "drawn"), "fine", "left"))
     distance = F.when(~F.col("base_failed"), F.col("d2"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                          (~F.col("base_failed") & (F.col("d2") <= LIMIT)).alias("kept"), distance.alias("distance"))

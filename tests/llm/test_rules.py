@@ -10,6 +10,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cartwheel.llm import chat_format, license_scan, pii, quality_mcd, quality_nbsvm
@@ -34,12 +35,12 @@ def test_base_statistics(spark, docs):
         n, chars, symbols, lines, repeated = base(text)
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == (n, chars, symbols, lines, repeated), text
         assert r.base_failed == (n < 10 or 100 * repeated > 20 * n)
-        assert r.kept == (not r.base_failed)  # the group is too small to be judged
+        assert r.kept == (not r.base_failed and r.distance <= quality_mcd.LIMIT)
     assert quality_mcd.quality_rules(docs([])).collect() == []
 
 
 def brute_mcd(x):
-    """The same concentration steps in numpy."""
+    """The same concentration steps in numpy: location and scatter."""
     q = [np.sort(x[:, i])[[max(0, math.ceil(p * len(x)) - 1) for p in (0.25, 0.5, 0.75)]] for i in range(x.shape[1])]
     mean = np.array([v[1] for v in q])
     scatter = np.diag([((v[2] - v[0]) / 1.349) ** 2 + f * f for v, f in zip(q, quality_mcd.FLOORS, strict=True)])
@@ -51,20 +52,96 @@ def brute_mcd(x):
         z = x[bins <= limit]
         mean = z.mean(axis=0)
         scatter = (z.T @ z / len(z) - np.outer(mean, mean)) * quality_mcd.SHARE / quality_mcd.INNER_SHARE + np.diag(np.square(quality_mcd.FLOORS))
-    y = x - mean
-    return (y @ np.linalg.inv(scatter) * y).sum(axis=1)
+    return mean, scatter
+
+
+def brute_distances(good):
+    """Squared distances of the rows of a frame with lang, source and vectors."""
+    out, k = np.zeros(len(good)), quality_mcd.PRIOR_DOCS
+    x = good[list(quality_mcd.X)].to_numpy()
+    top = brute_mcd(x)
+    for lang in good.lang.unique():
+        in_lang = (good.lang == lang).to_numpy()
+        w = in_lang.sum() / (in_lang.sum() + k)
+        mid = [w * a + (1 - w) * b for a, b in zip(brute_mcd(x[in_lang]), top, strict=True)]
+        for source in good.source[in_lang].unique():
+            mine = in_lang & (good.source == source).to_numpy()
+            w = mine.sum() / (mine.sum() + k)
+            mean, scatter = (w * a + (1 - w) * b for a, b in zip(brute_mcd(x[mine]), mid, strict=True))
+            y = x[mine] - mean
+            out[mine] = (y @ np.linalg.inv(scatter) * y).sum(axis=1)
+    return out
 
 
 def test_distances_equal_numpy(spark):
-    docs = spark.read.parquet(f"{SF}/documents.parquet").withColumn("source", F.when(F.col("lang") == "en", F.lit("s")))
+    docs = spark.read.parquet(f"{SF}/documents.parquet").withColumn("source", F.when((F.col("lang") == "en") & (F.col("doc_id") % 20 != 0), F.lit("s")).otherwise(F.col("source")))
     got = quality_mcd.quality_rules(docs).toPandas().set_index("doc_id")
     vectors = quality_mcd._vectors(quality_mcd.base_statistics(docs)).toPandas().set_index("doc_id")
-    assert (got[got.base_failed].distance.isna()).all() and not got[got.base_failed].kept.any()
-    mine = vectors[(vectors.lang == "en") & ~got.base_failed.reindex(vectors.index)]
-    assert len(mine) >= quality_mcd.LEAST_DOCS
-    want = brute_mcd(mine[list(quality_mcd.X)].to_numpy())
-    assert np.allclose(got.distance.reindex(mine.index), want, rtol=1e-4, atol=1e-4)
-    assert ((want <= quality_mcd.LIMIT) == got.kept.reindex(mine.index)).all()
+    assert got[~got.base_failed].distance.notna().all() and got[got.base_failed].distance.isna().all() and not got[got.base_failed].kept.any()
+    good = vectors[~got.base_failed.reindex(vectors.index)]
+    sizes = good.groupby(["lang", "source"]).size()
+    assert sizes.max() > 400 and sizes.min() < 20
+    want = brute_distances(good)
+    assert np.allclose(got.distance.reindex(good.index), want, rtol=1e-4, atol=1e-4)
+    assert ((want <= quality_mcd.LIMIT) == got.kept.reindex(good.index)).all()
+
+
+def regular(x):
+    """The widened scatter, regular by the least standard deviations."""
+    return np.cov(x.T, bias=True) * quality_mcd.SHARE / quality_mcd.INNER_SHARE + np.diag(np.square(quality_mcd.FLOORS))
+
+
+def exact_mcd(x, starts=12, seed=1):
+    """MCD by its definition: of samples found by concentration from many random
+    starts, the one of least determinant (of its regular scatter)."""
+    rng, half, best = np.random.default_rng(seed), math.ceil(quality_mcd.SHARE * len(x)), None
+    for _ in range(starts):
+        take = rng.choice(len(x), 2 * x.shape[1], replace=False)
+        for _ in range(15):
+            y = x - x[take].mean(axis=0)
+            take = np.argsort((y @ np.linalg.inv(regular(x[take])) * y).sum(axis=1))[:half]
+        det = np.linalg.det(regular(x[take]))
+        if best is None or det < best[0]:
+            best = det, x[take].mean(axis=0)
+    return best
+
+
+def test_estimates_come_near_the_least_determinant(spark):
+    """One start from the medians against many random ones."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("lang = 'en'")
+    vectors = quality_mcd._vectors(quality_mcd.base_statistics(docs)).toPandas()
+    vectors = vectors[(vectors.n_words >= 10) & (5 * vectors.n_repeat_words <= vectors.n_words)]
+    x = vectors[list(quality_mcd.X)].to_numpy()
+    mean, scatter = brute_mcd(x)
+    y = x - mean
+    near = np.argsort((y @ np.linalg.inv(scatter) * y).sum(axis=1))[:math.ceil(quality_mcd.SHARE * len(x))]
+    det, centre = exact_mcd(x)
+    assert np.linalg.det(regular(x[near])) <= 1.25 * det
+    assert (np.abs(mean - centre) <= 0.25 * np.sqrt(np.diag(scatter))).all()
+
+
+def test_one_document_more_moves_nothing_much(spark):
+    """No size at which a group's judgement changes: 199, 200 and 201 documents."""
+    table = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("lang = 'en' AND length(text) BETWEEN 300 AND 5000").orderBy("doc_id").limit(1200)
+    table = table.withColumn("place", F.row_number().over(Window.orderBy("doc_id"))).persist()
+    others = table.where("place > 300").withColumn("source", F.lit("other"))
+    found = []
+    for n in (199, 200, 201):
+        few = table.where(F.col("place") <= n).withColumn("source", F.lit("few"))
+        rows = quality_mcd.quality_rules(few.unionByName(others).drop("place")).collect()
+        found.append({r.doc_id: r.distance for r in rows if r.distance is not None})
+    ids = set(found[0]) & set(found[1]) & set(found[2])
+    assert len(ids) > 900
+    for a, b in zip(found, found[1:]):
+        assert max(abs(a[i] - b[i]) / (1 + a[i]) for i in ids) < 0.25
+
+
+def test_constant_statistic_in_a_group(spark, docs):
+    """Scatter is regular where a statistic is the same everywhere."""
+    rows = [(i, " ".join(f"abc{k % 9}" for k in range(i, i + 30 + i % 7))) for i in range(60)]
+    got = quality_mcd.quality_rules(docs(rows)).collect()
+    assert all(r.distance is None or math.isfinite(r.distance) for r in got)
+    assert all(r.kept == (not r.base_failed) for r in got)
 
 
 def test_rules_keep_clean_documents_and_reject_junk(spark):
@@ -74,24 +151,8 @@ def test_rules_keep_clean_documents_and_reject_junk(spark):
     assert clean.kept.mean() > 0.99 and junk.kept.mean() < 0.05
 
 
-def test_small_groups_are_judged_by_the_next_level(spark):
-    """A small source by all of its language, a small language by the whole corpus; nothing is left unjudged."""
-    docs = spark.read.parquet(f"{SF}/documents.parquet").withColumn("source", F.when((F.col("lang") == "en") & (F.col("doc_id") % 20 != 0), F.lit("s")).otherwise(F.col("source")))
-    got = quality_mcd.quality_rules(docs).toPandas().set_index("doc_id")
-    vectors = quality_mcd._vectors(quality_mcd.base_statistics(docs)).toPandas().set_index("doc_id")
-    good = vectors[~got.base_failed.reindex(vectors.index)]
-    assert got[~got.base_failed].distance.notna().all() and got[got.base_failed].distance.isna().all()
-    english, small = good.lang == "en", good.source != "s"
-    assert 0 < (english & small).sum() and all(n < quality_mcd.LEAST_DOCS for n in good[small].groupby(["lang", "source"]).size())
-    assert all(n < quality_mcd.LEAST_DOCS for n in good[~english].groupby("lang").size())
-    for mine, pool in ((english & small, english), (~english, english | ~english), (english & ~small, english & ~small)):
-        want = brute_mcd(good[pool][list(quality_mcd.X)].to_numpy())[mine[pool].to_numpy()]
-        assert np.allclose(got.distance.reindex(good[mine].index), want, rtol=1e-4, atol=1e-4)
-        assert ((want <= quality_mcd.LIMIT) == got.kept.reindex(good[mine].index)).all()
-
-
 def test_tiny_corpus_is_judged(spark, docs):
-    """The last level has no least size."""
+    """No level has a least size."""
     rows = [(i, " ".join(f"word{i}x{k}" for k in range(60))) for i in range(12)] + [(50, " ".join(f"#$%&|<{k}>*#$%&|<>*" for k in range(60)))]
     got = {r.doc_id: r for r in quality_mcd.quality_rules(docs(rows)).collect()}
     assert not any(r.base_failed or r.distance is None for r in got.values())
@@ -185,6 +246,57 @@ def test_classifier_odd_rows(spark, docs):
     assert quality_nbsvm.quality_scores(docs([]), labels).collect() == []
 
 
+def test_classifier_takes_one_row_of_a_labelled_id(spark, docs, monkeypatch):
+    """One id in a third of the rows, and a bound on all features."""
+    texts = [(i, f"text number {i} of some kind " * (1 + i % 5)) for i in range(40)]
+    rows = texts + [(5, f"other text {k % 7}") for k in range(3000)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    got = quality_nbsvm.sample(docs(rows), labels).collect()
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 4 != 2]
+    assert sorted(r.doc_id for r in got) == ids
+    monkeypatch.setattr(quality_nbsvm, "FEATURES", 900)
+    few = quality_nbsvm.sample(docs(texts), labels).collect()
+    assert 0 < len(few) < len(ids) and sum(len(r.features) for r in few) <= 900
+
+
+def test_fit_equals_a_dense_one():
+    """Hinge loss with the log-count ratios, solved on a dense matrix to its optimum."""
+    rng = np.random.default_rng(11)
+    kinds = ["good words here and there", "b@d #$%& sp*m"]
+    texts = [(y, "".join(rng.choice(list(kinds[1 - y] + "xyz "), rng.integers(5, 60)))) for y in rng.integers(0, 2, 240).tolist()]
+    rows = []
+    for y, t in texts:
+        data = t.encode()
+        grams = {int.from_bytes(bytes([n]) + data[i:i + n], "big") for n in quality_nbsvm.ORDERS for i in range(len(data) - n + 1)}
+        slots = {((g * 2654435769) & 0xFFFFFFFF) >> (32 - quality_nbsvm.BITS) for g in grams}
+        made, = quality_nbsvm._per_text(__import__("pyarrow").array([t]), lambda f: set(f.tolist()))
+        assert made == slots
+        rows.append((y, np.array(sorted(slots), np.int64)))
+    model = quality_nbsvm.Model.__new__(quality_nbsvm.Model)
+    model.weights, model.ratio, model.bias = np.zeros(1 << quality_nbsvm.BITS), np.zeros(1 << quality_nbsvm.BITS), 0.0
+    model._fit(rows)
+
+    used = sorted({f for _, fs in rows for f in fs.tolist()})
+    x = np.array([[f in set(fs.tolist()) for f in used] for _, fs in rows], float)
+    y = np.array([1 if q else -1 for q, _ in rows])
+    table = 1 << quality_nbsvm.BITS
+    shares = [(x[y == s].sum(axis=0) + 1) / (x[y == s].sum() + table) for s in (-1, 1)]
+    ratio = np.log(shares[1] / shares[0])
+    assert np.allclose(model.ratio[used], ratio)
+    x = x * ratio
+    x = np.c_[x / np.sqrt((x * x).sum(axis=1, keepdims=True)), np.ones(len(x))]
+    cost = quality_nbsvm.COST * len(y) / (2 * np.where(y > 0, (y > 0).sum(), (y < 0).sum()))
+    gram, alpha = (x @ x.T) * np.outer(y, y), np.zeros(len(y))
+    for _ in range(2000):
+        for i in range(len(y)):
+            alpha[i] = min(max(alpha[i] - (gram[i] @ alpha - 1) / gram[i, i], 0), cost[i])
+    w = x.T @ (alpha * y)
+    weights = (1 - quality_nbsvm.MIX) * np.abs(np.r_[w[:-1], np.zeros(table - len(used))]).mean() * np.sign(w[:-1]) + quality_nbsvm.MIX * w[:-1]
+    want = x[:, :-1] @ weights + w[-1]
+    got = np.array([model.margin(f) for _, f in rows])
+    assert np.corrcoef(got, want)[0, 1] > 0.999 and np.abs(got - want).max() < 0.1
+
+
 def test_long_texts_have_the_features_of_their_blocks(monkeypatch):
     import pyarrow as pa
     from cartwheel.llm import arrays
@@ -224,21 +336,28 @@ def test_chat_oracle(spark):
     assert sorted(map(tuple, got.collect())) == sorted(want.fetchall())
 
 
-def brute_cosine(line, templates, df, total):
-    idf = lambda t: math.log((total + 1) / (df.get(t, 0) + 1)) + 1
-    terms = {t for _, x in templates for t in re.findall(r"[^\W_]+", x.lower())}
-    unit = {t: (1 + math.log(n)) * (idf(t) if t in terms else math.log((total + 1) / 2) + 1) for t, n in collections.Counter(re.findall(r"[^\W_]+", line.lower())).items()}
-    best = (0.0, "")
-    for name, x in templates:
-        t = {k: (1 + math.log(n)) * idf(k) for k, n in collections.Counter(re.findall(r"[^\W_]+", x.lower())).items()}
-        dot = sum(unit.get(k, 0) * v for k, v in t.items())
-        size = math.sqrt(sum(v * v for v in t.values()) * sum(v * v for v in unit.values()) or 1)
-        best = max(best, (round(dot / size, 9), name), key=lambda b: (b[0], [-ord(c) for c in b[1]]))
-    return best
+def counted_vector(text, df, total):
+    """Weights with the counted frequency of every term."""
+    return {t: (1 + math.log(n)) * (math.log((total + 1) / (df[t] + 1)) + 1) for t, n in collections.Counter(re.findall(r"[^\W_]+", text.lower())).items()}
+
+
+def cosine(a, b):
+    return sum(w * b.get(t, 0) for t, w in a.items()) / math.sqrt(sum(w * w for w in a.values()) * sum(w * w for w in b.values()))
+
+
+def license_units(text):
+    lines = text.split("\n")
+    for i, line in enumerate(lines):
+        yield line, i < license_scan.OPENING
+        yield "\n".join(lines[i:i + license_scan.WINDOW]), i < license_scan.OPENING
+        for sentence in re.split(r"(?<=[.;:!?])\s+", line):
+            yield sentence, i < license_scan.OPENING
+    for i, part in enumerate(re.split(r"\n\s*\n", text)):
+        yield part, i == 0
 
 
 def test_license_scan(spark):
-    mit, apache = license_scan.TEMPLATES[0][1], license_scan.TEMPLATES[1][1]
+    mit, apache = (next(text for name, text in license_scan.TEMPLATES if name == kind) for kind in ("MIT", "Apache-2.0"))
     files = [("LICENSE", mit), ("a/LICENSE.txt", f"{apache}\n"), ("a/x.py", f"code\n# {mit}\nmore"), ("a/b/c/y.py", "code the under"), ("z/w.py", "code"), ("a/b/LICENSE", "nothing"),
              ("ab/q.py", "x"), (None, None), ("d/e", "Released under the MIT terms and this and that and another long tail of words"), ("a/x.py", "second row of one path"), ("top", "")]
     table = spark.createDataFrame([(p, t, "clash") for p, t in files], "path string, text string, license string")
@@ -248,39 +367,80 @@ def test_license_scan(spark):
     assert license_scan.scan(table.limit(0)).collect() == []
 
 
-def test_license_lines_of_the_table_equal_brute_force(spark):
+def test_licenses_of_the_table_equal_brute_force(spark):
+    """Cosines of all units with counted frequencies, and the nearest licensed directory."""
     docs = spark.read.parquet(f"{SF}/documents.parquet")
-    got = {r.doc_id: (r.license, r.score) for r in license_scan.document_licenses(docs).collect()}
+    got = {r.doc_id: r for r in license_scan.document_licenses(docs).collect()}
     rows = docs.collect()
     assert len(got) == len(rows)
-    terms = {t for _, x in license_scan.TEMPLATES for t in re.findall(r"[^\W_]+", x.lower())}
-    df = collections.Counter(t for r in rows for t in terms & set(re.findall(r"[^\W_]+", r.text.lower())))
+    df = collections.Counter(t for r in rows for t in set(re.findall(r"[^\W_]+", r.text.lower())))
+    known = {t for _, x in license_scan.TEMPLATES for t in re.findall(r"[^\W_]+", x.lower())}
+    templates = [(name, counted_vector(text, df, len(rows))) for name, text in license_scan.TEMPLATES]
+    licensed = {}
+    best = {}
     for r in rows:
-        score, name = max((brute_cosine(line, license_scan.TEMPLATES, df, len(rows)) for line in r.text.split("\n") + ([r.text] if len(r.text) <= 400 else [])), key=lambda b: (b[0], [-ord(c) for c in b[1]]))
-        if score >= license_scan.LEAST:
-            assert got[r.doc_id][0] == name and got[r.doc_id][1] == pytest.approx(score, abs=1e-6), r.doc_id
+        found = []
+        for unit, opening in license_units(r.text):
+            if known & set(re.findall(r"[^\W_]+", unit.lower())):
+                own = counted_vector(unit, df, len(rows))
+                found += [(-round(cosine(own, vector), 9), name, opening) for name, vector in templates]
+        found = [f for f in found if -f[0] >= license_scan.LEAST]
+        best[r.doc_id] = min(found)[:2] if found else None
+        first = [f[:2] for f in found if f[2]]
+        if first:
+            folder = (r.source, r.lang, r.doc_id // 1000)
+            licensed[folder] = min([licensed[folder], min(first)] if folder in licensed else [min(first)])
+    assert sum(b is not None for b in best.values()) > 5 and licensed
+    for r in rows:
+        if best[r.doc_id]:
+            score, name = best[r.doc_id]
+            assert got[r.doc_id].license == name and got[r.doc_id].score == pytest.approx(-score, abs=1e-6) and got[r.doc_id].inherited is None
         else:
-            assert got[r.doc_id] == (None, None)
+            inherited = licensed.get((r.source, r.lang, r.doc_id // 1000))
+            assert got[r.doc_id].license is None and got[r.doc_id].inherited == (inherited and inherited[1])
+
 
+MIT_TEXT = """Copyright (c) 2020 Some Author
 
-def counted_cosine(line, template, df, total):
-    """Cosine with the counted frequency of every term."""
-    def vector(text):
-        return {t: (1 + math.log(n)) * (math.log((total + 1) / (df[t] + 1)) + 1) for t, n in collections.Counter(re.findall(r"[^\W_]+", text.lower())).items()}
-    unit, other = vector(line), vector(template)
-    return sum(w * other.get(t, 0) for t, w in unit.items()) / math.sqrt(sum(w * w for w in unit.values()) * sum(w * w for w in other.values()))
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+"""
+
+
+def test_license_texts_and_buried_notices(spark, docs):
+    other = " ".join(f"word{k}" for k in range(80))
+    apache = "                                 Apache License\n                           Version 2.0, January 2004\n\n   TERMS AND CONDITIONS FOR USE\n\n" + other
+    gpl = "                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n Copyright (C) 2007 Some Foundation, Inc.\n" + other
+    header = "# Licensed under the Apache License, Version 2.0 (the \"License\");\n# you may not use this file except in compliance with the License.\n# You may obtain a copy of the License at\nimport x"
+    long_line = f"{other}. This work is licensed under the GNU General Public License, version 3. {other}"
+    rows = [(1, MIT_TEXT + other), (2, apache), (3, gpl), (4, header), (5, long_line), (6, other), (None, MIT_TEXT), (None, None), (7, ""), (1, other), (1, other)]
+    rows += [(100 + i, f"{other} the of and to in this {i}") for i in range(60)]
+    got = license_scan.document_licenses(docs(rows)).collect()
+    assert len(got) == len(rows)
+    found = collections.Counter((r.doc_id, r.license) for r in got)
+    assert found[1, "MIT"] == 1 and found[1, None] == 2 and found[2, "Apache-2.0"] == found[3, "GPL-3.0"] == found[4, "Apache-2.0"] == found[5, "GPL-3.0"] == 1
+    assert found[6, None] == found[7, None] == 1 and found[None, "MIT"] == found[None, None] == 1
+    assert all(r.license is not None or r.inherited is not None for r in got)  # some opening lines in either directory have a licence
+    assert license_scan.document_licenses(docs([])).collect() == []
 
 
 @pytest.mark.parametrize("n_files", [60, 6000])
 def test_license_scan_counts_every_term(spark, n_files):
     """Words of half of the files weigh little, words of one file much, however many files there are."""
-    mit = license_scan.TEMPLATES[0][1]
+    mit = license_scan.TEMPLATES[0][1].rstrip(".")  # no sentence of its own
     often = "en a on la de el un es in at to by"
     common, rare = f"{mit} {often}", f"{mit} qa qb qc qd qe qf qg qh qi qj qk ql"
     rows = [(f"f/{i}", often if i % 2 else f"none{i}") for i in range(n_files)] + [("p/common", common), ("p/rare", rare)]
     df = collections.Counter(t for _, text in rows for t in set(re.findall(r"[^\W_]+", text.lower())))
     got = {r.path: (r.license, r.score) for r in license_scan.scan(spark.createDataFrame(rows, "path string, text string")).where("path LIKE 'p/%'").collect()}
-    want = {path: counted_cosine(line, mit, df, len(rows)) for path, line in (("p/common", common), ("p/rare", rare))}
+    want = {path: cosine(counted_vector(line, df, len(rows)), counted_vector(mit, df, len(rows))) for path, line in (("p/common", common), ("p/rare", rare))}
     assert want["p/rare"] < license_scan.LEAST < want["p/common"]
     assert got["p/rare"] == (None, None)
     assert got["p/common"][0] == "MIT" and got["p/common"][1] == pytest.approx(want["p/common"], abs=1e-6)
@@ -320,6 +480,24 @@ def test_pipeline_odd_rows(spark, docs):
     for name, function in corpus_pipeline.STAGES[:-1]:
         out = function(spark, kept, SF)
         assert out.columns == kept.columns, name
-        assert out.where("doc_id IS NULL").count() == 1
         assert function(spark, kept.limit(0), SF).count() == 0
     assert corpus_pipeline.STAGES[-1][1](spark, kept.limit(0), SF).count() == 0
+
+
+def test_stages_decide_by_row_not_by_id(spark, docs):
+    """Rows without an id are judged, and one id's rows apart from each other."""
+    import corpus_pipeline
+    stages = dict(corpus_pipeline.STAGES)
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").where(F.length("text") > 200).first().text
+    good = lambda k: " ".join(f"word{k}x{i}" for i in range(60))
+    texts = lambda df: sorted(r.text for r in df.collect())
+    junk = "a b c d e " * 30
+    rows = [(1, good(1)), (1, junk), (None, junk), (None, good(2)), (2, good(3)), (2, good(4))]
+    assert texts(stages["quality_rules"](spark, docs(rows), SF)) == sorted([good(1), good(2), good(3), good(4)])
+    rows = [(1, good(1)), (1, good(2)), (None, good(1)), (None, good(3)), (None, good(3)), (5, good(2) + " more"), (6, None), (7, None), (8, "")]
+    left = stages["near_duplicates"](spark, docs(rows), SF)
+    assert sorted(((r.doc_id, r.text) for r in left.collect()), key=str) == \
+        sorted([(1, good(1)), (1, good(2)), (None, good(3)), (6, None), (7, None), (8, "")], key=str)
+    rows = [(1, good(1)), (1, item), (None, item), (None, good(2)), (3, None)]
+    left = stages["decontamination"](spark, docs(rows), SF)
+    assert sorted((r.text for r in left.collect()), key=str) == sorted([good(1), good(2), None], key=str)
