@@ -2,8 +2,8 @@
 
     python -m cartwheel land-orders   DOCS LAKE            # documents -> lake rows
     python -m cartwheel land-edits    DOCS LAKE
-    python -m cartwheel refresh-orders LAKE WAREHOUSE [--cleanup]
-    python -m cartwheel refresh-edits  LAKE WAREHOUSE [--cleanup]
+    python -m cartwheel refresh-orders LAKE WAREHOUSE [--cleanup] [--keep N]
+    python -m cartwheel refresh-edits  LAKE WAREHOUSE [--cleanup] [--keep N]
     python -m cartwheel stream-orders  LAKE WAREHOUSE CHECKPOINT [--every "10 minutes"]
     python -m cartwheel stream-edits   LAKE WAREHOUSE CHECKPOINT [--every "10 minutes"]
     python -m cartwheel question KEY WAREHOUSE [--out PATH]
@@ -62,7 +62,8 @@ def main(argv: list[str] | None = None) -> None:
         p = sub.add_parser(name)
         p.add_argument("lake")
         p.add_argument("warehouse")
-        p.add_argument("--cleanup", action="store_true")
+        p.add_argument("--cleanup", action="store_true", help="delete the files that were read")
+        p.add_argument("--keep", type=int, default=None, help="keep only the last snapshots")
     for name in ("stream-orders", "stream-edits"):
         p = sub.add_parser(name)
         p.add_argument("lake")
@@ -83,9 +84,9 @@ def main(argv: list[str] | None = None) -> None:
     elif args.cmd == "land-edits":
         documents.land_edit_documents(spark, args.docs, args.lake, whole_file=args.whole_file)
     elif args.cmd == "refresh-orders":
-        print(batch.run_orders_batch(spark, args.lake, args.warehouse, cleanup=args.cleanup))
+        print(batch.run_orders_batch(spark, args.lake, args.warehouse, cleanup=args.cleanup, keep=args.keep))
     elif args.cmd == "refresh-edits":
-        print(batch.run_edits_batch(spark, args.lake, args.warehouse, cleanup=args.cleanup))
+        print(batch.run_edits_batch(spark, args.lake, args.warehouse, cleanup=args.cleanup, keep=args.keep))
     elif args.cmd in ("stream-orders", "stream-edits"):
         start = stream.start_order_refresh if args.cmd == "stream-orders" else stream.start_edit_refresh
         start(spark, args.lake, args.warehouse, args.checkpoint, processing_time=args.every,

@@ -381,7 +381,7 @@ def test_cli_land_refresh_question(spark, capsys):
                        "order_hour_of_day": 9, "products": []}])
     spark.createDataFrame([(doc,)], "value string").coalesce(1).write.text(f"{base}/docs")
     main(["land-orders", f"{base}/docs", f"{base}/lake"])
-    main(["refresh-orders", f"{base}/lake", f"{base}/wh", "--cleanup"])
+    main(["refresh-orders", f"{base}/lake", f"{base}/wh", "--cleanup", "--keep", "1"])
     main(["question", "q15_freshness", f"{base}/wh", "--out", f"{base}/q15"])
     row = spark.read.parquet(f"{base}/q15").first()
     assert (row.total_orders_in_current_load, row.total_order_lines_in_current_load) == (2, 2)
