@@ -54,9 +54,10 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     rows = _numbered(docs)
     groups = jaccard_join.jaccard_components(_judged(rows)).select(F.col("doc_id").alias(ROW), F.col("component_id").alias("group"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", ROW))
-    kept = (rows.select(ROW, "doc_id").join(groups, ROW).groupBy("group").agg(first.alias("first"))
-            .select(F.col("first")[ROW].alias(ROW)))
-    return rows.join(stage(kept, "kept"), ROW, "left_semi").drop(ROW)
+    members = stage(rows.select(ROW, "doc_id").join(groups, ROW), "members")
+    kept = members.groupBy("group").agg(first.alias("first")).select(F.col("first")[ROW].alias("doc_id"))
+    copies = members.select(F.col(ROW).alias("doc_id")).join(kept, "doc_id", "left_anti")
+    return _without(rows, copies, "copies")
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
