@@ -23,7 +23,7 @@ from functools import lru_cache
 import numpy as np
 
 NONE = np.int32(2**31 - 1)
-KEPT = 48 << 20  # bytes, about, of each dictionary; it starts anew when full
+KEPT = 80 << 20  # bytes, about, of each dictionary; it starts anew when full
 
 
 def _classes(major: str, stop: int) -> str:
