@@ -123,9 +123,11 @@ def _estimates(rows: DataFrame, sizes: DataFrame) -> DataFrame:
     now = model = stage(start, "mcd-0")
     for step in range(1, STEPS + 1):
         binned = _distance(rows.join(now, "g")).withColumn("bin", F.least(F.floor(F.log1p("d2") * BINS_PER_UNIT), F.lit(MOST_BIN)).cast("int"))
-        sums = binned.groupBy("g", "bin").agg(
+        # written, so that bins are summed by (group, bin): dealt by group, as the window wants them,
+        # every task's sums of a large group would meet in one
+        sums = stage(binned.groupBy("g", "bin").agg(
             F.count(F.lit(1)).alias("n"), *(F.sum(x).alias(f"s{i}") for i, x in enumerate(X)),
-            *(F.sum(F.col(X[i]) * F.col(X[j])).alias(f"s{i}_{j}") for i, j in _CROSS))
+            *(F.sum(F.col(X[i]) * F.col(X[j])).alias(f"s{i}_{j}") for i, j in _CROSS)), f"bins-{step}")
         nearest = (sums.withColumn("before", F.expr("sum(n) OVER (PARTITION BY g ORDER BY bin) - n")).join(sizes.select("g", "size"), "g")
                    .where(F.col("before") < F.ceil(F.col("size") * SHARE)))
         kept = nearest.groupBy("g").agg(*(F.sum(c).alias(c) for c in ("n", *(f"s{i}" for i in range(len(X))), *(f"s{i}_{j}" for i, j in _CROSS))))
