@@ -27,6 +27,10 @@ CLUSTER_SETTINGS = {
     "spark.sql.autoBroadcastJoinThreshold": "64m",
 }
 
+# What ``stage`` writes is read a few times and thrown away; its size on disk is
+# what limits a large run.
+STAGED_CODEC = "zstd"
+
 # Session settings every plan in the package assumes.
 SESSION_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -90,7 +94,7 @@ def stage(df, name: str):
     ``checkpoint()`` -- computes ``df`` only once."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", STAGED_CODEC).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -98,11 +102,12 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def partitions_for(df, target_bytes: int = 128 * 1024 * 1024) -> int:
+def partitions_for(df, target_bytes: int = 8 * 1024 * 1024) -> int:
     """Partition count for an explicit repartition of ``df``: enough that no
     partition exceeds ``target_bytes`` by the optimizer's size estimate (scan
     statistics after column pruning), and never fewer than the cluster's
-    parallelism.  (AQE does not coalesce a repartition with an explicit
+    parallelism.  The estimate is of compressed Parquet; in a sort the same rows
+    take 10 to 20 times as much.  (AQE does not coalesce a repartition with an explicit
     count, so small inputs should not get hundreds of slices.)"""
     base = df.sparkSession.sparkContext.defaultParallelism
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
