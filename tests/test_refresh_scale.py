@@ -97,3 +97,14 @@ def test_a_users_rows_move_once(spark):
     final = _plan(df).split("== Initial Plan ==")[0]
     assert len(re.findall(r"Exchange hashpartitioning\(user_id", final)) == 1
     assert "Window" in final
+
+
+def test_staged_files_are_small(spark):
+    """Staged files count as disk of a run; they are packed by zstd."""
+    import pyarrow.parquet as pq
+
+    from cartwheel.session import stage
+    df = stage(spark.range(1000).withColumn("s", F.col("id").cast("string")), "packed")
+    files = [f.removeprefix("file://") for f in df.inputFiles()]
+    assert files and {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files} == {"ZSTD"}
+    assert df.count() == 1000
