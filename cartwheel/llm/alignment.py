@@ -15,7 +15,7 @@ an id pair's count is the number of documents that hold it linked.
 4. Blocks look their pairs up at the shards, and a second pass re-aligns each block
    beside its pairs' counts.
 
-A block's texts and pairs and a shard's pairs (at most one ``SHARDS``-th of all id
+A block is aligned in slices of about ``_SLICE`` tokens.  A block's texts and pairs and a shard's pairs (at most one ``SHARDS``-th of all id
 pairs) bound the memory of a task; leaves are as many as keep a shard's requests
 within ``FOLD`` vectors each.  The highest count of each id of A is a row an id of
 its vocabulary, the only thing that passes through the driver.
@@ -51,9 +51,12 @@ BITS = 15
 #: Links of a group beyond which its repeated ids are counted, not listed.
 _MANY = 4096
 #: Bytes (about) of chunks whose ids a worker keeps; it starts anew beyond.
-KEPT = 80 << 20
+KEPT = 56 << 20
 #: Chunks that are encoded together.
 _TOGETHER = 5000
+#: Tokens of A (about, or one text) that are aligned at a time: an array over them is
+#: one megabyte, and a task holds some dozens.
+_SLICE = 1 << 17
 #: Stands for chunks that are empty or have white space at an edge.
 _APART = -2
 #: White space in a row from which the slower library takes a text: the faster one's
@@ -66,20 +69,41 @@ _NONE = np.zeros(0, np.int32)
 
 
 class _Lists:
-    """Lists of ids, one after another."""
+    """Lists of ids, one after another, in arrays that grow by half when full."""
 
-    def __init__(self, ids: np.ndarray, counts: np.ndarray):
-        self.ids, self.counts = ids, counts
+    def __init__(self):
+        self.n, self.ids, self.ends = 0, np.zeros(1, np.int32), np.zeros(1, np.int32)
 
-    def more(self, ids: np.ndarray, counts: np.ndarray) -> _Lists:
-        return _Lists(np.concatenate([self.ids, ids]), np.concatenate([self.counts, counts]))
+    def add(self, ids: np.ndarray, counts: np.ndarray) -> None:
+        lo, hi = int(self.ends[self.n]), self.n + len(counts)
+        self.ids, self.ends = _room(self.ids, lo, lo + len(ids)), _room(self.ends, self.n + 1, hi + 1)
+        self.ids[lo:lo + len(ids)] = ids
+        self.ends[self.n + 1:hi + 1] = lo + np.cumsum(counts)
+        self.n = hi
+
+    def drop(self, n: int) -> None:
+        """Forget the lists from number ``n`` on."""
+        self.n, used = n, int(self.ends[n])
+        if len(self.ids) > 2 * used + (1 << 20):
+            self.ids = self.ids[:used].copy()
+
+    def counts(self, at: np.ndarray) -> np.ndarray:
+        return self.ends[at + 1] - self.ends[at]
 
     def taken(self, at: np.ndarray) -> np.ndarray:
         """The ids of the lists numbered ``at``, in that order."""
-        counts = self.counts[at]
-        ends = np.cumsum(counts)
-        first = (np.cumsum(self.counts) - self.counts)[at]
-        return self.ids[np.repeat(first - (ends - counts), counts) + np.arange(int(ends[-1]) if len(ends) else 0)]
+        counts = self.counts(at)
+        ends = np.cumsum(counts, dtype=np.int64)
+        return self.ids[np.repeat((self.ends[at] - (ends - counts)).astype(np.int32), counts) + np.arange(int(ends[-1]) if len(ends) else 0, dtype=np.int32)]
+
+
+def _room(held: np.ndarray, used: int, wanted: int) -> np.ndarray:
+    """``held`` with room for ``wanted`` values, of which ``used`` are kept."""
+    if wanted <= len(held):
+        return held
+    larger = np.zeros(wanted + wanted // 2, held.dtype)
+    larger[:used] = held[:used]
+    return larger
 
 
 class Tokenizers:
@@ -104,13 +128,16 @@ class Tokenizers:
         self.a_size = np.array([len(t) for t in self.a_bytes], np.int64)
         self.b_size = np.array([len(t) for t in self.b_bytes], np.int64)
         self.splits = not any("▁" in p.lstrip("▁") for p in map(self.b.id_to_piece, range(self.b.get_piece_size())))
-        self.chunks: dict[str, int] = {}
-        self.kept_a = self.kept_b = _Lists(_NONE, np.zeros(0, np.int64))
-        self.held = 0
+        self._forget()
         # each id followed by what separates it from the next: same side, other side or group
         self.a_text = np.array([[f"{i}{s}" for i in range(len(self.a_bytes))] for s in ",|"], object)
         self.b_text = np.array([[f"{i}{s}" for i in range(len(self.b_bytes))] for s in ",;"], object)
 
+    def _forget(self) -> None:
+        self.chunks: dict[str, int] = {}
+        self.kept_a, self.kept_b = _Lists(), _Lists()
+        self.held = 0
+
     def encode(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Ids of a non-null text under A (of a space and the text) and B; none where
         the bytes differ."""
@@ -139,15 +166,14 @@ class Tokenizers:
             parts = [self.encode(c) for c in chunks]
             a, b = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
             count_a, count_b = (np.array([len(p[i]) for p in parts], np.int64) for i in (0, 1))
-        self.chunks.update(zip(chunks, range(len(self.kept_a.counts), len(self.kept_a.counts) + len(chunks)), strict=True))
-        self.kept_a, self.kept_b = self.kept_a.more(a, count_a), self.kept_b.more(b, count_b)
+        self.chunks.update(zip(chunks, range(self.kept_a.n, self.kept_a.n + len(chunks)), strict=True))
+        self.kept_a.add(a, count_a), self.kept_b.add(b, count_b)
         self.held += 200 * len(chunks) + 4 * sum(map(len, chunks))
 
     def _known(self, chunks: list[str]) -> np.ndarray:
         """The number of each chunk's lists; ``_APART`` where it may not be encoded apart."""
         if self.held > KEPT:
-            self.chunks, self.held = {}, 0
-            self.kept_a = self.kept_b = _Lists(_NONE, np.zeros(0, np.int64))
+            self._forget()
         at = np.fromiter(map(self.chunks.get, chunks, repeat(-1)), np.int64, len(chunks))
         new = np.flatnonzero(at == -1)
         fresh = [chunks[i] for i in new.tolist()]
@@ -169,21 +195,24 @@ class Tokenizers:
         apart = np.zeros(len(texts), bool) if self.splits else np.ones(len(texts), bool)
         apart[doc[at == _APART]] = True
         whole = [self.encode(texts[i]) for i in np.flatnonzero(apart).tolist()]
-        a, b = self.kept_a, self.kept_b
+        a, b, kept = self.kept_a, self.kept_b, self.kept_a.n
         if whole:  # a text encoded whole is one list, after the kept ones
             rest = ~apart[doc]
-            at = np.r_[at[rest], len(a.counts) + np.arange(len(whole))]
+            at = np.r_[at[rest], kept + np.arange(len(whole))]
             doc = np.r_[doc[rest], np.flatnonzero(apart)]
             order = np.argsort(doc, kind="stable")
             at, doc = at[order], doc[order]
-            a, b = (x.more(np.concatenate([w[i] for w in whole]), np.array([len(w[i]) for w in whole], np.int64)) for i, x in enumerate((a, b)))
+            for i, x in enumerate((a, b)):
+                x.add(np.concatenate([w[i] for w in whole]), np.array([len(w[i]) for w in whole], np.int64))
         # a text with a chunk that is not given back has no tokens
         lost = np.zeros(len(texts), bool)
-        lost[doc[a.counts[at] == 0]] = True
+        lost[doc[a.counts(at) == 0]] = True
         if lost.any():
             at, doc = at[~lost[doc]], doc[~lost[doc]]
-        counts = [np.bincount(doc, x.counts[at], len(texts)).astype(np.int64) for x in (a, b)]
-        return a.taken(at), counts[0], b.taken(at), counts[1]
+        counts = [np.bincount(doc, x.counts(at), len(texts)).astype(np.int64) for x in (a, b)]
+        found = a.taken(at), counts[0], b.taken(at), counts[1]
+        a.drop(kept), b.drop(kept)
+        return found
 
 
 @lru_cache
@@ -201,11 +230,12 @@ def tokenizers(a_path: str, b_path: str, pattern: str) -> Tokenizers:
 
 
 class Aligned:
-    """The alignment of a list of texts: flat arrays over all of them."""
+    """The alignment of a list of texts: flat arrays over all of them.  ``ids`` is what
+    ``encode_all`` gives for the texts, where it is known."""
 
-    def __init__(self, made: Tokenizers, texts: list[str]):
+    def __init__(self, made: Tokenizers, texts: list[str], ids: tuple | None = None):
         self.made = made
-        self.a, self.n_a, self.b, self.n_b = made.encode_all(texts)
+        self.a, self.n_a, self.b, self.n_b = ids or made.encode_all(texts)
         self.a, self.b = self.a.astype(np.int64), self.b.astype(np.int64)
         ends_a, ends_b = np.cumsum(made.a_size[self.a]), np.cumsum(made.b_size[self.b])
         cut = np.zeros(int(ends_a[-1]) + 1 if len(ends_a) else 1, bool)
@@ -255,6 +285,17 @@ class Aligned:
         return out
 
 
+def aligned(made: Tokenizers, texts: list[str], most: int = _SLICE) -> Iterator[Aligned]:
+    """The alignments of the texts in slices of about ``most`` tokens of A, or one text."""
+    a, n_a, b, n_b = made.encode_all(texts)
+    ends_a, ends_b = np.r_[0, np.cumsum(n_a)], np.r_[0, np.cumsum(n_b)]
+    lo = 0
+    while lo < len(texts):
+        hi = max(lo + 1, int(np.searchsorted(ends_a, ends_a[lo] + most, "right")) - 1)
+        yield Aligned(made, texts[lo:hi], (a[ends_a[lo]:ends_a[hi]], n_a[lo:hi], b[ends_b[lo]:ends_b[hi]], n_b[lo:hi]))
+        lo = hi
+
+
 def _lists(values: np.ndarray, ends: np.ndarray, kind: pa.DataType) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.r_[0, ends], pa.int32()), pa.array(values, kind))
 
@@ -265,9 +306,11 @@ def _first_pass(a_path: str, b_path: str, pattern: str, block_bytes: int, shards
         made = tokenizers(a_path, b_path, pattern)
         for batch in batches:
             for lo, hi, texts in text_groups(batch.column(2), block_bytes):
-                docs, pairs, _ = Aligned(made, texts).links()
-                held = np.unique((docs << 31) | pairs) & ((1 << 31) - 1)  # each pair once a document
-                pairs, counts = np.unique(held, return_counts=True)
+                held = []
+                for part in aligned(made, texts):
+                    docs, pairs, _ = part.links()
+                    held.append((np.unique((docs << 31) | pairs) & ((1 << 31) - 1)).astype(np.int32))  # each pair once a document
+                pairs, counts = np.unique(np.concatenate(held), return_counts=True)
                 shard = (arrays.mix(pairs.astype(np.uint64)) % np.uint64(shards)).astype(np.int64)
                 order = np.argsort(shard, kind="stable")
                 found, ends = np.unique(shard, return_counts=True)
@@ -356,19 +399,19 @@ def _second_pass(a_path: str, b_path: str, pattern: str, best):
             totals = _flat(answers, "totals") if answers.num_rows else np.zeros(0, np.int64)
             order = np.argsort(known)
             known, totals = known[order].astype(np.int64), totals[order]
-            made = Aligned(tokenizers(a_path, b_path, pattern), texts.column("text").to_pylist())
-            docs, pairs, number = made.links()
-            at = np.minimum(np.searchsorted(known, pairs), max(len(known) - 1, 0))
-            if len(pairs) and (not len(known) or (known[at] != pairs).any()):
-                raise ValueError("a pair of the second pass was not in the first")
-            count = totals[at] if len(pairs) else np.zeros(0, np.int64)
-            n = texts.num_rows
-            sums = {"n_links": number, "n_best": number * (count == best.value[pairs >> BITS]), "count_sum": number * count}
-            for name, values in sums.items():
-                columns[name] = np.zeros(n, np.int64)
-                np.add.at(columns[name], docs, values)
-            columns |= {"doc_id": texts.column("doc_id"), "n_a": made.n_a, "n_b": made.n_b, "n_groups": made.n_groups,
-                        "groups_sha256": made.digests()}
+            parts = []
+            for made in aligned(tokenizers(a_path, b_path, pattern), texts.column("text").to_pylist()):
+                docs, pairs, number = made.links()
+                at = np.minimum(np.searchsorted(known, pairs), max(len(known) - 1, 0))
+                if len(pairs) and (not len(known) or (known[at] != pairs).any()):
+                    raise ValueError("a pair of the second pass was not in the first")
+                count = totals[at] if len(pairs) else np.zeros(0, np.int64)
+                part = {"n_a": made.n_a, "n_b": made.n_b, "n_groups": made.n_groups, "groups_sha256": made.digests()}
+                for name, values in {"n_links": number, "n_best": number * (count == best.value[pairs >> BITS]), "count_sum": number * count}.items():
+                    part[name] = np.zeros(len(made.n_a), np.int64)
+                    np.add.at(part[name], docs, values)
+                parts.append(part)
+            columns = {n: texts.column(n) if n == "doc_id" else np.concatenate([p[n] for p in parts]) for n in _RESULT}
         return pa.table({n: columns[n] if n == "doc_id" and texts.num_rows else pa.array(columns[n], pa.string() if n == "groups_sha256" else pa.int64())
                          for n in _RESULT})
     return run

@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -171,6 +172,28 @@ def test_texts_put_together_from_chunks_equal_whole_ones(monkeypatch, spark):
     assert lists(*made.encode_all([""])) == [([], [])]
 
 
+def test_a_block_is_aligned_in_slices():
+    """Some dozen arrays over a whole block made op12's workers too large."""
+    import tracemalloc
+    made = alignment.Tokenizers(A_PATH, B_PATH, P.PATTERN)
+    texts = [w + " of the same words" * 40 for w in HARD] * 60 + ["", "x " * 300_000]
+    made.encode_all(texts)
+    whole, parts = alignment.Aligned(made, texts), list(alignment.aligned(made, texts, 1000))
+    assert len(parts) > 100 and sum((p.digests() for p in parts), []) == whole.digests()
+    assert [n for p in parts for n in p.n_groups.tolist()] == whole.n_groups.tolist()
+    assert sum(int(p.links()[2].sum()) for p in parts) == int(whole.links()[2].sum())
+    del whole, parts
+    out = alignment._first_pass(A_PATH, B_PATH, P.PATTERN, alignment.BLOCK, 4)
+    table = pa.RecordBatch.from_arrays([pa.array(range(500)), pa.array(range(500)), pa.array([" ".join(["over and", "under it"] * 250)] * 500)],
+                                       names=["block", "doc_id", "text"])
+    list(out(iter([table])))  # kept from now on
+    tracemalloc.start()
+    list(out(iter([table])))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 50 << 20, most  # 36 MB; 77 before
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 9, 1000, 50_000])
 def test_perfect_hash(n):
     rng = random.Random(n)
