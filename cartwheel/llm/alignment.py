@@ -68,44 +68,6 @@ _WHITE = re.compile(r"\s{%d}" % _ENDLESS)
 _NONE = np.zeros(0, np.int32)
 
 
-class _Lists:
-    """Lists of ids, one after another, in arrays that grow by half when full."""
-
-    def __init__(self):
-        self.n, self.ids, self.ends = 0, np.zeros(1, np.int32), np.zeros(1, np.int32)
-
-    def add(self, ids: np.ndarray, counts: np.ndarray) -> None:
-        lo, hi = int(self.ends[self.n]), self.n + len(counts)
-        self.ids, self.ends = _room(self.ids, lo, lo + len(ids)), _room(self.ends, self.n + 1, hi + 1)
-        self.ids[lo:lo + len(ids)] = ids
-        self.ends[self.n + 1:hi + 1] = lo + np.cumsum(counts)
-        self.n = hi
-
-    def drop(self, n: int) -> None:
-        """Forget the lists from number ``n`` on."""
-        self.n, used = n, int(self.ends[n])
-        if len(self.ids) > 2 * used + (1 << 20):
-            self.ids = self.ids[:used].copy()
-
-    def counts(self, at: np.ndarray) -> np.ndarray:
-        return self.ends[at + 1] - self.ends[at]
-
-    def taken(self, at: np.ndarray) -> np.ndarray:
-        """The ids of the lists numbered ``at``, in that order."""
-        counts = self.counts(at)
-        ends = np.cumsum(counts, dtype=np.int64)
-        return self.ids[np.repeat((self.ends[at] - (ends - counts)).astype(np.int32), counts) + np.arange(int(ends[-1]) if len(ends) else 0, dtype=np.int32)]
-
-
-def _room(held: np.ndarray, used: int, wanted: int) -> np.ndarray:
-    """``held`` with room for ``wanted`` values, of which ``used`` are kept."""
-    if wanted <= len(held):
-        return held
-    larger = np.zeros(wanted + wanted // 2, held.dtype)
-    larger[:used] = held[:used]
-    return larger
-
-
 class Tokenizers:
     """Ids and the bytes they stand for under both tokenizers."""
 
@@ -135,7 +97,7 @@ class Tokenizers:
 
     def _forget(self) -> None:
         self.chunks: dict[str, int] = {}
-        self.kept_a, self.kept_b = _Lists(), _Lists()
+        self.kept_a, self.kept_b = arrays.Lists(), arrays.Lists()
         self.held = 0
 
     def encode(self, text: str) -> tuple[np.ndarray, np.ndarray]:

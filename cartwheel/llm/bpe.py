@@ -7,9 +7,10 @@ places at once (left to right where places overlap); pairs made by a merge rank
 higher than it, so this equals merging one at a time.  Finished sequences leave
 the arrays.
 
-Most words of a corpus repeat, so results are kept per chunk (what stands
-between white space) in a bounded dictionary of the worker; a chunk's tokens
-never depend on its neighbours.  Files: the ``tokenizers`` JSON format.
+Most words of a corpus repeat, so each different chunk (what stands between white
+space) of a group of texts is merged once; a chunk's tokens never depend on its
+neighbours.  Arrow splits the texts and numbers their different chunks, and a text's
+ids are gathered from flat arrays by these numbers.  Files: the ``tokenizers`` JSON format.
 """
 
 from __future__ import annotations
@@ -19,11 +20,17 @@ import re
 import sys
 import unicodedata
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+from . import arrays
 
 NONE = np.int32(2**31 - 1)
-KEPT = 80 << 20  # bytes, about, of each dictionary; it starts anew when full
+KEPT = 1 << 20  # bytes of different chunks that are merged together
+_TOGETHER = 1 << 18  # chunks whose ids are put together at a time, or those of one text
 
 
 def _classes(major: str, stop: int) -> str:
@@ -150,39 +157,52 @@ class Merger:
         ends = np.r_[chars, len(raw)][np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))]
         return self.merge(raw, ends)
 
-    def merge_chunks(self, words: list[str], ids: bool) -> list:
-        """Values of chunks whose words stand one after another, each chunk's
-        last followed by a line feed: ids as bytes, or numbers."""
+    def merge_chunks(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Flat ids and their numbers of chunks whose words stand one after another,
+        each chunk's last followed by a line feed."""
         stops = np.array([i for i, w in enumerate(words) if w == "\n"], np.int64)
         flat, lengths = self.merge_words([w for w in words if w != "\n"])
-        ends = np.r_[0, np.cumsum(lengths)][stops - np.arange(len(stops))]
-        if not ids:
-            return np.diff(np.r_[0, ends]).tolist()
-        raw, ends = flat.astype("<u4").tobytes(), (ends * 4).tolist()
-        return [raw[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+        return flat, np.diff(np.r_[0, np.cumsum(lengths)][stops - np.arange(len(stops))], prepend=0)
+
+
+def _different(chunks: pa.Array, encoded) -> tuple[arrays.Lists, np.ndarray]:
+    """The ids of the different ones of ``chunks``, and each chunk's place among them.
+    ``encoded(some)`` gives chunks' flat ids, and how many each has."""
+    numbered = chunks.dictionary_encode()
+    texts, lists = numbered.dictionary, arrays.Lists()
+    rank = np.zeros(len(texts), np.int32)
+    plain = pc.match_substring_regex(texts, _PLAIN).to_numpy(zero_copy_only=False)
+    for kind, rows in ((True, np.flatnonzero(plain)), (False, np.flatnonzero(~plain))):
+        rank[rows] = lists.n + np.arange(len(rows))
+        some = texts.take(pa.array(rows))
+        for lo, hi in arrays.row_blocks(arrays.text_buffers(some)[1], KEPT):
+            lists.add(*encoded(some.slice(lo, hi - lo).to_pylist(), kind))
+    return lists, rank[numbered.indices.to_numpy()]
+
+
+_SPACES = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"  # as str.isspace has them
+_UNSAFE = rf"^ | $| [{_SPACES}]|[{_SPACES}] "
+LATIN = 0x250
+_PLAIN = "^[!-;=-~¡-ɏ]+$"  # below LATIN, no white space, no special string
 
 
-class _Kept(dict):
-    """Values of chunks, at most about ``KEPT`` bytes: an entry takes some 150
-    besides its characters and its value.  When full it starts anew, so that a
-    worker gives its memory back to the next task of any kind."""
+def _bytes(flat: np.ndarray, counts: np.ndarray) -> list[bytes]:
+    raw, ends = flat.astype("<u4").tobytes(), (np.cumsum(counts) * 4).tolist()
+    return [raw[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)] if ends else []
 
-    held = 0
 
-    def missing(self, wanted: set) -> set:
-        """Those of ``wanted`` that are still to be added."""
-        if self.held > KEPT:
-            self.clear()
-            self.held = 0
-        fresh = wanted - self.keys()
-        self.held += 150 * len(fresh) + 3 * sum(map(len, fresh))
-        return fresh
+def _sums(values: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    """Sums of the first ``numbers[0]`` values, of the next ``numbers[1]`` and so on."""
+    return np.diff(np.r_[0, np.cumsum(values, dtype=np.int64)][np.r_[0, np.cumsum(numbers)]])
 
 
-_UNSAFE = re.compile(r"\s | \s")
-_CONTROL_SPACE = re.compile("[\x1c-\x1f]")
-LATIN = 0x250
-_PLAIN = re.compile("[!-;=-~¡-ɏ]+")  # below LATIN, no white space, no special string
+def _values(lists: arrays.Lists, at: np.ndarray, numbers: np.ndarray) -> list[bytes]:
+    """The ids of texts that are so many chunks each; a few texts at a time."""
+    out, ends = [], np.r_[0, np.cumsum(numbers)]
+    for lo, hi in arrays.row_blocks(ends, _TOGETHER):
+        some = at[ends[lo]:ends[hi]]
+        out += _bytes(lists.taken(some), _sums(lists.counts(some), numbers[lo:hi]))
+    return out
 
 
 class ByteTokens:
@@ -196,14 +216,10 @@ class ByteTokens:
             added = json.load(f)["added_tokens"]
         self.special = {x["content"]: x["id"] for x in added}
         self.cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
-        self.chunks = _Kept()  # of chunks with a space before them
         self.pattern, self.latin = patterns()[0], patterns(LATIN)[0]
 
-    def _join(self, values):
-        return b"".join(values) if self.ids else sum(values)
-
-    def _apart(self, texts: list[str]) -> list:
-        """Values of texts of any kind."""
+    def _apart(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Flat ids of texts of any kind, and how many each has."""
         words, spans, known = [], [], {}
         for t in texts:
             parts = self.cut.split(t) if "<" in t else [t]
@@ -212,72 +228,57 @@ class ByteTokens:
             words += mine
         listed = [w for w in dict.fromkeys(words) if w not in self.special]
         if listed:
-            flat, lengths = self.merger.merge_words(listed)
-            if self.ids:
-                raw, ends = flat.astype("<u4").tobytes(), (np.cumsum(lengths) * 4).tolist()
-                known = {w: raw[a:b] for w, a, b in zip(listed, [0, *ends[:-1]], ends, strict=True)}
-            else:
-                known = dict(zip(listed, lengths.tolist(), strict=True))
-        known |= {s: i.to_bytes(4, "little") if self.ids else 1 for s, i in self.special.items()}
-        return [self._join([known[w] for w in mine]) for mine in spans]
-
-    def _add(self, fresh) -> None:
-        plain = [c for c in fresh if _PLAIN.fullmatch(c)]
+            known = dict(zip(listed, _bytes(*self.merger.merge_words(listed)), strict=True))
+        known |= {s: i.to_bytes(4, "little") for s, i in self.special.items()}
+        raw = [b"".join([known[w] for w in mine]) for mine in spans]
+        return np.frombuffer(b"".join(raw), "<u4").astype(np.int32), np.fromiter(map(len, raw), np.int64, len(raw)) // 4
+
+    def _encoded(self, chunks: list[str], plain: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Of chunks with a space before them."""
         if plain:
-            words = self.latin.findall(" " + "\n ".join(plain) + "\n")
-            self.chunks.update(zip(plain, self.merger.merge_chunks(words, self.ids), strict=True))
-        others = [c for c in fresh if c not in self.chunks]
-        self.chunks.update(zip(others, self._apart([" " + c for c in others]), strict=True))
+            return self.merger.merge_chunks(self.latin.findall(" " + "\n ".join(chunks) + "\n"))
+        return self._apart([" " + c for c in chunks])
 
     def __call__(self, texts: list[str]) -> list:
         """The value of every text."""
-        split, whole = {}, []
-        for i, t in enumerate(texts):
-            if not t or t[0] == " " or t[-1] == " " or _UNSAFE.search(t):
-                whole.append(t)
-            else:
-                first, *rest = t.split(" ")
-                split[i] = rest
-                whole.append(first)
-        wanted: set[str] = set()
-        wanted.update(*split.values())
-        self._add(self.chunks.missing(wanted))
-        get = self.chunks.__getitem__
-        out = self._apart(whole)
-        for i, rest in split.items():
-            out[i] += self._join(list(map(get, rest)))
-        return out
+        column = pa.array(texts, pa.large_string())
+        apart = pc.or_(pc.equal(pc.binary_length(column), 0), pc.match_substring_regex(column, _UNSAFE)).to_numpy(zero_copy_only=False)
+        chunks = pc.split_pattern(column.filter(pa.array(~apart)), " ")
+        numbers = np.ones(len(texts), np.int64)  # of a text's chunks; a text that is no chunks is one list
+        numbers[~apart] = chunks.value_lengths().to_numpy()
+        chunks, first = chunks.flatten(), np.cumsum(numbers) - numbers
+        rest = np.ones(int(numbers.sum()), bool)
+        rest[first] = False
+        at = np.zeros(len(rest), np.int32)
+        lists, at[rest] = _different(chunks.filter(pa.array(np.delete(rest, first[apart]))), self._encoded)
+        # first chunks have no space before them
+        at[first] = lists.n + np.arange(len(first))
+        lists.add(*self._apart([t if whole else t.split(" ", 1)[0] for t, whole in zip(texts, apart.tolist(), strict=True)]))
+        return _values(lists, at, numbers) if self.ids else _sums(lists.counts(at), numbers).tolist()
 
 
 class WordTokens:
     """Ids (little-endian uint32 bytes) of the tokenizer with word ends.  New
     chunks of Latin letters, digits and punctuation are merged in a batch; any
-    other chunk goes to the library itself."""
+    other chunk goes to the library itself, white space that is not ASCII included."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.merger = Merger(path)
         self.library = Tokenizer.from_file(path)
-        self.chunks = _Kept()
         self.latin = patterns(LATIN)[1]
 
-    def _encode(self, text: str) -> bytes:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _add(self, fresh) -> None:
-        plain = [c for c in fresh if _PLAIN.fullmatch(c)]
+    def _encoded(self, chunks: list[str], plain: bool) -> tuple[np.ndarray, np.ndarray]:
         if plain:
-            words = self.latin.findall(("\n".join(plain) + "\n").lower())
-            self.chunks.update(zip(plain, self.merger.merge_chunks(words, True), strict=True))
-        self.chunks.update({c: self._encode(c) for c in fresh if c not in self.chunks})
+            return self.merger.merge_chunks(self.latin.findall(("\n".join(chunks) + "\n").lower()))
+        found = [self.library.encode(c, add_special_tokens=False).ids for c in chunks]
+        return np.fromiter(chain.from_iterable(found), np.int32), np.fromiter(map(len, found), np.int64, len(found))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        split = [None if _CONTROL_SPACE.search(t) else t.split() for t in texts]
-        wanted: set[str] = set()
-        wanted.update(*(s for s in split if s))
-        self._add(self.chunks.missing(wanted))
-        get = self.chunks.__getitem__
-        return [self._encode(t) if s is None else b"".join(map(get, s)) for t, s in zip(texts, split, strict=True)]
+        chunks = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))
+        numbers = chunks.value_lengths().to_numpy()
+        lists, at = _different(chunks.flatten(), self._encoded)
+        return _values(lists, at, numbers)
 
 
 @lru_cache

@@ -16,8 +16,8 @@ from . import arrays
 from .bpe import byte_tokens
 
 LIMIT = 1024
-#: Bytes of text whose words are merged together.
-GROUP = 1 << 20
+#: Bytes of text whose words are merged together: each different one once a group.
+GROUP = 8 << 20
 
 
 @contextmanager

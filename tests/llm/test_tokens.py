@@ -39,6 +39,23 @@ def test_counts_survive_a_full_dictionary(texts, monkeypatch):
     assert [n for i in range(0, len(texts), 7) for n in made(texts[i:i + 7])] == library
 
 
+@pytest.mark.parametrize("path", [BYTE, WORD])
+def test_workers_keep_no_chunks(path):
+    """Chunks are numbered by Arrow in large groups; a dictionary of them in Python cost
+    time for each chunk and stayed in the worker."""
+    import tracemalloc
+    made = bpe.ByteTokens(path, True) if path == BYTE else bpe.WordTokens(path)
+    first = made(["some words to start"])
+    texts = [" ".join(f"{random.Random(i * 1000 + j).getrandbits(40):x}" for j in range(1000)) for i in range(40)]
+    tracemalloc.start()
+    found = made(texts)
+    del found
+    left = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert left < 1 << 20, left
+    assert made(["some words to start"]) == first and token_counts.GROUP >= 8 << 20
+
+
 def test_token_counts(spark, docs):
     rows = ODD + [(100 + i, t) for i, t in enumerate(HARD)]
     library = Tokenizer.from_file(BYTE)
