@@ -420,13 +420,14 @@ def _sets(wanted, make):
 def _made(base: DataFrame, ids: DataFrame, make=lambda s: s) -> DataFrame:
     """``(doc_id, s)``: what ``make`` gives for the sets of the documents ``ids``, in
     one shuffle.  Sets are made anew from the texts: a bit table of hashed ids, of
-    fixed size, spares the other documents, and a semi-join removes what slips through."""
+    fixed size, spares the other documents, and a semi-join removes what slips through
+    (where the sets are: the ids, which grow with the corpus, are not broadcast)."""
     slot = F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - BITMAP_BITS).cast("long")
     ids = stage(ids.distinct(), "candidates")
     wanted = base.sparkSession.sparkContext.broadcast(_bits(ids.select(slot.alias("slot")), BITMAP_BITS))
     return (base.where("doc_id IS NOT NULL").withColumn("slot", slot)
             .mapInArrow(_sets(wanted, make), "doc_id long, s binary").repartition("doc_id")
-            .join(ids, "doc_id", "left_semi").distinct())
+            .join(ids.hint("shuffle_hash"), "doc_id", "left_semi").distinct())
 
 
 def _verified(base: DataFrame, pairs: DataFrame) -> DataFrame:

@@ -114,7 +114,7 @@ def _distance(rows: DataFrame) -> DataFrame:
     return rows.withColumn("d2", sum((F.col(f"y{i}") * F.col(f"y{i}") for i in range(1, len(X))), F.col("y0") * F.col("y0")))
 
 
-def _estimates(rows: DataFrame, sizes: DataFrame) -> DataFrame:
+def _estimates(rows: DataFrame) -> DataFrame:
     """Minimum-covariance-determinant location and scatter of each group ``g``."""
     # start: medians, and a scatter without covariances from the quartiles
     quartiles = rows.groupBy("g").agg(*(F.percentile_approx(x, [0.25, 0.5, 0.75], 10000).alias(f"q{i}") for i, x in enumerate(X)))
@@ -128,7 +128,7 @@ def _estimates(rows: DataFrame, sizes: DataFrame) -> DataFrame:
         sums = stage(binned.groupBy("g", "bin").agg(
             F.count(F.lit(1)).alias("n"), *(F.sum(x).alias(f"s{i}") for i, x in enumerate(X)),
             *(F.sum(F.col(X[i]) * F.col(X[j])).alias(f"s{i}_{j}") for i, j in _CROSS)), f"bins-{step}")
-        nearest = (sums.withColumn("before", F.expr("sum(n) OVER (PARTITION BY g ORDER BY bin) - n")).join(sizes.select("g", "size"), "g")
+        nearest = (sums.withColumns({"before": F.expr("sum(n) OVER (PARTITION BY g ORDER BY bin) - n"), "size": F.expr("sum(n) OVER (PARTITION BY g)")})
                    .where(F.col("before") < F.ceil(F.col("size") * SHARE)))
         kept = nearest.groupBy("g").agg(*(F.sum(c).alias(c) for c in ("n", *(f"s{i}" for i in range(len(X))), *(f"s{i}_{j}" for i, j in _CROSS))))
         # the nearest share of a normal group is narrower than the group
@@ -167,10 +167,8 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     fine = good.groupBy("fine", "coarse").agg(F.count(F.lit(1)).alias("size"))
     langs = fine.groupBy("coarse").agg(F.sum("size").alias("lang_size"))
     groups = stage(fine.join(langs, "coarse").select("fine", "size", "coarse", "lang_size"), "groups")
-    sizes = stage(groups.select("size", F.explode(F.array("fine", "coarse", F.lit("all"))).alias("g"))
-                  .groupBy("g").agg(F.sum("size").alias("size")), "sizes")
     rows = good.select(F.explode(F.array("fine", "coarse", F.lit("all"))).alias("g"), *X)
-    model = _estimates(stage(rows, "vectors"), sizes)
+    model = _estimates(stage(rows, "vectors"))
     judged = _distance(counts.join(stage(_drawn(groups, model), "drawn"), "fine", "left"))
     distance = F.when(~F.col("base_failed"), F.col("d2"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",

@@ -284,3 +284,34 @@ def test_regions_span_batches(nearest, length):
     whole = found(len(frame))
     assert whole and found(length) == whole
     assert any(row[0] for row in whole) == nearest
+
+
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+@pytest.mark.parametrize("edges, rounds", [
+    ([(i, i // 50 * 50) for i in range(300)], 0),  # stars
+    ([(i + 1, i) for i in range(40)], 1),  # a path
+    ([(random.Random(i).randrange(200), random.Random(1000 + i).randrange(200)) for i in range(1, 180)], 1), ([], 0), ([(5, 5), (None, 3)], 0)])
+def test_components_take_rounds_only_where_needed(spark, monkeypatch, edges, rounds):
+    """The driver plans a round of two joins only for edges that are no stars yet."""
+    calls, star = [], components._star
+    monkeypatch.setattr(components, "_star", lambda *a: calls.append(1) or star(*a))
+    got = {r.node: r.component for r in components.connected_components(spark.createDataFrame(edges, "x long, y long"), "x", "y").collect()}
+    least = {n: n for e in edges if None not in e and e[0] != e[1] for n in e}
+    for _ in range(len(least)):
+        for x, y in edges:
+            if x in least and y in least:
+                least[x] = least[y] = min(least[x], least[y])
+    assert got == least
+    assert (len(calls) == 0) == (rounds == 0)
+
+
+def test_joins_of_both_sides_shuffled_broadcast_nothing(spark, docs):
+    edges = spark.createDataFrame([(i, i // 3) for i in range(1, 90)], "a long, b long")
+    plan = final_plan(components._star(edges, True))
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    plan = final_plan(jaccard_join._made(docs(near_copies(3)).select("doc_id", "text"), spark.range(20).selectExpr("id AS doc_id")))
+    assert "ShuffledHashJoin" in plan and "Broadcast" not in plan
