@@ -43,17 +43,23 @@ def _members(v: Column, names: list[str]) -> Column:
     return F.try_variant_get(v, "$", f"struct<{fields}>")
 
 
-def _typed(member: Column, dtype: T.DataType) -> Column:
-    """A member cast to ``dtype``; null when missing or unconvertible.
+def _is_object(v: Column) -> Column:
+    """Whether ``v`` is an object: as a struct without any of its members, since
+    every member that is cast to a variant is written anew, with all below it."""
+    return F.try_variant_get(v, "$", "struct<`\u0001`: variant>").isNotNull()
+
+
+def _typed(v: Column, dtype: T.DataType, path: str = "$") -> Column:
+    """What ``v`` has at ``path`` cast to ``dtype``; null when missing or unconvertible.
     Integers also accept numbers and text written as 3.0 (through double)."""
-    direct = F.try_variant_get(member, "$", dtype.simpleString())
+    direct = F.try_variant_get(v, path, dtype.simpleString())
     if isinstance(dtype, _INTEGRAL):
-        return F.coalesce(direct, F.try_variant_get(member, "$", "double").try_cast(dtype))
+        return F.coalesce(direct, F.try_variant_get(v, path, "double").try_cast(dtype))
     return direct
 
 
-def _as_array(v: Column) -> Column:
-    return F.try_variant_get(v, "$", "array<variant>")
+def _as_array(v: Column, path: str = "$") -> Column:
+    return F.try_variant_get(v, path, "array<variant>")
 
 
 def _as_map(v: Column) -> Column:
@@ -106,38 +112,35 @@ def read_documents(spark: SparkSession, path: str, whole_file: bool = False) ->
 
 # ------------------------------------------------------------------ orders
 _ORDER_MEMBERS = [n for n, _ in ORDER_FIELDS] + ["products"]
-_PRODUCT_MEMBERS = [n for n, _ in PRODUCT_FIELDS]
 
 
-def _product_shapes(pv: Column) -> list[Column]:
+def _product_shapes(order: Column) -> list[Column]:
     """Shape columns of one order's ``products``, computed once each (a later
     projection references them several times; the optimizer does not inline a
     costly expression that is referenced more than once, whereas inside one
-    CASE/OR chain the same cast would run once per reference)."""
-    arr = _as_array(pv)
-    return [pv.alias("_pv"), arr.alias("_arr"),
-            F.when(arr.isNull(), _as_map(pv)).alias("_obj")]
+    CASE/OR chain the same cast would run once per reference).  ``_pv`` and
+    ``_obj`` are set only where ``products`` is no array."""
+    arr = _as_array(order, "$.products")
+    pv = F.when(arr.isNull(), F.try_variant_get(order, "$.products", "variant"))
+    return [arr.alias("_arr"), pv.alias("_pv"), F.when(arr.isNull(), _as_map(pv)).alias("_obj")]
 
 
 def _products_or_null() -> Column:
-    """From the shape columns: an array of product member structs --
+    """From the shape columns: an array of product objects (variants) --
     placeholder, rows or empty -- or NULL where the reference would raise."""
     pv, arr, obj = F.col("_pv"), F.col("_arr"), F.col("_obj")
     # Only scalars need a type name; CASE evaluates the branch lazily, so
     # arrays and objects never pay for a schema walk.
     kind = F.when(arr.isNull() & obj.isNull(), _scalar_kind(pv))
-    is_null = pv.isNull() | F.is_variant_null(pv)
+    is_null = arr.isNull() & (pv.isNull() | F.is_variant_null(pv))
     zero_number = kind.isin(*_NUMERIC_KINDS) & (F.try_variant_get(pv, "$", "double") == 0)
     empty_string = (kind == "STRING") & (F.try_variant_get(pv, "$", "string") == "")
     false_value = (kind == "BOOLEAN") & ~F.try_variant_get(pv, "$", "boolean")
     falsy = (is_null | (F.size(arr) == 0) | (F.size(obj) == 0)
              | zero_number | empty_string | false_value)
-    member_type = f"struct<{', '.join(f'`{n}`: variant' for n in _PRODUCT_MEMBERS)}>"
-    members = F.filter(F.transform(arr, lambda x: _members(x, _PRODUCT_MEMBERS)),
-                       lambda m: m.isNotNull())                                  # P3
-    return (F.when(F.coalesce(falsy, F.lit(False)), F.array(F.lit(None).cast(member_type)))
-             .when(arr.isNotNull(), members)
-             .when(obj.isNotNull() | (kind == "STRING"), F.array().cast(f"array<{member_type}>")))
+    return (F.when(F.coalesce(falsy, F.lit(False)), F.array(F.lit(None).cast("variant")))
+             .when(arr.isNotNull(), F.filter(arr, _is_object))                   # P3
+             .when(obj.isNotNull() | (kind == "STRING"), F.array().cast("array<variant>")))
 
 
 def ingest_order_documents(docs: DataFrame, ingested_at: Column | None = None,
@@ -148,6 +151,11 @@ def ingest_order_documents(docs: DataFrame, ingested_at: Column | None = None,
     reference does; ``'reject'`` routes the document to the rejects output.
     ``ingested_at`` defaults to the load time floored to milliseconds (P4).
 
+    Documents are split into orders and orders into products, as variants; fields
+    are then read by path with their type.  So a value is written anew twice at
+    most, whereas a struct of variants at each level would write it at each.  An
+    order's fields are read before its products are spread over rows.
+
     Every costly VARIANT value is produced once: either as the output of a
     generator (``explode``) over arrays already filtered inside higher-order
     functions, or as its own projected column.  Plain filters on aliased
@@ -155,46 +163,37 @@ def ingest_order_documents(docs: DataFrame, ingested_at: Column | None = None,
     reference.
     """
     stamp = ingested_at if ingested_at is not None else load_stamp()
-    shaped = _parsed(docs).select(
-        "value", F.col("v"),
-        _members(F.col("v"), ["orders"]).alias("_top"),
-        _as_array(F.col("v")).alias("_bare"))
-    top, bare = F.col("_top"), F.col("_bare")
-    orders_member = top["orders"]
-    shaped = shaped.select("value", "v", "_top", "_bare",
-                           _as_array(orders_member).alias("_orders_arr"))
-    orders_arr = (F.when(top.isNotNull(),
-                         F.when(orders_member.isNull(), F.array().cast("array<variant>"))
-                          .otherwise(F.col("_orders_arr")))
-                   .otherwise(bare))
-    err = (F.when(F.col("v").isNull(), F.lit("document is not valid JSON"))
-            .when(top.isNull() & bare.isNull(),
-                  F.lit("document must be an object or an array"))
-            .when(top.isNotNull() & orders_member.isNotNull() & F.col("_orders_arr").isNull(),
-                  F.lit("field 'orders' must be an array")))
+    v, top = F.col("v"), F.col("_top")
+    shaped = _parsed(docs).select("value", "v", _is_object(v).alias("_top"))
+    shaped = shaped.select("value", "v", "_top", F.when(top, _as_array(v, "$.orders")).otherwise(_as_array(v)).alias("_arr"))
+    arr = F.col("_arr")
+    # looked up only where there is no array: a missing 'orders' is an empty list
+    missing = top & F.when(arr.isNull(), F.try_variant_get(v, "$.orders", "variant").isNull()).otherwise(False)
+    err = (F.when(v.isNull(), F.lit("document is not valid JSON"))
+            .when(~top & arr.isNull(), F.lit("document must be an object or an array"))
+            .when(top & arr.isNull() & ~missing, F.lit("field 'orders' must be an array")))
     if on_error == "raise":
         err = F.when(err.isNotNull(),
                      F.raise_error(F.concat(F.lit("bad order document: "), err)))
-    # Order members of every object element (P3: other elements skipped).
-    order_members = F.filter(F.transform(orders_arr, lambda o: _members(o, _ORDER_MEMBERS)),
-                             lambda m: m.isNotNull())
-    checked = shaped.select("value", err.alias("_err"), order_members.alias("_orders"))
+    # Order objects (P3: other elements skipped).
+    checked = shaped.select("value", err.alias("_err"), F.filter(arr, _is_object).alias("_orders"))
     doc_rejects = checked.filter(F.col("_err").isNotNull()).select(
         F.col("value").alias("document"), F.col("_err").alias("reason"))
 
+    order = F.col("om")
     orders = (checked.select(*_explode_each(F.when(F.col("_err").isNull(), F.col("_orders")), "om"))
-                     .filter(_kept("om"))
-                     .select("om", *_product_shapes(F.col("om")["products"]))
-                     .select("om", _products_or_null().alias("_products")))
-    order_rejects = orders.filter(F.col("_products").isNull()).select(
-        F.to_json(F.col("om")).alias("document"),
+                     .filter(_kept("om")))
+    fields = [_typed(order, t, f"$.{n}").alias(n) for n, t in ORDER_FIELDS]
+    names = [n for n, _ in ORDER_FIELDS]
+    refused = (orders.select("om", *_product_shapes(order)).select("om", _products_or_null().alias("_products"))
+               .filter(F.col("_products").isNull()))
+    order_rejects = refused.select(
+        F.to_json(_members(order, _ORDER_MEMBERS)).alias("document"),
         F.lit("products is a truthy scalar (not iterable)").alias("reason"))
 
-    rows = (orders.select("om", *_explode_each(F.col("_products"), "pm"))
-                  .filter(_kept("pm")))
-    cols = [_typed(F.col("om")[n], t).alias(n) for n, t in ORDER_FIELDS]
-    cols += [_typed(F.col("pm")[n], t).alias(n) for n, t in PRODUCT_FIELDS]
-    items = rows.select(*cols, stamp.alias("ingested_at"))
+    rows = (orders.select(*fields, *_product_shapes(order)).select(*names, _products_or_null().alias("_products"))
+                  .select(*names, *_explode_each(F.col("_products"), "pm")).filter(_kept("pm")))
+    items = rows.select(*names, *(_typed(F.col("pm"), t, f"$.{n}").alias(n) for n, t in PRODUCT_FIELDS), stamp.alias("ingested_at"))
     return items, doc_rejects.unionByName(order_rejects)
 
 

@@ -89,3 +89,22 @@ def test_nan_comes_out_null_at_the_sink(spark):
     assert landed.where(F.isnan("days_since_prior_order")).count() == 1
     refresh.refresh_orders(spark, landed, f"{base}/wh", register_catalog=False)
     assert refresh.load_orders(spark, f"{base}/wh").items.where("days_since_prior_order IS NULL").count() == 1
+
+
+def test_fields_are_read_by_path_next_to_wrongly_typed_ones(spark):
+    """Order and product fields are typed where they are, not cast to variants first
+    (which writes them and all below them anew); one that fails leaves the others."""
+    from pyspark.sql import functions as F
+
+    from cartwheel.schemas import ORDER_FIELDS, PRODUCT_FIELDS
+    from cartwheel.sources.documents import ingest_order_documents
+    docs = spark.createDataFrame([
+        ('{"orders":[{"order_id":"7","user_id":{"x":1},"products":[{"product_id":3.0,"aisle_id":[1]},5,{"product_id":[],"aisle_id":"4"},null]},'
+         '{"order_id":8},{"order_id":9,"products":{"product_id":1}},{"order_id":10,"products":[null]},{"order_id":11,"products":[{}]},3]}',),
+        ('[{"order_id":12,"user_id":1,"products":0.0}]',), ('{"total":1}',)], "value string")
+    items, rejects = ingest_order_documents(docs, ingested_at=F.lit(None).cast("timestamp_ntz"))
+    got = sorted(((r.order_id, r.user_id, r.product_id, r.aisle_id) for r in items.collect()), key=str)
+    assert got == sorted([(7, None, 3, None), (7, None, None, 4), (8, None, None, None), (11, None, None, None), (12, 1, None, None)], key=str)
+    assert rejects.count() == 0
+    plan = items._jdf.queryExecution().optimizedPlan().toString()
+    assert not [n for n, _ in (*ORDER_FIELDS, *PRODUCT_FIELDS) if f"StructField({n},VariantType" in plan]
