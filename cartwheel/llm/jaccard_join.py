@@ -490,10 +490,11 @@ def _by_component(placed: DataFrame) -> DataFrame:
 
 
 def _sided(placed: DataFrame, tasks: DataFrame) -> DataFrame:
-    """Members (token, i, j, side, x, n, component) of pairs of cells."""
+    """Members (token, i, j, side, x, n, component) of pairs of cells.  Merged: a table
+    of members by two keys is large on the driver before its files are."""
     sides = (tasks.select("token", "i", "j", F.col("i").alias("cell"), F.lit(0).alias("side"))
              .unionByName(tasks.where("i < j").select("token", "i", "j", F.col("j").alias("cell"), F.lit(1).alias("side"))))
-    return placed.join(sides, ["token", "cell"]).select("token", "i", "j", "side", "x", "n", "component")
+    return placed.hint("merge").join(sides, ["token", "cell"]).select("token", "i", "j", "side", "x", "n", "component")
 
 
 def _together(members: DataFrame) -> DataFrame:

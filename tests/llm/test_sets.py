@@ -315,3 +315,6 @@ def test_joins_of_both_sides_shuffled_broadcast_nothing(spark, docs):
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
     plan = final_plan(jaccard_join._made(docs(near_copies(3)).select("doc_id", "text"), spark.range(20).selectExpr("id AS doc_id")))
     assert "ShuffledHashJoin" in plan and "Broadcast" not in plan
+    placed = spark.range(60).selectExpr("id % 3 AS token", "id AS x", "5L AS n", "id AS component", "cast(id % 2 AS int) AS cell")
+    plan = final_plan(jaccard_join._sided(placed, placed.selectExpr("token", "0 AS i", "cell AS j").distinct()))
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
